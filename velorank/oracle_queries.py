@@ -9,3 +9,183 @@ ORACLES: dict[str, str] = {}
 ORACLES["feature_table"] = base() + f"""
 SELECT pos, full_name, stargazers_count, {feature_select()}, language, license_key FROM feats
 """
+
+from velorank.oracles import (DOUBLE_FEATURES, INT_FEATURES, r6, with_ctes, REPOS_SQL)  # noqa: E402
+from velorank.sources.schema import REPO_COLUMNS  # noqa: E402
+
+
+def _subset(cols):
+    parts = [f"{r6(c)} AS {c}" if c in DOUBLE_FEATURES else c for c in cols]
+    return base() + f"SELECT pos, {', '.join(parts)} FROM feats"
+
+
+_NUM = ["forks_count", "watchers", "open_issues_count", "total_issues_count", "open_pulls_count",
+        "release_count", "commit_count", "topics_count", "disk_usage", "description_length",
+        "name_length", "contributor_count"]
+_BOOL = ["is_archived", "is_fork", "is_disabled", "is_mirror", "has_issues", "has_wiki", "has_projects",
+         "has_discussions", "has_license", "owner_is_org"]
+
+ORACLES["text_lengths"] = _subset(["description_length", "name_length"])
+ORACLES["flags"] = _subset(_BOOL)
+ORACLES["numeric_defaults"] = _subset(_NUM)
+ORACLES["days_since"] = _subset(["age_days", "days_since_push", "days_since_update"])
+ORACLES["rates"] = _subset(["commits_per_day", "commits_per_year", "issues_per_day", "open_issue_ratio",
+                            "forks_per_day", "releases_per_year"])
+ORACLES["log_features"] = _subset(["log_forks_count", "log_commit_count", "log_open_issues_count",
+                                   "log_total_issues_count", "log_disk_usage"])
+
+ORACLES["target_transform"] = with_ctes(("repos", REPOS_SQL)) + f"""
+SELECT pos, {r6("ln(1 + stargazers_count)")} AS log_target,
+       {r6("greatest(exp(ln(1 + stargazers_count)) - 1, 0)")} AS star_back FROM repos"""
+
+ORACLES["last_page_number"] = """
+SELECT page_id,
+       coalesce(try_cast(nullif(regexp_extract(regexp_replace(url, '#.*$', ''), '.*page=([^&]*)', 1), '')
+                         AS BIGINT), 1) AS last_page
+FROM pages"""
+
+ORACLES["enrich_counts"] = with_ctes(("repos", REPOS_SQL)) + """
+SELECT r.pos, coalesce(c.n, 0) AS contributor_count
+FROM repos r LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) c
+  ON c.l_orderkey = r.pos"""
+
+ORACLES["align_columns"] = base() + f"""
+SELECT pos, commit_count, forks_count,
+       CASE WHEN language = 'NATION_0' THEN 1 ELSE 0 END AS language_NATION_0,
+       CASE WHEN language = 'NATION_1' THEN 1 ELSE 0 END AS language_NATION_1,
+       0 AS language_NATION_99,
+       {r6("log_forks_count")} AS log_forks_count
+FROM feats"""
+
+_TS = "'%Y-%m-%dT%H:%M:%SZ'"
+ORACLES["quarantine"] = with_ctes(("repos", REPOS_SQL), ("broken", """
+SELECT pos, CASE WHEN pos % 19 = 0 THEN NULL ELSE full_name END AS full_name, stargazers_count,
+       CASE WHEN pos % 17 = 0 THEN replace(created_at, 'T', ' ') ELSE created_at END AS created_at,
+       updated_at,
+       CASE WHEN pos % 29 = 0 THEN 'not-a-date' ELSE pushed_at END AS pushed_at
+FROM repos""")) + f"""
+SELECT pos, CASE
+  WHEN full_name IS NULL OR full_name = '' THEN 'missing full_name'
+  WHEN stargazers_count IS NULL THEN 'missing stargazers_count'
+  WHEN created_at IS NULL THEN 'missing created_at'
+  WHEN try_strptime(created_at, {_TS}) IS NULL THEN 'bad created_at'
+  WHEN updated_at IS NOT NULL AND updated_at <> '' AND try_strptime(updated_at, {_TS}) IS NULL THEN 'bad updated_at'
+  WHEN pushed_at IS NOT NULL AND pushed_at <> '' AND try_strptime(pushed_at, {_TS}) IS NULL THEN 'bad pushed_at'
+  ELSE 'ok' END AS reason
+FROM broken"""
+
+ORACLES["missing_cells"] = with_ctes(("repos", REPOS_SQL)) + "SELECT cast(" + " + ".join(
+    f"sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)" for c in ["pos", *REPO_COLUMNS]) + " AS BIGINT) AS n_missing FROM repos"
+
+
+def _top(col: str, k: int) -> str:
+    return f"""SELECT {col}, n, row_number() OVER (ORDER BY n DESC, first_pos) AS rnk
+FROM (SELECT {col}, count(*) AS n, min(pos) AS first_pos FROM feats GROUP BY {col})
+ORDER BY n DESC, first_pos LIMIT {k}"""
+
+
+ORACLES["top_languages"] = base() + _top("language", 20)
+ORACLES["top_licenses"] = base() + _top("license_key", 15)
+
+BUCKET_CTES = [
+    ("tl", _top("language", 20)),
+    ("tlic", _top("license_key", 15)),
+    ("bl", """SELECT pos,
+  CASE WHEN language IN (SELECT language FROM tl) THEN language ELSE 'other' END AS language,
+  CASE WHEN license_key IN (SELECT license_key FROM tlic) THEN license_key ELSE 'other' END AS license_key
+FROM feats"""),
+]
+
+ORACLES["rare_bucket"] = base(*BUCKET_CTES) + "SELECT pos, language, license_key FROM bl"
+
+ORACLES["one_hot"] = base(*BUCKET_CTES, ("vocab", """
+SELECT DISTINCT 'language' AS col, language AS v FROM bl
+UNION ALL SELECT DISTINCT 'license_key' AS col, license_key AS v FROM bl""")) + """
+SELECT b.pos, concat(vocab.col, '_', vocab.v) AS feature,
+       CASE WHEN (vocab.col = 'language' AND b.language = vocab.v)
+              OR (vocab.col = 'license_key' AND b.license_key = vocab.v) THEN 1 ELSE 0 END AS value
+FROM bl b CROSS JOIN vocab"""
+
+BANDS_SQL = """
+SELECT cast(i AS INTEGER) AS band, 50 * cast(pow(2, i) AS BIGINT) AS lo,
+       CASE WHEN i < 11 THEN 50 * cast(pow(2, i + 1) AS BIGINT) - 1 END AS hi,
+       concat(cast(50 * cast(pow(2, i) AS BIGINT) AS VARCHAR), '_',
+              CASE WHEN i < 11 THEN cast(50 * cast(pow(2, i + 1) AS BIGINT) - 1 AS VARCHAR) ELSE 'max' END) AS label
+FROM range(12) t(i)"""
+
+BANDED_SQL = """SELECT r.*, b.band, b.lo, b.hi, b.label FROM repos r
+JOIN bands b ON r.stargazers_count >= b.lo AND (b.hi IS NULL OR r.stargazers_count <= b.hi)"""
+
+ORACLES["band_join"] = with_ctes(("repos", REPOS_SQL), ("bands", BANDS_SQL), ("banded", BANDED_SQL)) + \
+    "SELECT pos, stargazers_count, band, lo, hi, label FROM banded"
+
+ORACLES["band_filter"] = with_ctes(("repos", REPOS_SQL)) + \
+    "SELECT pos, stargazers_count FROM repos WHERE stargazers_count BETWEEN 1600 AND 3199"
+
+ORACLES["band_quota"] = with_ctes(("repos", REPOS_SQL), ("bands", BANDS_SQL), ("banded", BANDED_SQL)) + """
+SELECT pos, stargazers_count, band, rank_in_band FROM (
+  SELECT pos, stargazers_count, band,
+         row_number() OVER (PARTITION BY band ORDER BY stargazers_count DESC, pos) AS rank_in_band
+  FROM banded) WHERE rank_in_band <= 416"""
+
+ORACLES["band_counts"] = with_ctes(("repos", REPOS_SQL), ("bands", BANDS_SQL), ("banded", BANDED_SQL)) + """
+SELECT b.band, b.lo, b.hi, b.label, coalesce(c.n, 0) AS n
+FROM bands b LEFT JOIN (SELECT band, count(*) AS n FROM banded GROUP BY band) c ON c.band = b.band"""
+
+DUPS_SQL = """
+SELECT * FROM repos
+UNION ALL
+SELECT pos + 1000000000 AS pos, full_name, stargazers_count * 2 + 1 AS stargazers_count,
+       forks_count + 1 AS forks_count, watchers, open_issues_count, total_issues_count, open_pulls_count,
+       release_count, topics_count, commit_count, disk_usage, language, license_key, created_at,
+       updated_at, pushed_at, is_archived, is_fork, is_disabled, is_mirror, has_issues, has_wiki,
+       has_projects, has_discussions, description, owner_type
+FROM repos WHERE pos % 10 = 0"""
+
+SHARDED_SQL = """SELECT d.*, concat('repos_', b.label, '.jsonl') AS shard FROM dups d
+JOIN bands b ON d.stargazers_count >= b.lo AND (b.hi IS NULL OR d.stargazers_count <= b.hi)"""
+
+SHARD_CTES = [("repos", REPOS_SQL), ("bands", BANDS_SQL), ("dups", DUPS_SQL), ("sharded", SHARDED_SQL)]
+
+ORACLES["dedupe_first"] = with_ctes(*SHARD_CTES) + """
+SELECT pos, full_name, stargazers_count, forks_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY full_name ORDER BY shard, pos) AS rn FROM sharded) WHERE rn = 1"""
+
+ORACLES["scan_shards"] = with_ctes(*SHARD_CTES) + """
+SELECT pos, full_name, shard, row_number() OVER (ORDER BY shard, pos) AS line_no FROM sharded"""
+
+ORACLES["merge_shards"] = with_ctes(*SHARD_CTES, ("a", """
+SELECT r.pos, r.full_name, r.stargazers_count, c.n AS contributor_count, 0 AS src,
+       concat('repos_', b.label, '.jsonl') AS shard
+FROM repos r
+JOIN bands b ON r.stargazers_count >= b.lo AND (b.hi IS NULL OR r.stargazers_count <= b.hi)
+LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) c ON c.l_orderkey = r.pos
+WHERE r.pos % 3 = 0"""), ("allrows", """
+SELECT pos, full_name, stargazers_count, contributor_count, src, shard FROM a
+UNION ALL
+SELECT pos, full_name, stargazers_count, NULL AS contributor_count, 1 AS src, shard FROM sharded""")) + """
+SELECT pos, full_name, stargazers_count, contributor_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY full_name ORDER BY src, shard, pos) AS rn FROM allrows) WHERE rn = 1"""
+
+ORACLES["scan_jsonl"] = with_ctes(("repos", REPOS_SQL)) + f"SELECT pos, {', '.join(REPO_COLUMNS)} FROM repos"
+
+FLAT_SQL = """SELECT pos, full_name, stargazers_count, forks_count, watchers, open_issues_count,
+  total_issues_count, open_pulls_count, release_count, topics_count,
+  CASE WHEN pos % 7 = 0 THEN 0 ELSE commit_count END AS commit_count,
+  CASE WHEN pos % 5 = 0 THEN 0 ELSE coalesce(disk_usage, 0) END AS disk_usage,
+  language, license_key, created_at, updated_at,
+  coalesce(nullif(pushed_at, ''), nullif(updated_at, ''), created_at) AS pushed_at,
+  is_archived, is_fork, is_disabled, is_mirror, has_issues, has_wiki, has_projects, has_discussions,
+  coalesce(description, '') AS description, owner_type
+FROM repos"""
+
+ORACLES["flatten_nodes"] = with_ctes(("repos", REPOS_SQL)) + FLAT_SQL
+
+ORACLES["pages_to_rows"] = with_ctes(("repos", REPOS_SQL), ("bands", BANDS_SQL), ("flat", FLAT_SQL)) + f"""
+SELECT query, {', '.join(REPO_COLUMNS)} FROM (
+  SELECT f.*, CASE WHEN b.hi IS NULL THEN concat('stars:>=', cast(b.lo AS VARCHAR))
+                   ELSE concat('stars:', cast(b.lo AS VARCHAR), '..', cast(b.hi AS VARCHAR)) END AS query,
+         row_number() OVER (PARTITION BY b.band ORDER BY f.stargazers_count DESC, f.pos) AS rn
+  FROM flat f
+  JOIN bands b ON f.stargazers_count >= b.lo AND (b.hi IS NULL OR f.stargazers_count <= b.hi)
+  WHERE f.pos % 23 <> 0) WHERE rn <= 416"""

@@ -45,3 +45,299 @@ def features_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_feature_table(spark, sf_dir):
     """P10: the full feature projection."""
     return rounded(features_df(spark, sf_dir))
+
+
+# --------------------------------------------------------------- projections
+from velorank.functions.features import (BOOL_FIELDS, DAY_FIELDS, LOG_FIELDS, NUM_FIELDS,  # noqa: E402
+                                         RATE_FIELDS)
+
+
+def _feature_subset(spark, sf_dir, cols):
+    return rounded(features_df(spark, sf_dir).select("pos", *cols))
+
+
+@query("text_lengths")
+def q_text_lengths(spark, sf_dir):
+    """Code-point lengths of description and name."""
+    r = repos(spark, sf_dir)
+    return r.select("pos", feat.text_length(F.col("description")).alias("description_length"),
+                    feat.text_length(F.col("full_name")).alias("name_length"))
+
+
+@query("flags")
+def q_flags(spark, sf_dir):
+    """P3 + P5: presence / equality flags and booleans as 0/1."""
+    return _feature_subset(spark, sf_dir, BOOL_FIELDS)
+
+
+@query("numeric_defaults")
+def q_numeric_defaults(spark, sf_dir):
+    """Counts with null / absent -> 0 (contributor_count is absent)."""
+    return _feature_subset(spark, sf_dir, NUM_FIELDS)
+
+
+@query("days_since")
+def q_days_since(spark, sf_dir):
+    """Whole days since created / pushed / updated at a fixed as-of."""
+    return _feature_subset(spark, sf_dir, DAY_FIELDS)
+
+
+@query("rates")
+def q_rates(spark, sf_dir):
+    """Guarded rates."""
+    return _feature_subset(spark, sf_dir, RATE_FIELDS)
+
+
+@query("log_features")
+def q_log_features(spark, sf_dir):
+    """log1p of the skewed counts."""
+    return _feature_subset(spark, sf_dir, LOG_FIELDS)
+
+
+@query("target_transform")
+def q_target_transform(spark, sf_dir):
+    """log1p target and its floored inverse."""
+    y = F.col("stargazers_count")
+    lt = feat.log_target(y)
+    return repos(spark, sf_dir).select("pos", r6(lt).alias("log_target"),
+                                       r6(feat.star_space(lt, 0.0)).alias("star_back"))
+
+
+@query("last_page_number")
+def q_last_page_number(spark, sf_dir):
+    """Last page number from a link URL, fallback 1."""
+    from velorank.session import read_table
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", feat.last_page_number(F.col("url"), F.lit(1).cast("long")).alias("last_page"))
+
+
+@query("enrich_counts")
+def q_enrich_counts(spark, sf_dir):
+    """Per-entity count from another table (line items), missing -> 0."""
+    from velorank.operators.ingest import enrich_counts
+    from velorank.session import read_table
+    counts = (read_table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("pos"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    return enrich_counts(repos(spark, sf_dir).select("pos", "full_name"), counts, "pos", "n") \
+        .select("pos", "contributor_count")
+
+
+# A trained column list used to exercise alignment.
+ALIGN_COLUMNS = ["commit_count", "forks_count", "language_NATION_0", "language_NATION_1",
+                 "language_NATION_99", "log_forks_count"]
+
+
+@query("align_columns")
+def q_align_columns(spark, sf_dir):
+    """Trained columns in trained order; absent -> 0, extras dropped."""
+    from velorank.operators.encode import align_columns, one_hot, present_values
+    f = features_df(spark, sf_dir)
+    enc = one_hot(f, {"language": present_values(f, "language")})
+    return rounded(align_columns(enc, ALIGN_COLUMNS, keep=["pos"]))
+
+
+@query("quarantine")
+def q_quarantine(spark, sf_dir):
+    """reason per invalid raw row ('ok' when valid)."""
+    from velorank.operators.ingest import invalid_reason
+    r = repos(spark, sf_dir)
+    broken = r.select(
+        "pos",
+        F.when(F.col("pos") % 19 == 0, F.lit(None)).otherwise(F.col("full_name")).alias("full_name"),
+        "stargazers_count",
+        F.when(F.col("pos") % 17 == 0, F.regexp_replace("created_at", "T", " "))
+         .otherwise(F.col("created_at")).alias("created_at"),
+        "updated_at",
+        F.when(F.col("pos") % 29 == 0, F.lit("not-a-date")).otherwise(F.col("pushed_at")).alias("pushed_at"))
+    return broken.select("pos", F.coalesce(invalid_reason(broken), F.lit("ok")).alias("reason"))
+
+
+@query("missing_cells")
+def q_missing_cells(spark, sf_dir):
+    """A3: null cells over all raw entity columns."""
+    from velorank.operators.encode import missing_cells
+    return missing_cells(repos(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ encoding
+@query("top_languages")
+def q_top_languages(spark, sf_dir):
+    """A1: 20 most frequent languages, ties by first appearance."""
+    from velorank.operators.encode import TOP_LANGS, top_values_df
+    return top_values_df(features_df(spark, sf_dir), "language", TOP_LANGS) \
+        .withColumn("rnk", F.col("rnk").cast("long"))
+
+
+@query("top_licenses")
+def q_top_licenses(spark, sf_dir):
+    """A1: 15 most frequent licenses."""
+    from velorank.operators.encode import TOP_LICENSES, top_values_df
+    return top_values_df(features_df(spark, sf_dir), "license_key", TOP_LICENSES) \
+        .withColumn("rnk", F.col("rnk").cast("long"))
+
+
+def _bucketed(spark, sf_dir):
+    from velorank.operators.encode import TOP_LANGS, TOP_LICENSES, rare_bucket, top_values
+    f = features_df(spark, sf_dir)
+    top_l = top_values(f, "language", TOP_LANGS)
+    top_lic = top_values(f, "license_key", TOP_LICENSES)
+    return f.select("pos", rare_bucket(F.col("language"), top_l).alias("language"),
+                    rare_bucket(F.col("license_key"), top_lic).alias("license_key"))
+
+
+@query("rare_bucket")
+def q_rare_bucket(spark, sf_dir):
+    """Values outside the top-k become 'other'."""
+    return _bucketed(spark, sf_dir)
+
+
+@query("one_hot")
+def q_one_hot(spark, sf_dir):
+    """One-hot block, unpivoted to (pos, feature, value) for comparison."""
+    from velorank.operators.encode import one_hot, present_values
+    b = _bucketed(spark, sf_dir)
+    vocab = {"language": present_values(b, "language"), "license_key": present_values(b, "license_key")}
+    wide = one_hot(b, vocab)
+    cols = [c for c in wide.columns if c != "pos"]
+    return wide.unpivot(["pos"], cols, "feature", "value")
+
+
+# --------------------------------------------------------- bands and ingest
+@query("band_join")
+def q_band_join(spark, sf_dir):
+    """J1 + W9: band of every entity."""
+    from velorank.operators.bands import assign_band
+    return assign_band(repos(spark, sf_dir).select("pos", "stargazers_count")).where(F.col("band").isNotNull())
+
+
+@query("band_filter")
+def q_band_filter(spark, sf_dir):
+    """entities of one band (1600..3199), predicate pushed to the scan."""
+    from velorank.operators.bands import band_predicate, make_bands
+    lo, hi = make_bands()[5]
+    return repos(spark, sf_dir).select("pos", "stargazers_count") \
+        .where(band_predicate(F.col("stargazers_count"), lo, hi))
+
+
+@query("band_quota")
+def q_band_quota(spark, sf_dir):
+    """Top max(5000 // 12, 1) entities by stars in every band."""
+    from velorank.operators.bands import DEFAULT_EDGES, assign_band, band_quota, per_band_quota
+    n = per_band_quota(5000, len(DEFAULT_EDGES))
+    b = assign_band(repos(spark, sf_dir).select("pos", "stargazers_count")).select("pos", "stargazers_count", "band")
+    return band_quota(b, n).withColumn("rank_in_band", F.col("rank_in_band").cast("long"))
+
+
+@query("band_counts")
+def q_band_counts(spark, sf_dir):
+    """Entities per band, empty bands kept."""
+    from velorank.operators.bands import band_counts
+    return band_counts(repos(spark, sf_dir), spark)
+
+
+def _shard_label(df: DataFrame) -> DataFrame:
+    from velorank.operators.bands import assign_band
+    return assign_band(df).withColumn("shard", F.concat(F.lit("repos_"), F.col("label"), F.lit(".jsonl"))) \
+        .drop("band", "lo", "hi", "label")
+
+
+def _write_dup_shards(spark, sf_dir, name: str) -> str:
+    from velorank.session import scratch_path
+    from velorank.sources.files import write_shards
+    from velorank.sources.fixtures import repos_with_duplicates
+    path = scratch_path(spark, name)
+    write_shards(_shard_label(repos_with_duplicates(spark, sf_dir)), path, "shard", "pos")
+    return path
+
+
+def _shard_schema():
+    from pyspark.sql import types as T
+
+    from velorank.sources.schema import REPO_SCHEMA_FULL
+    return T.StructType([T.StructField("pos", T.LongType())] + REPO_SCHEMA_FULL.fields)
+
+
+@query("dedupe_first")
+def q_dedupe_first(spark, sf_dir):
+    """W1 + S2: shards written per band, read back in (path, line) order,
+    first record per name wins (not the freshest)."""
+    from velorank.operators.dedupe import keep_first
+    from velorank.sources.files import scan_shards
+    path = _write_dup_shards(spark, sf_dir, "dedupe-shards")
+    df = scan_shards(spark, path, _shard_schema())
+    first = keep_first(df.select("full_name", "pos", "stargazers_count", "forks_count",
+                                 "_src_path", "_src_block", "_src_row"), "full_name")
+    return first.select("pos", "full_name", "stargazers_count", "forks_count")
+
+
+@query("scan_shards")
+def q_scan_shards(spark, sf_dir):
+    """S2 + T1: position of every shard line in (path, line) order."""
+    from velorank.operators.rank import global_rank
+    from velorank.sources.files import scan_shards
+    path = _write_dup_shards(spark, sf_dir, "scan-shards")
+    df = scan_shards(spark, path, _shard_schema()).select("pos", "full_name", "shard", "_src_path",
+                                                          "_src_block", "_src_row")
+    ranked, _ = global_rank(df, ["_src_path", "_src_block", "_src_row"], "line_no")
+    return ranked.select("pos", "full_name", "shard", "line_no")
+
+
+@query("merge_shards")
+def q_merge_shards(spark, sf_dir):
+    """§2.8: union-all of two shard sets with different optional keys
+    (one carries contributor_count), then first-wins dedupe."""
+    from velorank.operators.dedupe import keep_first, union_shards
+    from velorank.session import read_table, scratch_path
+    from velorank.sources.files import scan_shards, write_shards
+    from velorank.sources.fixtures import repos_with_duplicates
+    base = scratch_path(spark, "merge")
+    r = repos(spark, sf_dir)
+    n_lines = (read_table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("pos"))
+               .agg(F.count(F.lit(1)).alias("contributor_count")))
+    a = _shard_label(r.where(F.col("pos") % 3 == 0).join(n_lines, "pos", "left"))
+    write_shards(a, f"{base}/a", "shard", "pos")
+    write_shards(_shard_label(repos_with_duplicates(spark, sf_dir)), f"{base}/b", "shard", "pos")
+    from pyspark.sql import types as T
+
+    from velorank.sources.schema import REPO_SCHEMA
+    schema_b = T.StructType([T.StructField("pos", T.LongType())] + REPO_SCHEMA.fields)
+    sa = scan_shards(spark, f"{base}/a", _shard_schema())
+    sb = scan_shards(spark, f"{base}/b", schema_b)
+    merged = union_shards([sb.drop("_synthetic"), sa.drop("_synthetic")])
+    first = keep_first(merged.select("full_name", "pos", "stargazers_count", "contributor_count",
+                                     "_src_path", "_src_block", "_src_row"), "full_name")
+    return first.select("pos", "full_name", "stargazers_count", "contributor_count")
+
+
+@query("scan_jsonl")
+def q_scan_jsonl(spark, sf_dir):
+    """JSON lines written and read back with an explicit schema (FAILFAST)."""
+    from velorank.session import scratch_path
+    from velorank.sources.files import scan_jsonl
+    from velorank.sources.schema import REPO_COLUMNS
+    path = scratch_path(spark, "scan-jsonl")
+    repos(spark, sf_dir).write.mode("errorifexists").json(path)
+    df = scan_jsonl(spark, path, _shard_schema())
+    return df.select("pos", *REPO_COLUMNS)
+
+
+@query("flatten_nodes")
+def q_flatten_nodes(spark, sf_dir):
+    """Nested API node JSON -> 26 flat fields."""
+    from velorank.operators.ingest import flatten_nodes
+    from velorank.sources.derived import node_json
+    from velorank.sources.schema import NODE_SCHEMA
+    nodes = node_json(repos(spark, sf_dir)).select("pos", F.from_json("node_json", NODE_SCHEMA).alias("node"))
+    return flatten_nodes(nodes, "node", keep=["pos"])
+
+
+@query("pages_to_rows")
+def q_pages_to_rows(spark, sf_dir):
+    """S3 + F1 + O2: search pages per band -> rows, null nodes skipped,
+    first max(5000 // 12, 1) per band query."""
+    from velorank.operators.bands import DEFAULT_EDGES, per_band_quota
+    from velorank.operators.ingest import pages_to_rows
+    from velorank.sources.derived import search_pages
+    pages = search_pages(repos(spark, sf_dir))
+    rows = pages_to_rows(pages, per_band_quota(5000, len(DEFAULT_EDGES)))
+    return rows.drop("page_no", "node_idx")
