@@ -189,3 +189,148 @@ SELECT query, {', '.join(REPO_COLUMNS)} FROM (
   FROM flat f
   JOIN bands b ON f.stargazers_count >= b.lo AND (b.hi IS NULL OR f.stargazers_count <= b.hi)
   WHERE f.pos % 23 <> 0) WHERE rn <= 416"""
+
+# ------------------------------------------------------------ rank / split
+STRATA_CTES = [
+    ("ranked", """SELECT pos, full_name, stargazers_count,
+       row_number() OVER (ORDER BY stargazers_count, pos) AS r, count(*) OVER () AS n FROM repos"""),
+    ("strata", """SELECT pos, full_name, stargazers_count,
+       cast(CASE WHEN n < 2 THEN 0 ELSE greatest((5 * (r - 1) + (n - 2)) // (n - 1) - 1, 0) END AS INTEGER) AS bucket
+FROM ranked"""),
+    ("cnt", "SELECT bucket, count(*) AS c FROM strata GROUP BY bucket"),
+    ("tot", "SELECT sum(c) AS n, sum(c) - cast(ceil(0.2::DOUBLE * sum(c)) AS BIGINT) AS n_train FROM cnt"),
+    ("q0", "SELECT bucket, c / n * n_train AS cont, floor(c / n * n_train) AS fl, n_train FROM cnt, tot"),
+    ("q1", """SELECT bucket, fl, row_number() OVER (ORDER BY cont - fl DESC, bucket) AS rr,
+       n_train - sum(fl) OVER () AS need FROM q0"""),
+    ("quota", "SELECT bucket, cast(fl AS BIGINT) + CASE WHEN rr <= need THEN 1 ELSE 0 END AS quota FROM q1"),
+    ("split", """SELECT s.pos, s.full_name, s.stargazers_count, s.bucket,
+       CASE WHEN row_number() OVER (PARTITION BY s.bucket ORDER BY md5(concat(s.full_name, ':0')), s.full_name)
+                 <= q.quota THEN 'train' ELSE 'test' END AS split
+FROM strata s JOIN quota q ON q.bucket = s.bucket"""),
+]
+
+ORACLES["global_rank"] = with_ctes(("repos", REPOS_SQL)) + \
+    "SELECT pos, stargazers_count, row_number() OVER (ORDER BY stargazers_count, pos) AS rank FROM repos"
+ORACLES["rank_buckets"] = with_ctes(("repos", REPOS_SQL), *STRATA_CTES[:2]) + "SELECT pos, bucket FROM strata"
+ORACLES["stratified_split"] = with_ctes(("repos", REPOS_SQL), *STRATA_CTES) + "SELECT pos, bucket, split FROM split"
+ORACLES["fold_ids"] = with_ctes(("repos", REPOS_SQL), *STRATA_CTES, ("tr", """
+SELECT pos, row_number() OVER (ORDER BY md5(concat(full_name, ':0')), full_name) - 1 AS r0, count(*) OVER () AS n
+FROM split WHERE split = 'train'""")) + """
+SELECT pos, cast(CASE WHEN r0 < (n % 5) * (n // 5 + 1) THEN r0 // (n // 5 + 1)
+                      ELSE (n % 5) + (r0 - (n % 5) * (n // 5 + 1)) // (n // 5) END AS INTEGER) AS fold
+FROM tr"""
+ORACLES["stride_sample"] = with_ctes(("repos", REPOS_SQL), ("r", """
+SELECT pos, full_name, row_number() OVER (ORDER BY pos) - 1 AS r0 FROM repos"""),
+    ("cnt", "SELECT count(*) AS n FROM repos"), ("idx", """
+SELECT DISTINCT cast(floor(i * (cnt.n::DOUBLE / 1000)) AS BIGINT) AS r0 FROM range(1000) t(i), cnt""")) + """
+SELECT pos, full_name FROM r WHERE (SELECT n FROM cnt) <= 1000 OR r0 IN (SELECT r0 FROM idx)"""
+
+# ------------------------------------------------------------------ dataset
+
+_NUMERIC_NAMES = ("forks_count,watchers,open_issues_count,total_issues_count,open_pulls_count,release_count,"
+                  "commit_count,topics_count,disk_usage,description_length,name_length,contributor_count,"
+                  "is_archived,is_fork,is_disabled,is_mirror,has_issues,has_wiki,has_projects,has_discussions,"
+                  "has_license,owner_is_org,age_days,days_since_push,days_since_update,commits_per_day,"
+                  "commits_per_year,issues_per_day,open_issue_ratio,forks_per_day,releases_per_year,"
+                  "log_forks_count,log_commit_count,log_open_issues_count,log_total_issues_count,log_disk_usage")
+
+ORACLES["build_dataset"] = base(*BUCKET_CTES, *STRATA_CTES) + f"""
+SELECT f.pos, f.full_name, sp.split, sp.bucket, f.stargazers_count, {feature_select('f.')},
+       concat('language_', bl.language) AS language_col, concat('license_key_', bl.license_key) AS license_col
+FROM feats f JOIN split sp ON sp.pos = f.pos JOIN bl ON bl.pos = f.pos"""
+
+ORACLES["dataset_roundtrip"] = with_ctes(("repos", REPOS_SQL), *STRATA_CTES) + \
+    "SELECT pos, full_name, split, bucket, stargazers_count FROM split WHERE split = 'test'"
+
+ORACLES["feature_schema"] = base(*BUCKET_CTES, *STRATA_CTES) + f"""
+SELECT 'stargazers_count' AS target,
+  cast(36 + (SELECT count(DISTINCT language) FROM bl) + (SELECT count(DISTINCT license_key) FROM bl) AS BIGINT)
+    AS n_columns,
+  concat('{_NUMERIC_NAMES}', ',',
+         (SELECT string_agg(concat('language_', v), ',' ORDER BY v) FROM (SELECT DISTINCT language AS v FROM bl)),
+         ',',
+         (SELECT string_agg(concat('license_key_', v), ',' ORDER BY v)
+          FROM (SELECT DISTINCT license_key AS v FROM bl))) AS feature_columns,
+  concat((SELECT string_agg(language, ',' ORDER BY rnk) FROM tl), ',other') AS top_langs,
+  concat((SELECT string_agg(license_key, ',' ORDER BY rnk) FROM tlic), ',other') AS top_licenses,
+  false AS uses_contributors,
+  (SELECT cast(count(*) FILTER (WHERE split = 'train') AS BIGINT) FROM split) AS n_train,
+  (SELECT cast(count(*) FILTER (WHERE split = 'test') AS BIGINT) FROM split) AS n_test"""
+
+# ---------------------------------------------------------------- metrics
+def _r2(ssr: str, sst: str) -> str:
+    return f"CASE WHEN {sst} = 0 THEN CASE WHEN {ssr} = 0 THEN 1.0 ELSE 0.0 END ELSE 1 - {ssr} / {sst} END"
+
+
+ORACLES["metrics"] = with_ctes(("repos", REPOS_SQL), ("p", """
+SELECT pos, stargazers_count::DOUBLE AS y, ln(1 + forks_count * 10.0::DOUBLE) AS lp FROM repos"""),
+    ("q", "SELECT *, greatest(exp(lp) - 1, 0) AS sp, ln(1 + y) AS lt FROM p"),
+    ("e", "SELECT *, abs(sp - y) / greatest(y, 1) * 100 AS ape FROM q"),
+    ("a", """SELECT sum(pow(lt - lp, 2)) AS ssr_log, var_pop(lt) * count(*) AS sst_log,
+       sum(pow(y - sp, 2)) AS ssr_star, var_pop(y) * count(*) AS sst_star,
+       avg(abs(sp - y)) AS mae_star, sqrt(avg(pow(sp - y, 2))) AS rmse_star,
+       quantile_cont(ape, 0.5) AS median_ape FROM e""")) + f"""
+SELECT {r6(_r2("ssr_log", "sst_log"))} AS r2_log, {r6(_r2("ssr_star", "sst_star"))} AS r2_star,
+       {r6("mae_star")} AS mae_star, {r6("rmse_star")} AS rmse_star, {r6("median_ape")} AS median_ape FROM a"""
+
+TRIALS_SQL = """
+SELECT ['LinearRegression', 'Ridge', 'RandomForest', 'ExtraTrees', 'GradientBoosting',
+        'HistGradientBoosting'][pos % 6 + 1] AS model_name,
+       concat(['LinearRegression', 'Ridge', 'RandomForest', 'ExtraTrees', 'GradientBoosting',
+               'HistGradientBoosting'][pos % 6 + 1], '_', substr(sha1(full_name), 1, 12)) AS config_id,
+       CASE WHEN pos % 97 = 0 THEN 'NaN'::DOUBLE
+            ELSE (stargazers_count % 1000)::DOUBLE / 1000.0::DOUBLE END AS cv_r2
+FROM repos"""
+
+ORACLES["best_per_model"] = with_ctes(("repos", REPOS_SQL), ("t", TRIALS_SQL)) + f"""
+SELECT model_name, config_id, {r6("cv_r2")} AS cv_r2 FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY isnan(cv_r2), cv_r2 DESC, config_id) AS rn
+  FROM t) WHERE rn = 1"""
+
+ORACLES["best_overall"] = with_ctes(("repos", REPOS_SQL), ("t", TRIALS_SQL)) + f"""
+SELECT model_name, config_id, {r6("cv_r2")} AS cv_r2 FROM t
+ORDER BY isnan(cv_r2), cv_r2 DESC, config_id LIMIT 1"""
+
+ORACLES["cv_mean"] = with_ctes(("repos", REPOS_SQL), ("f", r"""
+SELECT concat('cfg_', regexp_extract(full_name, '^user(\d+)/', 1)) AS config_id,
+       (stargazers_count % 1000)::DOUBLE / 1000.0::DOUBLE AS r2_fold FROM repos""")) + f"""
+SELECT config_id, {r6("avg(r2_fold)")} AS cv_r2, count(*) AS n_folds FROM f GROUP BY config_id"""
+
+ORACLES["relative_to_first"] = with_ctes(("y", """
+SELECT cast(year(l_shipdate) AS BIGINT) AS ship_year, count(*) AS n_lines, sum(l_quantity) AS quantity
+FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1""")) + f"""
+SELECT ship_year, n_lines, {r6("quantity")} AS quantity,
+       {r6("first_value(quantity * n_lines) OVER (ORDER BY ship_year ROWS BETWEEN UNBOUNDED PRECEDING "
+           "AND UNBOUNDED FOLLOWING) / quantity")} AS ratio
+FROM y"""
+
+ORACLES["ranked_report"] = with_ctes(("repos", REPOS_SQL), ("inp", """
+SELECT pos, concat_ws('-', full_name, coalesce(language, 'unknown'), coalesce(license_key, 'none')) AS name,
+       forks_count * 10.5::DOUBLE AS pred_stars FROM repos"""),
+    ("st", "SELECT least(max(length(name)), 40) AS w, max(pred_stars) AS top FROM inp")) + """
+SELECT row_number() OVER (ORDER BY pred_stars DESC, pos) AS rank, pos,
+       CASE WHEN length(name) <= w THEN name ELSE concat(substr(name, 1, w - 1), '…') END AS name,
+       format('{:,}', cast(trunc(pred_stars) AS BIGINT)) AS value_str,
+       repeat('█', cast(greatest(1, round_even(18.0::DOUBLE * pred_stars /
+                                               (CASE WHEN top = 0 THEN 1 ELSE top END), 0)) AS INTEGER)) AS bar
+FROM inp, st"""
+
+ORACLES["pred_vs_actual"] = with_ctes(("repos", REPOS_SQL), ("p", """
+SELECT pos, stargazers_count, ln(1 + forks_count * 10.0::DOUBLE) AS lp FROM repos"""), ("q", """
+SELECT pos, stargazers_count, greatest(exp(lp) - 1, 1) AS pred_stars,
+       greatest(stargazers_count::DOUBLE, 1) AS actual_stars FROM p""")) + f"""
+SELECT pos, stargazers_count, {r6("pred_stars")} AS pred_stars, {r6("actual_stars")} AS actual_stars,
+       {r6("greatest((SELECT max(pred_stars) FROM q), (SELECT max(stargazers_count) FROM q))")} AS axis_max
+FROM q"""
+
+ORACLES["content_key"] = with_ctes(("repos", REPOS_SQL)) + """
+SELECT pos, concat('repo_', substr(sha1(concat('{"full_name": "', full_name, '", "model_name": "repo", ',
+                                                '"stargazers_count": ', cast(stargazers_count AS VARCHAR), '}')),
+                                   1, 12)) AS content_key
+FROM repos"""
+
+_STD = ["forks_count", "commit_count", "disk_usage", "is_fork"]
+ORACLES["standardize"] = base(("st", "SELECT " + ", ".join(
+    f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _STD) + " FROM feats")) + "SELECT pos, " + ", ".join(
+    r6(f"({c} - m_{c}) / CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1 ELSE s_{c} END") + f" AS {c}" for c in _STD
+) + " FROM feats, st"

@@ -341,3 +341,200 @@ def q_pages_to_rows(spark, sf_dir):
     pages = search_pages(repos(spark, sf_dir))
     rows = pages_to_rows(pages, per_band_quota(5000, len(DEFAULT_EDGES)))
     return rows.drop("page_no", "node_idx")
+
+
+# ----------------------------------------------------- ranking and splitting
+SEED = 0
+
+
+@query("global_rank")
+def q_global_rank(spark, sf_dir):
+    """W3 + C1: rank 1..n by (stars, position), no single-partition window."""
+    from velorank.operators.rank import global_rank
+    ranked, _ = global_rank(repos(spark, sf_dir).select("pos", "stargazers_count"),
+                            ["stargazers_count", "pos"], "rank")
+    return ranked
+
+
+def _strata(spark, sf_dir, cols=("pos", "full_name", "stargazers_count")):
+    from velorank.operators.rank import global_rank, qcut_bucket
+    ranked, n = global_rank(repos(spark, sf_dir).select(*cols), ["stargazers_count", "pos"], "_r")
+    return ranked.withColumn("bucket", qcut_bucket(F.col("_r"), n, 5)).drop("_r")
+
+
+@query("rank_buckets")
+def q_rank_buckets(spark, sf_dir):
+    """Equal-frequency strata of the rank (qcut, not ntile)."""
+    return _strata(spark, sf_dir).select("pos", "bucket")
+
+
+def _split(spark, sf_dir):
+    from velorank.operators.split import stratified_split
+    return stratified_split(_strata(spark, sf_dir), "bucket", "full_name", 0.2, SEED)
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    """80/20 split with per-stratum largest-remainder quotas."""
+    return _split(spark, sf_dir).select("pos", "bucket", "split")
+
+
+@query("fold_ids")
+def q_fold_ids(spark, sf_dir):
+    """5 contiguous folds over the train rows in split-hash order."""
+    from velorank.operators.split import assign_folds
+    train = _split(spark, sf_dir).where(F.col("split") == "train")
+    return assign_folds(train, "full_name", SEED, 5).select("pos", "fold")
+
+
+@query("stride_sample")
+def q_stride_sample(spark, sf_dir):
+    """O3: 1000 entities evenly spaced over position order."""
+    from velorank.operators.rank import stride_sample
+    return stride_sample(repos(spark, sf_dir).select("pos", "full_name"), ["pos"], 1000)
+
+
+# ---------------------------------------------------------------- dataset E3
+def _dataset(spark, sf_dir):
+    from velorank.plans.dataset import build_dataset
+    return build_dataset(repos(spark, sf_dir), AS_OF)
+
+
+def _hot_column(df: DataFrame, prefix: str) -> Column:
+    cols = [c for c in df.columns if c.startswith(prefix)]
+    return F.coalesce(*[F.when(F.col(f"`{c}`") == 1, F.lit(c)) for c in cols]) if cols else F.lit(None)
+
+
+@query("build_dataset")
+def q_build_dataset(spark, sf_dir):
+    """E3 (flagship): feature table, top-k + one-hot, strata, split.
+    The one-hot block is reported as the name of its hot column."""
+    from velorank.functions.features import NUMERIC_FEATURES
+    ds = _dataset(spark, sf_dir)
+    df = ds.df
+    return rounded(df.select("pos", "full_name", "split", "bucket", "stargazers_count", *NUMERIC_FEATURES,
+                             _hot_column(df, "language_").alias("language_col"),
+                             _hot_column(df, "license_key_").alias("license_col")))
+
+
+@query("dataset_roundtrip")
+def q_dataset_roundtrip(spark, sf_dir):
+    """Dataset written partitioned by split, test split read back
+    (partition pruning)."""
+    from velorank.session import scratch_path
+    from velorank.sources.files import read_dataset, write_dataset
+    ds = _dataset(spark, sf_dir)
+    path = scratch_path(spark, "dataset")
+    write_dataset(ds.df, path)
+    return read_dataset(spark, path, "test").select("pos", "full_name", "split", "bucket", "stargazers_count")
+
+
+@query("feature_schema")
+def q_feature_schema(spark, sf_dir):
+    """S5 + A2 + A8: feature-schema artifact written and read back."""
+    from velorank.session import scratch_path
+    from velorank.sources.files import FEATURE_SCHEMA_TYPE, read_feature_schema, write_feature_schema
+    ds = _dataset(spark, sf_dir)
+    path = scratch_path(spark, "feature-schema")
+    write_feature_schema(spark, ds.meta(), path)
+    m = read_feature_schema(spark, path)
+    row = (m["target"], len(m["feature_columns"]), ",".join(m["feature_columns"]), ",".join(m["top_langs"]),
+           ",".join(m["top_licenses"]), m["uses_contributors"], m["n_train"], m["n_test"])
+    assert FEATURE_SCHEMA_TYPE
+    return spark.createDataFrame([row], "target string, n_columns long, feature_columns string, top_langs string, "
+                                        "top_licenses string, uses_contributors boolean, n_train long, n_test long")
+
+
+# ---------------------------------------------------- metrics and selection
+def _det_log_pred() -> Column:
+    """Deterministic prediction used where a model would stand."""
+    return F.log1p(F.col("forks_count").cast("double") * 10)
+
+
+@query("metrics")
+def q_metrics(spark, sf_dir):
+    """A4: r2 (log, star), MAE, RMSE, exact median APE."""
+    from velorank.operators.metrics import regression_metrics
+    df = repos(spark, sf_dir).select("pos", "stargazers_count", _det_log_pred().alias("log_pred"))
+    return rounded(regression_metrics(df, "stargazers_count", "log_pred", "pos"))
+
+
+def _trials(spark, sf_dir):
+    from velorank.sources.derived import trials_from_repos
+    return trials_from_repos(repos(spark, sf_dir))
+
+
+@query("best_per_model")
+def q_best_per_model(spark, sf_dir):
+    """A5: best config per model, NaN last, first (config id order) wins."""
+    from velorank.operators.metrics import best_per_group
+    t = _trials(spark, sf_dir).select("model_name", "config_id", "cv_r2")
+    return rounded(best_per_group(t, "model_name", "cv_r2", "config_id"))
+
+
+@query("best_overall")
+def q_best_overall(spark, sf_dir):
+    """The single best trial."""
+    from velorank.operators.metrics import best_overall
+    t = _trials(spark, sf_dir).select("model_name", "config_id", "cv_r2")
+    return rounded(best_overall(t, "cv_r2", "config_id"))
+
+
+@query("cv_mean")
+def q_cv_mean(spark, sf_dir):
+    """Unweighted mean fold score per config."""
+    from velorank.operators.metrics import cv_mean
+    from velorank.sources.derived import fold_scores_from_repos
+    return rounded(cv_mean(fold_scores_from_repos(repos(spark, sf_dir))))
+
+
+@query("relative_to_first")
+def q_relative_to_first(spark, sf_dir):
+    """Yearly shipped quantity relative to the first year
+    (base = first quantity x first line count)."""
+    from velorank.operators.report import relative_to_first
+    from velorank.session import read_table
+    li = read_table(spark, sf_dir, "lineitem")
+    yearly = (li.groupBy(F.year("l_shipdate").cast("long").alias("ship_year"))
+              .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("quantity")))
+    return rounded(relative_to_first(yearly, "ship_year", "n_lines", "quantity"))
+
+
+def _report_input(spark, sf_dir):
+    r = repos(spark, sf_dir)
+    name = F.concat_ws("-", F.col("full_name"), F.coalesce(F.col("language"), F.lit("unknown")),
+                       F.coalesce(F.col("license_key"), F.lit("none")))
+    return r.select("pos", name.alias("name"), (F.col("forks_count") * F.lit(10.5)).alias("pred_stars"))
+
+
+@query("ranked_report")
+def q_ranked_report(spark, sf_dir):
+    """W8 + O1: ranked table with cut names, thousands separators, bars."""
+    from velorank.operators.report import ranked_report
+    return ranked_report(_report_input(spark, sf_dir), "name", "pred_stars", "pos")
+
+
+@query("pred_vs_actual")
+def q_pred_vs_actual(spark, sf_dir):
+    """Predicted vs actual, clipped at 1, common axis max."""
+    from velorank.operators.report import pred_vs_actual
+    df = repos(spark, sf_dir).select("pos", "stargazers_count", _det_log_pred().alias("log_pred"))
+    return rounded(pred_vs_actual(df, "stargazers_count", "log_pred").drop("log_pred"))
+
+
+@query("content_key")
+def q_content_key(spark, sf_dir):
+    """M2: stable short id = name + '_' + sha1(sorted-key JSON)[:12]."""
+    from velorank.plans.training import content_key
+    r = repos(spark, sf_dir)
+    key = content_key("repo", strings={"full_name": F.col("full_name")},
+                      numbers={"stargazers_count": F.col("stargazers_count")})
+    return r.select("pos", key.alias("content_key"))
+
+
+@query("standardize")
+def q_standardize(spark, sf_dir):
+    """M3: z-score with population sigma (sigma 0 -> 1)."""
+    from velorank.plans.training import standardize
+    f = features_df(spark, sf_dir).select("pos", "forks_count", "commit_count", "disk_usage", "is_fork")
+    return rounded(standardize(f, ["forks_count", "commit_count", "disk_usage", "is_fork"], keep=["pos"]))
