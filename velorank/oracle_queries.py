@@ -334,3 +334,5 @@ ORACLES["standardize"] = base(("st", "SELECT " + ", ".join(
     f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _STD) + " FROM feats")) + "SELECT pos, " + ", ".join(
     r6(f"({c} - m_{c}) / CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1 ELSE s_{c} END") + f" AS {c}" for c in _STD
 ) + " FROM feats, st"
+
+ORACLES["incremental_ingest"] = ORACLES["dedupe_first"]
