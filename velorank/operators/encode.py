@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from velorank.operators.sizing import collect_bounded
+
 # How many categories are kept, and the catch-all bucket.
 TOP_LANGS = 20
 TOP_LICENSES = 15
@@ -52,10 +54,12 @@ def rare_bucket(c: Column, keep: Sequence[str]) -> Column:
     return F.when(c.isin(*keep), c).otherwise(F.lit(OTHER))
 
 
-def present_values(df: DataFrame, column: str) -> list[str]:
-    """Distinct values present after bucketing (≤ k+1, bounded), sorted by
-    code point like the reference's dummy columns."""
-    vals = [r[0] for r in df.select(column).distinct().collect() if r[0] is not None]
+def present_values(df: DataFrame, column: str, max_values: int = 1000) -> list[str]:
+    """Distinct values present (call after bucketing: ≤ k+1), sorted by
+    code point like the reference's dummy columns; more than
+    ``max_values`` is an error, not a silent cut."""
+    rows = collect_bounded(df.select(column).distinct(), max_values, f"vocabulary of {column}")
+    vals = [r[0] for r in rows if r[0] is not None]
     return sorted(vals, key=lambda s: s.encode("utf-8"))
 
 

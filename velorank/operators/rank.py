@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from velorank.functions.arith import idiv
 
+from velorank.operators.sizing import broadcast_bounded
 from velorank.session import materialize
 
 _PID, _MID = "_vr_pid", "_vr_mid"
@@ -78,10 +79,8 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
     ``row_number() over (partition by group order by ...)`` that stays
     balanced when one group holds most rows)."""
     ranked, _ = global_rank(df, [*group, *_sort_cols(order)], "_vr_g", num_partitions)
-    starts = ranked.groupBy(*group).agg(F.min("_vr_g").alias("_vr_start"))
-    n_groups = starts.count()
-    if n_groups <= BROADCAST_GROUP_LIMIT:
-        starts = F.broadcast(starts)
+    starts = broadcast_bounded(ranked.groupBy(*group).agg(F.min("_vr_g").alias("_vr_start")),
+                               BROADCAST_GROUP_LIMIT)
     out = ranked.join(starts, list(group), "inner")
     return (out.withColumn(rank_col, F.col("_vr_g") - F.col("_vr_start") + F.lit(1))
             .drop("_vr_g", "_vr_start"))

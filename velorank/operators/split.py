@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velorank.operators.rank import fold_id, global_rank, rank_within
+from velorank.operators.sizing import collect_bounded
 
 
 def split_hash(key: Column, seed: int) -> Column:
@@ -40,8 +41,8 @@ def train_quotas(counts: dict[int, int], test_size: float = 0.2) -> dict[int, in
 def stratified_split(df: DataFrame, stratum_col: str, key_col: str = "full_name",
                      test_size: float = 0.2, seed: int = 0, split_col: str = "split") -> DataFrame:
     """Add ``split`` ('train' / 'test') keeping stratum proportions."""
-    # one row per stratum (q strata, bounded)
-    counts = {r[0]: r[1] for r in df.groupBy(stratum_col).count().collect()}
+    # one row per stratum (q strata; a bounded collect)
+    counts = {r[0]: r[1] for r in collect_bounded(df.groupBy(stratum_col).count(), 10_000, "strata")}
     quotas = train_quotas(counts, test_size)
     quota_of = F.create_map(*[x for k, v in quotas.items() for x in (F.lit(k), F.lit(v))])
     ranked = rank_within(df.withColumn("_vr_h", split_hash(F.col(key_col), seed)),
@@ -54,7 +55,11 @@ def stratified_split(df: DataFrame, stratum_col: str, key_col: str = "full_name"
 def assign_folds(train: DataFrame, key_col: str = "full_name", seed: int = 0, k: int = 5,
                  fold_col: str = "fold") -> DataFrame:
     """Contiguous folds over the train rows in their shuffled (hash)
-    order — never ingest order, which would hold out whole star ranges."""
-    ranked, n = global_rank(train.withColumn("_vr_h", split_hash(F.col(key_col), seed)),
-                            ["_vr_h", key_col], "_vr_frank")
-    return ranked.withColumn(fold_col, fold_id(F.col("_vr_frank") - 1, n, k)).drop("_vr_frank", "_vr_h")
+    order — never ingest order, which would hold out whole star ranges.
+
+    Only the (unique) key is ranked; the fold id joins back to the wide
+    rows in one shuffle join."""
+    keys = train.select(key_col).withColumn("_vr_h", split_hash(F.col(key_col), seed))
+    ranked, n = global_rank(keys, ["_vr_h", key_col], "_vr_frank")
+    folds = ranked.select(key_col, fold_id(F.col("_vr_frank") - 1, n, k).alias(fold_col))
+    return train.join(folds, key_col)

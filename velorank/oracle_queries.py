@@ -49,13 +49,14 @@ SELECT r.pos, coalesce(c.n, 0) AS contributor_count
 FROM repos r LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) c
   ON c.l_orderkey = r.pos"""
 
-ORACLES["align_columns"] = base() + f"""
-SELECT pos, commit_count, forks_count,
-       CASE WHEN language = 'NATION_0' THEN 1 ELSE 0 END AS language_NATION_0,
-       CASE WHEN language = 'NATION_1' THEN 1 ELSE 0 END AS language_NATION_1,
+def _align_sql():
+    return base(*BUCKET_CTES) + f"""
+SELECT f.pos, f.commit_count, f.forks_count,
+       CASE WHEN b.language = 'NATION_0' THEN 1 ELSE 0 END AS language_NATION_0,
+       CASE WHEN b.language = 'NATION_1' THEN 1 ELSE 0 END AS language_NATION_1,
        0 AS language_NATION_99,
-       {r6("log_forks_count")} AS log_forks_count
-FROM feats"""
+       {r6("f.log_forks_count")} AS log_forks_count
+FROM feats f JOIN bl b ON b.pos = f.pos"""
 
 _TS = "'%Y-%m-%dT%H:%M:%SZ'"
 ORACLES["quarantine"] = with_ctes(("repos", REPOS_SQL), ("broken", """
@@ -336,3 +337,5 @@ ORACLES["standardize"] = base(("st", "SELECT " + ", ".join(
 ) + " FROM feats, st"
 
 ORACLES["incremental_ingest"] = ORACLES["dedupe_first"]
+
+ORACLES["align_columns"] = _align_sql()

@@ -81,11 +81,14 @@ def build_dataset(repos: DataFrame, as_of: str, top_langs: int = TOP_LANGS, top_
     n_missing = missing_cells(encoded, feature_cols).first()["n_missing"]
     encoded = fill_zero(encoded, feature_cols) if n_missing else encoded
 
-    ranked, n = global_rank(encoded, [TARGET, "pos"], "_vr_rank")
-    bucketed_rank = ranked.withColumn("bucket", qcut_bucket(F.col("_vr_rank"), n, q)).drop("_vr_rank")
-    split = stratified_split(bucketed_rank, "bucket", "full_name", test_size, seed)
+    # strata and split on the narrow key projection; one join brings them back
+    keys = feats.select("pos", "full_name", TARGET)
+    ranked, n = global_rank(keys, [TARGET, "pos"], "_vr_rank")
+    strata = ranked.withColumn("bucket", qcut_bucket(F.col("_vr_rank"), n, q)).drop("_vr_rank")
+    assignment = stratified_split(strata, "bucket", "full_name", test_size, seed).select("pos", "split", "bucket")
     n_train = n - _ceil_share(test_size, n)
-    out = split.select(*KEY_COLS, "split", "bucket", TARGET, *[F.col(f"`{c}`") for c in feature_cols])
+    out = encoded.join(assignment, "pos").select(
+        *KEY_COLS, "split", "bucket", TARGET, *[F.col(f"`{c}`") for c in feature_cols])
     return Dataset(out, feature_cols, top_l, top_lic, bool(stats["uses_contrib"]),
                    n_train, n - n_train, int(n_missing))
 

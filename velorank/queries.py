@@ -131,8 +131,9 @@ ALIGN_COLUMNS = ["commit_count", "forks_count", "language_NATION_0", "language_N
 def q_align_columns(spark, sf_dir):
     """Trained columns in trained order; absent -> 0, extras dropped."""
     from velorank.operators.encode import align_columns, one_hot, present_values
-    f = features_df(spark, sf_dir)
-    enc = one_hot(f, {"language": present_values(f, "language")})
+    b = _bucketed(spark, sf_dir)
+    f = features_df(spark, sf_dir).select("pos", "commit_count", "forks_count", "log_forks_count")
+    enc = one_hot(f.join(b, "pos"), {"language": present_values(b, "language")})
     return rounded(align_columns(enc, ALIGN_COLUMNS, keep=["pos"]))
 
 

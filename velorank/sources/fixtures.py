@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velorank.functions.arith import idiv
+from velorank.operators.sizing import broadcast_bounded
 
 from velorank.session import ensure_utc, read_table
 from velorank.sources.schema import TS_FORMAT
@@ -42,7 +43,7 @@ def repos(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = (orders
             .join(li, orders.o_orderkey == li.l_orderkey, "left")
             .join(customer, orders.o_custkey == customer.c_custkey, "inner")
-            .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+            .join(broadcast_bounded(nation), F.col("c_nationkey") == F.col("n_nationkey"), "inner")
             .withColumn("band_lo", F.lit(50) * F.pow(F.lit(2), F.col("o_orderkey") % 13).cast("bigint"))
             .withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("bigint"))
             .withColumn("day_s", F.unix_seconds(F.col("o_orderdate").cast("timestamp")).cast("bigint")))
