@@ -621,22 +621,33 @@ def q_grid_search(spark, sf_dir):
 
 @query("results_table")
 def q_results_table(spark, sf_dir):
-    """M11 + S8 + S9: winners refit on train, scored on test; the overall
-    winner saved and loaded back."""
+    """M11 + S6 + S8 + S9: trial records appended and scanned back, winners
+    refit on train and scored on test, the overall winner saved and loaded
+    back, results and metadata written."""
     from pyspark.ml import PipelineModel
 
     from velorank.plans.training import select_best
     from velorank.session import scratch_path
-    from velorank.sources.files import write_results
+    from velorank.sources.files import scan_trials, write_metadata, write_results, write_trials
     ds, train, test, trials = _grid_trials(spark, sf_dir)
-    results, winner, model = select_best(trials, train, test, ds.feature_columns)
+    trials_path = scratch_path(spark, "trials")
+    write_trials(trials, trials_path)
+    results, winner, model = select_best(scan_trials(spark, trials_path), train, test, ds.feature_columns)
     path = scratch_path(spark, "model")
     model.write().overwrite().save(path)
     PipelineModel.load(path)
     write_results(results, scratch_path(spark, "results"))
+    best = results.where(F.col("model_name") == winner).first().asDict()
+    write_metadata(spark, {"model_name": winner, "log_target": True, "deployment_time": DEPLOYMENT_TIME,
+                           "metrics": {k: v for k, v in best.items() if k != "best_hyperparameters"}},
+                   scratch_path(spark, "metadata"))
     return rounded(results.drop("best_hyperparameters").withColumn("is_winner", F.col("model_name") == winner))
 
 
+# Fixed value: deployment time recorded in the metadata (passed in, not read from the clock).
+DEPLOYMENT_TIME = "2002-01-01T00:00:00+00:00"
+
+
 @query("ranked_predictions")
 def q_ranked_predictions(spark, sf_dir):
     """M12 + O1: whole test table scored by the selected model and ranked."""
