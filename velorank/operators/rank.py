@@ -74,11 +74,22 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], rank_col: str = "r
 
 
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                rank_col: str = "rank", num_partitions: int | None = None) -> DataFrame:
+                rank_col: str = "rank", num_partitions: int | None = None,
+                group_sizes: dict | None = None) -> DataFrame:
     """1-based rank of ``order`` inside each ``group`` (a distributed
     ``row_number() over (partition by group order by ...)`` that stays
-    balanced when one group holds most rows)."""
+    balanced when one group holds most rows).
+
+    ``group_sizes`` (single group column, sizes known in advance, few
+    groups): group starts are inlined as a literal map — no extra job."""
     ranked, _ = global_rank(df, [*group, *_sort_cols(order)], "_vr_g", num_partitions)
+    if group_sizes is not None and len(group) == 1 and len(group_sizes) <= BROADCAST_GROUP_LIMIT:
+        starts_of, acc = [], 1
+        for g in sorted(group_sizes):
+            starts_of += [F.lit(g), F.lit(acc).cast("long")]
+            acc += group_sizes[g]
+        start = F.element_at(F.create_map(*starts_of), F.col(group[0]))
+        return ranked.withColumn(rank_col, F.col("_vr_g") - start + F.lit(1)).drop("_vr_g")
     starts = broadcast_bounded(ranked.groupBy(*group).agg(F.min("_vr_g").alias("_vr_start")),
                                BROADCAST_GROUP_LIMIT)
     out = ranked.join(starts, list(group), "inner")
@@ -95,6 +106,30 @@ def qcut_bucket(rank: Column, n: int, q: int = 5) -> Column:
     return F.greatest(bucket, F.lit(0)).cast("int")
 
 
+def qcut_counts(n: int, q: int = 5) -> dict[int, int]:
+    """Rows per ``qcut_bucket`` for ranks 1..n, from the closed form
+    (bucket is monotone in the rank: binary search each upper edge)."""
+    if n < 2:
+        return {0: n} if n else {}
+
+    def bucket(r: int) -> int:
+        return max((q * (r - 1) + n - 2) // (n - 1) - 1, 0)
+
+    counts, prev = {}, 0
+    for b in range(q):
+        lo, hi = prev, n  # last rank with bucket <= b
+        while lo < hi:
+            mid = (lo + hi + 1) // 2
+            if bucket(mid) <= b:
+                lo = mid
+            else:
+                hi = mid - 1
+        if lo > prev:
+            counts[b] = lo - prev
+        prev = lo
+    return counts
+
+
 def fold_id(rank0: Column, n: int, k: int = 5) -> Column:
     """Contiguous block k-fold id of a 0-based position (first n%k
     blocks one longer) — the closed form of ``ntile(k) - 1``."""

@@ -39,14 +39,18 @@ def train_quotas(counts: dict[int, int], test_size: float = 0.2) -> dict[int, in
 
 
 def stratified_split(df: DataFrame, stratum_col: str, key_col: str = "full_name",
-                     test_size: float = 0.2, seed: int = 0, split_col: str = "split") -> DataFrame:
-    """Add ``split`` ('train' / 'test') keeping stratum proportions."""
-    # one row per stratum (q strata; a bounded collect)
-    counts = {r[0]: r[1] for r in collect_bounded(df.groupBy(stratum_col).count(), 10_000, "strata")}
+                     test_size: float = 0.2, seed: int = 0, split_col: str = "split",
+                     stratum_sizes: dict[int, int] | None = None) -> DataFrame:
+    """Add ``split`` ('train' / 'test') keeping stratum proportions.
+
+    ``stratum_sizes`` may be passed when known (qcut strata of n rows);
+    otherwise one row per stratum is counted (a bounded collect)."""
+    counts = stratum_sizes if stratum_sizes is not None else \
+        {r[0]: r[1] for r in collect_bounded(df.groupBy(stratum_col).count(), 10_000, "strata")}
     quotas = train_quotas(counts, test_size)
     quota_of = F.create_map(*[x for k, v in quotas.items() for x in (F.lit(k), F.lit(v))])
     ranked = rank_within(df.withColumn("_vr_h", split_hash(F.col(key_col), seed)),
-                         [stratum_col], ["_vr_h", key_col], "_vr_srank")
+                         [stratum_col], ["_vr_h", key_col], "_vr_srank", group_sizes=counts)
     return (ranked.withColumn(split_col, F.when(F.col("_vr_srank") <= F.element_at(quota_of, F.col(stratum_col)),
                                                 F.lit("train")).otherwise(F.lit("test")))
             .drop("_vr_srank", "_vr_h"))

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velorank.functions.features import NUMERIC_FEATURES, make_features
-from velorank.operators.encode import (OTHER, TOP_LANGS, TOP_LICENSES, fill_zero, missing_cells,
-                                       one_hot, rare_bucket, value_counts)
-from velorank.operators.rank import global_rank, qcut_bucket
+from velorank.operators.encode import (OTHER, TOP_LANGS, TOP_LICENSES, fill_zero, one_hot, rare_bucket,
+                                       value_counts)
+from velorank.operators.rank import global_rank, qcut_bucket, qcut_counts
 from velorank.operators.split import stratified_split
 from velorank.session import materialize
 
@@ -75,17 +75,20 @@ def build_dataset(repos: DataFrame, as_of: str, top_langs: int = TOP_LANGS, top_
     onehot_cols = [f"language_{v}" for v in langs] + [f"license_key_{v}" for v in lics]
     feature_cols = NUMERIC_FEATURES + onehot_cols
 
-    stats = feats.agg(
+    # A2 + A3 in one aggregate pass
+    agg = encoded.agg(
         F.coalesce(F.max((F.col("contributor_count") > 0).cast("int")), F.lit(0)).alias("uses_contrib"),
-    ).first()
-    n_missing = missing_cells(encoded, feature_cols).first()["n_missing"]
+        *[F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(f"_m{i}") for i, c in enumerate(feature_cols)]).first()
+    stats = {"uses_contrib": agg["uses_contrib"]}
+    n_missing = sum(agg[f"_m{i}"] or 0 for i in range(len(feature_cols)))
     encoded = fill_zero(encoded, feature_cols) if n_missing else encoded
 
     # strata and split on the narrow key projection; one join brings them back
     keys = feats.select("pos", "full_name", TARGET)
     ranked, n = global_rank(keys, [TARGET, "pos"], "_vr_rank")
     strata = ranked.withColumn("bucket", qcut_bucket(F.col("_vr_rank"), n, q)).drop("_vr_rank")
-    assignment = stratified_split(strata, "bucket", "full_name", test_size, seed).select("pos", "split", "bucket")
+    assignment = stratified_split(strata, "bucket", "full_name", test_size, seed,
+                                  stratum_sizes=qcut_counts(n, q)).select("pos", "split", "bucket")
     n_train = n - _ceil_share(test_size, n)
     out = encoded.join(assignment, "pos").select(
         *KEY_COLS, "split", "bucket", TARGET, *[F.col(f"`{c}`") for c in feature_cols])
