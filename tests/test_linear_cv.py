@@ -42,3 +42,26 @@ def test_linear_cv_matches_brute_force(spark, alpha):
     cfg = {"model_name": "Ridge", "alpha": alpha} if alpha else {"model_name": "LinearRegression"}
     got = linear_cv(df.repartition(7), cols, "label", "fold", [cfg], 5)[0]
     assert got == pytest.approx(_brute(X, y, folds, alpha), abs=1e-6)
+
+
+def test_fit_linear_predictions_and_roundtrip(spark):
+    from velorank.plans.linear_cv import LinearMomentModel, fit_linear
+    from velorank.session import scratch_path
+    rng = np.random.default_rng(5)
+    n = 300
+    X = rng.normal(size=(n, 3)) * np.array([1.0, 50.0, 0.2])
+    y = X @ np.array([0.5, -0.02, 3.0]) + 1.0 + rng.normal(size=n) * 0.1
+    df = spark.createDataFrame([tuple(map(float, X[i])) + (float(y[i]),) for i in range(n)],
+                               "a double, b double, c double, label double")
+    model = fit_linear(df, ["a", "b", "c"], "label", {"model_name": "Ridge", "alpha": 1.0})
+    mu, sd = X.mean(axis=0), X.std(axis=0)
+    Z = (X - mu) / sd
+    w = np.linalg.solve(Z.T @ Z + np.eye(3), Z.T @ (y - y.mean()))
+    want = Z @ w + y.mean()
+    got = np.array([r["prediction"] for r in model.transform(df).collect()])
+    assert np.allclose(got, want, atol=1e-8)
+    path = scratch_path(spark, "lin-model")
+    model.save(spark, path)
+    again = LinearMomentModel.load(spark, path)
+    got2 = np.array([r["prediction"] for r in again.transform(df).collect()])
+    assert np.allclose(got2, got, atol=0)

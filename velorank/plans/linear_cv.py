@@ -134,3 +134,54 @@ def linear_cv(df: DataFrame, feature_cols: Sequence[str], label: str, fold_col:
             fold_r2.append(r2_from_moments(moments[f], d, beta, c0))
         scores.append(float(np.mean(fold_r2)))
     return scores
+
+
+class LinearMomentModel:
+    """A fitted scaled least-squares model: prediction is one column
+    expression ``y0 + sum(beta_j * (x_j - s_j))`` (whole-stage codegen,
+    no Python at scoring time)."""
+
+    def __init__(self, feature_cols: Sequence[str], beta: np.ndarray, intercept: float, shift: np.ndarray,
+                 prediction_col: str = "prediction"):
+        self.feature_cols = list(feature_cols)
+        self.beta = np.asarray(beta, dtype=np.float64)
+        self.intercept = float(intercept)
+        self.shift = np.asarray(shift, dtype=np.float64)
+        self.prediction_col = prediction_col
+
+    def prediction(self):
+        terms = [F.lit(float(b)) * (F.col(f"`{c}`").cast("double") - F.lit(float(s)))
+                 for c, b, s in zip(self.feature_cols, self.beta, self.shift) if b != 0.0]
+        expr = F.lit(self.intercept)
+        for t in terms:
+            expr = expr + t
+        return expr
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.prediction_col, self.prediction())
+
+    def to_json(self) -> str:
+        import json
+        return json.dumps({"feature_columns": self.feature_cols, "beta": self.beta.tolist(),
+                           "intercept": self.intercept, "shift": self.shift.tolist()})
+
+    def save(self, spark, path: str) -> None:
+        spark.createDataFrame([(self.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> "LinearMomentModel":
+        import json
+        rows = spark.read.text(path).take(2)
+        if len(rows) != 1:
+            raise FileNotFoundError(f"model missing at {path}")
+        m = json.loads(rows[0][0])
+        return cls(m["feature_columns"], np.array(m["beta"]), m["intercept"], np.array(m["shift"]))
+
+
+def fit_linear(df: DataFrame, feature_cols: Sequence[str], label: str, cfg: Mapping) -> LinearMomentModel:
+    """Refit one linear config on all rows of ``df`` (two passes)."""
+    one = df.withColumn("_vr_fold0", F.lit(0))
+    moments, shift, yshift = fold_moments(one, feature_cols, label, "_vr_fold0", 1)
+    alpha = float(cfg.get("alpha", 1.0)) if cfg["model_name"] == "Ridge" else 0.0
+    beta, c0 = solve(moments[0], len(feature_cols), alpha)
+    return LinearMomentModel(feature_cols, beta, yshift + c0, shift)

@@ -624,9 +624,7 @@ def q_results_table(spark, sf_dir):
     """M11 + S6 + S8 + S9: trial records appended and scanned back, winners
     refit on train and scored on test, the overall winner saved and loaded
     back, results and metadata written."""
-    from pyspark.ml import PipelineModel
-
-    from velorank.plans.training import select_best
+    from velorank.plans.training import load_model, save_model, select_best
     from velorank.session import scratch_path
     from velorank.sources.files import scan_trials, write_metadata, write_results, write_trials
     ds, train, test, trials = _grid_trials(spark, sf_dir)
@@ -634,8 +632,8 @@ def q_results_table(spark, sf_dir):
     write_trials(trials, trials_path)
     results, winner, model = select_best(scan_trials(spark, trials_path), train, test, ds.feature_columns)
     path = scratch_path(spark, "model")
-    model.write().overwrite().save(path)
-    PipelineModel.load(path)
+    save_model(model, path)
+    load_model(spark, path, winner in ("LinearRegression", "Ridge"))
     write_results(results, scratch_path(spark, "results"))
     best = results.where(F.col("model_name") == winner).first().asDict()
     write_metadata(spark, {"model_name": winner, "log_target": True, "deployment_time": DEPLOYMENT_TIME,
