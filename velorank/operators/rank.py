@@ -39,19 +39,14 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def _target_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def global_rank(df: DataFrame, order: Sequence[Column | str], rank_col: str = "rank",
                 num_partitions: int | None = None) -> tuple[DataFrame, int]:
     """1-based rank over ``order`` (must be a total order: end it with a
     unique column).  Returns the ranked frame and the row count."""
     sort = _sort_cols(order)
-    n_parts = _target_partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(n_parts, *sort)
+    # without an explicit count AQE may coalesce adjacent ranges (order kept)
+    ranged = (df.repartitionByRange(num_partitions, *sort) if num_partitions else df.repartitionByRange(*sort))
+    ranged = (ranged
               .sortWithinPartitions(*sort)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_MID, F.monotonically_increasing_id()))
