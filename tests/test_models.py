@@ -60,3 +60,17 @@ def test_select_and_score(spark, data):
     preds = [r["predicted_stars"] for r in rows]
     assert preds == sorted(preds, reverse=True) and min(preds) >= 0
     assert log_target  # imported for the label path
+
+
+def test_extra_trees_and_hist_boosting_fit(data):
+    ds, train, _ = data
+    jobs = [{"model_name": "ExtraTrees", "n_estimators": 20, "max_depth": 6, "min_samples_leaf": 1},
+            {"model_name": "HistGradientBoosting", "max_iter": 20, "learning_rate": 0.1, "max_depth": 4}]
+    scores = [r["cv_r2"] for r in grid_search(train, ds.feature_columns, jobs).collect()]
+    assert min(scores) >= 0.9
+
+
+def test_vocab_on_train(spark):
+    ds = build_dataset(repos(spark, SMOKE), AS_OF, vocab_on="train")
+    assert "language_other" in ds.feature_columns and "license_key_other" in ds.feature_columns
+    assert ds.df.count() == ds.n_train + ds.n_test

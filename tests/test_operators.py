@@ -253,3 +253,17 @@ def test_grid_size_and_config_id():
     assert len(stride_jobs(jobs, 30)) == 30
     cid = config_id({"model_name": "Ridge", "alpha": 1.0})
     assert cid.startswith("Ridge_") and len(cid) == len("Ridge_") + 12
+
+
+# ----------------------------------------------------------------- S1 / T9
+def test_scan_jsonl_failfast_and_permissive(spark, tmp_path):
+    from velorank.sources.files import scan_jsonl
+    p = tmp_path / "raw.jsonl"
+    p.write_text('{"full_name": "a/b", "stargazers_count": 5}\n{"full_name": "c/d", "stargazers_count": "many"}\n')
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("full_name", T.StringType()), T.StructField("stargazers_count", T.LongType())])
+    with pytest.raises(Exception):
+        scan_jsonl(spark, str(p), schema, strict=True).collect()
+    rows = scan_jsonl(spark, str(p), schema, strict=False).orderBy("_src_row").collect()
+    assert rows[0]["_corrupt_record"] is None and rows[1]["_corrupt_record"] is not None
+    assert rows[1]["stargazers_count"] is None

@@ -62,11 +62,30 @@ def vocabulary(df: DataFrame, column: str, k: int) -> tuple[list[str], list[str]
 
 
 def build_dataset(repos: DataFrame, as_of: str, top_langs: int = TOP_LANGS, top_licenses: int = TOP_LICENSES,
-                  q: int = 5, test_size: float = 0.2, seed: int = 0) -> Dataset:
+                  q: int = 5, test_size: float = 0.2, seed: int = 0, vocab_on: str = "all") -> Dataset:
+    """``vocab_on='all'`` computes the top-k vocabularies over every row
+    before the split (the reference's behaviour); ``'train'`` uses only the
+    train rows (no test information in the encoding)."""
     feats = materialize(make_features(repos, as_of, keep=("pos", "full_name", TARGET)))
 
-    top_l, langs = vocabulary(feats, "language", top_langs)
-    top_lic, lics = vocabulary(feats, "license_key", top_licenses)
+    # strata and split on the narrow key projection; joined back below
+    keys = feats.select("pos", "full_name", TARGET)
+    ranked, n = global_rank(keys, [TARGET, "pos"], "_vr_rank")
+    strata = ranked.withColumn("bucket", qcut_bucket(F.col("_vr_rank"), n, q)).drop("_vr_rank")
+    assignment = stratified_split(strata, "bucket", "full_name", test_size, seed,
+                                  stratum_sizes=qcut_counts(n, q)).select("pos", "split", "bucket")
+    if vocab_on == "train":
+        vocab_rows = feats.join(assignment.where(F.col("split") == "train").select("pos"), "pos", "left_semi")
+    elif vocab_on == "all":
+        vocab_rows = feats
+    else:
+        raise ValueError("vocab_on must be 'all' or 'train'")
+    top_l, langs = vocabulary(vocab_rows, "language", top_langs)
+    top_lic, lics = vocabulary(vocab_rows, "license_key", top_licenses)
+    if vocab_on == "train":
+        # values seen only in test still bucket to 'other'
+        langs = sorted(set(langs) | {OTHER}, key=lambda s: s.encode("utf-8"))
+        lics = sorted(set(lics) | {OTHER}, key=lambda s: s.encode("utf-8"))
     bucketed = feats.select(
         *[c for c in feats.columns if c not in ("language", "license_key")],
         rare_bucket(F.col("language"), top_l).alias("language"),
@@ -83,12 +102,6 @@ def build_dataset(repos: DataFrame, as_of: str, top_langs: int = TOP_LANGS, top_
     n_missing = sum(agg[f"_m{i}"] or 0 for i in range(len(feature_cols)))
     encoded = fill_zero(encoded, feature_cols) if n_missing else encoded
 
-    # strata and split on the narrow key projection; one join brings them back
-    keys = feats.select("pos", "full_name", TARGET)
-    ranked, n = global_rank(keys, [TARGET, "pos"], "_vr_rank")
-    strata = ranked.withColumn("bucket", qcut_bucket(F.col("_vr_rank"), n, q)).drop("_vr_rank")
-    assignment = stratified_split(strata, "bucket", "full_name", test_size, seed,
-                                  stratum_sizes=qcut_counts(n, q)).select("pos", "split", "bucket")
     n_train = n - _ceil_share(test_size, n)
     out = encoded.join(assignment, "pos").select(
         *KEY_COLS, "split", "bucket", TARGET, *[F.col(f"`{c}`") for c in feature_cols])

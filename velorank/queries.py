@@ -576,11 +576,15 @@ def _train_test(spark, sf_dir):
 
 
 def _fit_predict(spark, sf_dir, cfg):
+    from velorank.plans.linear_cv import fit_linear
     from velorank.plans.training import LABEL, PREDICTION, label_stats, pipeline
     ds, train, test = _train_test(spark, sf_dir)
-    n, sigma_y = label_stats(train)
-    model = pipeline(cfg, ds.feature_columns, n, sigma_y).fit(
-        train.withColumn(LABEL, feat.log_target(F.col("stargazers_count"))))
+    labelled = train.withColumn(LABEL, feat.log_target(F.col("stargazers_count")))
+    if cfg["model_name"] in ("LinearRegression", "Ridge"):
+        model = fit_linear(labelled, ds.feature_columns, LABEL, cfg)
+    else:
+        n, sigma_y = label_stats(train)
+        model = pipeline(cfg, ds.feature_columns, n, sigma_y).fit(labelled)
     pred = model.transform(test)
     return pred.select("pos", "stargazers_count", r6(F.col(PREDICTION)).alias("log_pred"),
                        r6(feat.star_space(F.col(PREDICTION), 0.0)).alias("predicted_stars"))
