@@ -31,8 +31,10 @@ from velorank.operators.sizing import broadcast_bounded
 from velorank.session import materialize
 
 _PID, _MID = "_vr_pid", "_vr_mid"
-# Upper bound on groups whose start table is broadcast (rows, checked).
+# Upper bound on groups whose start table is broadcast (rows, checked), and on
+# groups whose starts are inlined as a literal map.
 BROADCAST_GROUP_LIMIT = 100_000
+LITERAL_GROUP_LIMIT = 1_000
 
 
 def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
@@ -70,26 +72,44 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], rank_col: str = "r
 
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
                 rank_col: str = "rank", num_partitions: int | None = None,
-                group_sizes: dict | None = None) -> DataFrame:
+                group_sizes: dict | None = None, return_sizes: bool = False):
     """1-based rank of ``order`` inside each ``group`` (a distributed
     ``row_number() over (partition by group order by ...)`` that stays
     balanced when one group holds most rows).
 
-    ``group_sizes`` (single group column, sizes known in advance, few
-    groups): group starts are inlined as a literal map — no extra job."""
+    Group starts come from ``group_sizes`` when the caller knows them, else
+    from one aggregate over the checkpointed ranking; for a single group
+    column with few groups they are inlined as a literal map (no join),
+    otherwise joined back (broadcast only under a checked size).
+    ``return_sizes`` also returns {group: rows} when it was computed."""
     ranked, _ = global_rank(df, [*group, *_sort_cols(order)], "_vr_g", num_partitions)
-    if group_sizes is not None and len(group) == 1 and len(group_sizes) <= BROADCAST_GROUP_LIMIT:
+    sizes = group_sizes
+    if sizes is None and len(group) == 1:
+        stats = ranked.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+        rows = stats.limit(LITERAL_GROUP_LIMIT + 1).collect()
+        if len(rows) <= LITERAL_GROUP_LIMIT:
+            sizes = {r[group[0]]: r["n"] for r in rows}
+    if sizes is not None and len(group) == 1:
         starts_of, acc = [], 1
-        for g in sorted(group_sizes):
+        for g in sorted(sizes, key=_group_order):
             starts_of += [F.lit(g), F.lit(acc).cast("long")]
-            acc += group_sizes[g]
+            acc += sizes[g]
         start = F.element_at(F.create_map(*starts_of), F.col(group[0]))
-        return ranked.withColumn(rank_col, F.col("_vr_g") - start + F.lit(1)).drop("_vr_g")
+        out = ranked.withColumn(rank_col, F.col("_vr_g") - start + F.lit(1)).drop("_vr_g")
+        return (out, sizes) if return_sizes else out
     starts = broadcast_bounded(ranked.groupBy(*group).agg(F.min("_vr_g").alias("_vr_start")),
                                BROADCAST_GROUP_LIMIT)
     out = ranked.join(starts, list(group), "inner")
-    return (out.withColumn(rank_col, F.col("_vr_g") - F.col("_vr_start") + F.lit(1))
-            .drop("_vr_g", "_vr_start"))
+    out = (out.withColumn(rank_col, F.col("_vr_g") - F.col("_vr_start") + F.lit(1))
+           .drop("_vr_g", "_vr_start"))
+    return (out, None) if return_sizes else out
+
+
+def _group_order(g):
+    # ascending, nulls first — the order of the range key
+    if g is None:
+        return (0, b"")
+    return (1, g.encode("utf-8") if isinstance(g, str) else g)
 
 
 def qcut_bucket(rank: Column, n: int, q: int = 5) -> Column:

@@ -78,8 +78,9 @@ def search_pages(repos: DataFrame) -> DataFrame:
     queries = F.array(*[F.lit(band_query(lo, hi)) for lo, hi in bands])
     with_band = assign_band(repos).where(F.col("band").isNotNull())
     with_band = with_band.withColumn("query", F.element_at(queries, F.col("band") + 1))
-    ranked = rank_within(with_band, ["query"], [F.desc("stargazers_count"), F.asc("pos")], "r")
-    counts = with_band.groupBy("query").agg(F.count(F.lit(1)).alias("repository_count"))
+    ranked, sizes = rank_within(with_band, ["query"], [F.desc("stargazers_count"), F.asc("pos")], "r",
+                                return_sizes=True)
+    count_of = F.create_map(*[x for q, c in sizes.items() for x in (F.lit(q), F.lit(c).cast("long"))])
     nodes = ranked.select(
         "query", (idiv((F.col("r") - 1), PAGE_SIZE)).cast("int").alias("page_no"),
         F.col("r"),
@@ -87,7 +88,7 @@ def search_pages(repos: DataFrame) -> DataFrame:
     # one page = at most PAGE_SIZE nodes: a bounded collect per group
     pages = (nodes.groupBy("query", "page_no")
              .agg(F.array_sort(F.collect_list(F.struct("r", "node"))).alias("items")))
-    pages = pages.join(F.broadcast(counts), "query")  # one row per band (bounded)
+    pages = pages.withColumn("repository_count", F.element_at(count_of, F.col("query")))
     last_page = idiv((F.col("repository_count") - 1), PAGE_SIZE)
     body = F.to_json(F.struct(F.struct(F.struct(
         F.col("repository_count").alias("repositoryCount"),
