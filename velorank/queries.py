@@ -27,8 +27,11 @@ def query(name: str):
 
 
 def r6(c: Column | str) -> Column:
+    """Round to 6 places as ``round(x * 1e6) / 1e6`` on the binary value
+    (half away from zero) — the same result as the SQL oracle's round; a
+    decimal-string half-up would differ at exact decimal ties."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double"), 6)
+    return F.round(c.cast("double") * F.lit(1e6), 0) / F.lit(1e6)
 
 
 def rounded(df: DataFrame) -> DataFrame:
