@@ -9,8 +9,8 @@ one task):
    a third of all rows is still cut into many partitions.
 2. ``sortWithinPartitions`` + ``spark_partition_id`` + per-partition row
    index (``monotonically_increasing_id`` minus the partition's base).
-3. A reliable checkpoint pins partition membership (sampling happens once;
-   recomputation after an executor loss reads the checkpoint).
+3. A table written to the shared checkpoint folder pins partition id and
+   row index (sampling happens once; a lost executor re-reads the table).
 4. Per-partition counts (one row per partition — bounded by the partition
    count, not by the data) become offsets inlined as an array literal.
 

@@ -2,9 +2,10 @@
 
 S1 -> P10 -> A1 -> E1 -> E2 -> A3/P14 -> W3 -> W4 -> W5 -> (S4, S5)
 
-The feature table is checkpointed once (it feeds the vocabulary
-aggregates, the missing-cell count and the rank); every later step reads
-the checkpoint instead of recomputing the scan and its joins.
+The feature table is written once to the shared checkpoint folder (it
+feeds the vocabulary aggregates, the missing-cell count and the rank);
+every later step reads only the columns it needs from that copy instead of
+recomputing the scan and its joins.
 """
 
 from __future__ import annotations

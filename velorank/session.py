@@ -80,10 +80,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/velorank-tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Cut lineage with a table written to the shared checkpoint folder.
+
+    Reliable like ``checkpoint()`` (survives executor loss; never a local
+    checkpoint), but columnar: later passes read only the columns they use
+    and the copy is compressed."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
