@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from velorank.functions.features import epoch_seconds, non_empty_or
 from velorank.operators.rank import rank_within
-from velorank.sources.schema import PAGE_SCHEMA, REPO_COLUMNS
+from velorank.sources.schema import PAGE_SCHEMA
 
 # Fixed value: nodes per API page.
 PAGE_SIZE = 40
@@ -35,7 +35,7 @@ def flatten_node(node: Column) -> list[Column]:
         node["repositoryTopics"]["totalCount"].alias("topics_count"),
         # commit count only when ref, target and history are all present
         F.when(hist.isNotNull(), hist["totalCount"]).otherwise(F.lit(0)).cast("long").alias("commit_count"),
-        F.coalesce(F.nullif(node["diskUsage"], F.lit(0)), F.lit(0)).cast("long").alias("disk_usage"),
+        F.coalesce(node["diskUsage"], F.lit(0)).cast("long").alias("disk_usage"),
         node["primaryLanguage"]["name"].alias("language"),
         node["licenseInfo"]["key"].alias("license_key"),
         created.alias("created_at"),
@@ -122,5 +122,3 @@ def require_rows(df: DataFrame, what: str = "no valid rows") -> DataFrame:
     return df
 
 
-def repo_columns(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    return df.select(*extra, *REPO_COLUMNS)

@@ -10,7 +10,7 @@ ORACLES["feature_table"] = base() + f"""
 SELECT pos, full_name, stargazers_count, {feature_select()}, language, license_key FROM feats
 """
 
-from velorank.oracles import (DOUBLE_FEATURES, INT_FEATURES, r6, with_ctes, REPOS_SQL)  # noqa: E402
+from velorank.oracles import DOUBLE_FEATURES, REPOS_SQL, r6, with_ctes  # noqa: E402
 from velorank.sources.schema import REPO_COLUMNS  # noqa: E402
 
 

@@ -10,7 +10,9 @@ recomputing the scan and its joins.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import math
+
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +38,6 @@ class Dataset:
     n_train: int
     n_test: int
     n_missing: int
-    extra: dict = field(default_factory=dict)
 
     def meta(self) -> dict:
         return {
@@ -103,13 +104,9 @@ def build_dataset(repos: DataFrame, as_of: str, top_langs: int = TOP_LANGS, top_
     n_missing = sum(agg[f"_m{i}"] or 0 for i in range(len(feature_cols)))
     encoded = fill_zero(encoded, feature_cols) if n_missing else encoded
 
-    n_train = n - _ceil_share(test_size, n)
+    n_train = n - math.ceil(test_size * n)
     out = encoded.join(assignment, "pos").select(
         *KEY_COLS, "split", "bucket", TARGET, *[F.col(f"`{c}`") for c in feature_cols])
     return Dataset(out, feature_cols, top_l, top_lic, bool(stats["uses_contrib"]),
                    n_train, n - n_train, int(n_missing))
 
-
-def _ceil_share(share: float, n: int) -> int:
-    import math
-    return math.ceil(share * n)

@@ -437,14 +437,13 @@ def q_dataset_roundtrip(spark, sf_dir):
 def q_feature_schema(spark, sf_dir):
     """S5 + A2 + A8: feature-schema artifact written and read back."""
     from velorank.session import scratch_path
-    from velorank.sources.files import FEATURE_SCHEMA_TYPE, read_feature_schema, write_feature_schema
+    from velorank.sources.files import read_feature_schema, write_feature_schema
     ds = _dataset(spark, sf_dir)
     path = scratch_path(spark, "feature-schema")
     write_feature_schema(spark, ds.meta(), path)
     m = read_feature_schema(spark, path)
     row = (m["target"], len(m["feature_columns"]), ",".join(m["feature_columns"]), ",".join(m["top_langs"]),
            ",".join(m["top_licenses"]), m["uses_contributors"], m["n_train"], m["n_test"])
-    assert FEATURE_SCHEMA_TYPE
     return spark.createDataFrame([row], "target string, n_columns long, feature_columns string, top_langs string, "
                                         "top_licenses string, uses_contributors boolean, n_train long, n_test long")
 
@@ -656,9 +655,8 @@ DEPLOYMENT_TIME = "2002-01-01T00:00:00+00:00"
 @query("ranked_predictions")
 def q_ranked_predictions(spark, sf_dir):
     """M12 + O1: whole test table scored by the selected model and ranked."""
-    from velorank.plans.training import build_jobs, score_table, select_best
+    from velorank.plans.training import build_jobs, grid_search, score_table, select_best
     ds, train, test = _train_test(spark, sf_dir)
-    from velorank.plans.training import grid_search
     trials = grid_search(train, ds.feature_columns, build_jobs(["Ridge"]), "fold", 5, parallelism=4)
     _, _, model = select_best(trials, train, test, ds.feature_columns)
     raw = repos(spark, sf_dir).join(test.select("pos"), "pos", "left_semi")

@@ -25,7 +25,7 @@ def _total(c) -> F.Column:
     return F.struct(c.alias("totalCount"))
 
 
-def node_struct(r: DataFrame | None = None) -> F.Column:
+def node_struct() -> F.Column:
     """Inverse of flatten for a ``repos`` row: some sub-objects absent
     (no default branch every 7th, disk usage unknown every 5th, no
     description when empty) so every null path of P1 is exercised."""
