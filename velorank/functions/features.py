@@ -67,14 +67,15 @@ def epoch_seconds(ts_str: Column, strict: bool = True) -> Column:
     """Seconds since epoch of a ``yyyy-MM-ddTHH:mm:ssZ`` string (UTC).
 
     strict: ANSI ``to_timestamp`` raises on a malformed value, like the
-    reference; otherwise ``try_to_timestamp`` gives null (quarantine path).
+    reference; otherwise ``try_to_timestamp`` gives null (quarantine path, T10).
     """
     ts = F.to_timestamp(ts_str, TS_FORMAT) if strict else F.try_to_timestamp(ts_str, F.lit(TS_FORMAT))
     return F.unix_seconds(ts)
 
 
 def whole_days_since(ts_str: Column, as_of: str, strict: bool = True) -> Column:
-    """floor((as_of - t) / 1 day); future -> negative; not datediff."""
+    """floor((as_of - t) / 1 day); future -> negative; not datediff (T4);
+    ``as_of`` is a parameter, never the clock (T6)."""
     now = F.unix_seconds(F.to_timestamp(F.lit(as_of), TS_FORMAT))
     return F.floor((now - epoch_seconds(ts_str, strict)) / F.lit(SECONDS_PER_DAY)).cast("long")
 

@@ -86,7 +86,7 @@ def pages_to_rows(pages: DataFrame, max_repos: int | None = None, query_col: str
 
 def enrich_counts(df: DataFrame, counts: DataFrame, key: str, count_col: str,
                   out_col: str = "contributor_count") -> DataFrame:
-    """Attach a per-entity count from another source, missing -> 0.
+    """Attach a per-entity count from another source, missing -> 0.
 
     A left equi-join; Spark picks broadcast only when the count table's
     runtime size is under the threshold, else a shuffle join (AQE splits

@@ -115,7 +115,7 @@ def _group_order(g):
 def qcut_bucket(rank: Column, n: int, q: int = 5) -> Column:
     """``pd.qcut(rank, q, labels=False)`` for ranks 1..n — right-closed,
     linearly interpolated edges; not ``ntile``."""
-    if n < 2:
+    if n < 2:  # T13: no division by n - 1 = 0
         return F.lit(0).cast("int")
     bucket = idiv((F.lit(q) * (rank - 1) + F.lit(n - 2)).cast("long"), F.lit(n - 1)) - 1
     return F.greatest(bucket, F.lit(0)).cast("int")

@@ -29,7 +29,8 @@ def rank_predictions(df: DataFrame, value_col: str, tiebreak: str = "pos", rank_
 
 def ranked_report(df: DataFrame, name_col: str, value_col: str, tiebreak: str = "pos") -> DataFrame:
     """Rank, name cut to min(max len, 40) with an ellipsis, value as an
-    int with thousands separators, bar of max(1, round_half_even(18*v/top))."""
+    int with thousands separators, bar of max(1, round_half_even(18*v/top))
+    (T11: ``bround``, and the value is cast to bigint before formatting)."""
     stats = df.agg(F.max(F.length(name_col)).alias("w"), F.max(value_col).alias("top")).first()
     width = min(stats["w"] if stats["w"] is not None else 10, NAME_WIDTH_MAX)
     top = float(stats["top"]) if stats["top"] else 1.0

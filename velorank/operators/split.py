@@ -59,7 +59,7 @@ def stratified_split(df: DataFrame, stratum_col: str, key_col: str = "full_name"
 def assign_folds(train: DataFrame, key_col: str = "full_name", seed: int = 0, k: int = 5,
                  fold_col: str = "fold") -> DataFrame:
     """Contiguous folds over the train rows in their shuffled (hash)
-    order — never ingest order, which would hold out whole star ranges.
+    order — never ingest order, which would hold out whole star ranges (T14).
 
     Only the (unique) key is ranked; the fold id joins back to the wide
     rows in one shuffle join."""

@@ -1,4 +1,5 @@
-"""E3 dataset build: raw entity rows -> one feature table with a split column.
+"""E3 dataset build: raw entity rows -> one feature table with a split column
+(one keyed table — never X and y joined by position, T12).
 
 S1 -> P10 -> A1 -> E1 -> E2 -> A3/P14 -> W3 -> W4 -> W5 -> (S4, S5)
 
