@@ -80,6 +80,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/velorank-tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` exist on its (Hadoop) file system?"""
+    try:
+        jvm = spark.sparkContext._jvm  # noqa: SLF001
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))  # noqa: SLF001
+    except Exception:  # noqa: BLE001 — no JVM handle (remote session): probe by reading
+        try:
+            spark.read.format("binaryFile").load(path).limit(1).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
+
+
 def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     """Cut lineage with a table written to the shared checkpoint folder.
 
