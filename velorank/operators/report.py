@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from velorank.functions.features import star_space
 from velorank.operators.rank import global_rank
@@ -51,11 +50,11 @@ def ranked_report(df: DataFrame, name_col: str, value_col: str, tiebreak: str =
 def relative_to_first(df: DataFrame, order_col: str, size_col: str, time_col: str) -> DataFrame:
     """``base = time[first] * size[first]``; ratio = base / time.
 
-    Runs on an already aggregated, small table (one row per ``order_col``
-    value); the un-partitioned window touches only those rows."""
-    w = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    base = F.first(F.col(time_col) * F.col(size_col)).over(w)
-    return df.withColumn("ratio", base / F.col(time_col))
+    The first row by ``order_col`` comes from a ``min_by`` global aggregate
+    (partial per task, one value to the driver) — no un-partitioned window,
+    whatever the input size."""
+    base = df.agg(F.min_by(F.col(time_col) * F.col(size_col), F.col(order_col)).alias("b")).first()["b"]
+    return df.withColumn("ratio", F.lit(base).cast("double") / F.col(time_col))
 
 
 def pred_vs_actual(df: DataFrame, y_col: str, log_pred_col: str) -> DataFrame:
