@@ -57,3 +57,18 @@ def test_streaming_batch_retry_is_idempotent(spark):
     run(batch, 0)
     run(batch, 0)  # the same epoch delivered again after a failure
     assert spark.read.parquet(target).count() == 2
+
+
+def test_salted_top_n_exact_with_hot_group(spark):
+    from velorank.operators.rank import top_n_per_group
+    rows = [(i, 0 if i % 3 == 0 else i % 5, (i * 7919) % 1009) for i in range(6000)]
+    df = spark.createDataFrame(rows, "pos long, g long, v long")
+    out = top_n_per_group(df, "g", [F.desc("v"), F.asc("pos")], 25, "rk", keep_rank=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 4  # partial + final in both stages
+    got = {(r["g"], r["rk"]): r["pos"] for r in out.collect()}
+    for g in range(5):
+        members = sorted([t for t in rows if t[1] == g], key=lambda t: (-t[2], t[0]))[:25]
+        for k, t in enumerate(members, 1):
+            assert got[(g, k)] == t[0]
+    assert len(got) == 5 * 25

@@ -8,15 +8,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from velorank.functions.features import epoch_seconds, non_empty_or
-from velorank.operators.rank import rank_within
+from velorank.operators.rank import top_n_per_group
 from velorank.sources.schema import PAGE_SCHEMA
 
 # Fixed value: nodes per API page.
 PAGE_SIZE = 40
-WINDOW_GROUP_LIMIT_MAX = 1000
 
 
 def flatten_node(node: Column) -> list[Column]:
@@ -59,18 +57,6 @@ def flatten_nodes(df: DataFrame, node_col: str = "node", keep: Sequence[str] = (
     return df.select(*[F.col(c) for c in keep], *flatten_node(F.col(node_col)))
 
 
-def top_n_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int | None,
-                    rank_col: str = "_vr_n") -> DataFrame:
-    """First ``n`` rows per group in ``order`` (n falsy = all rows)."""
-    if not n:
-        return df
-    if n <= WINDOW_GROUP_LIMIT_MAX:
-        ranked = df.withColumn(rank_col, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    else:
-        ranked = rank_within(df, [group], list(order), rank_col)
-    return ranked.where(F.col(rank_col) <= n).drop(rank_col)
-
-
 def pages_to_rows(pages: DataFrame, max_repos: int | None = None, query_col: str = "query",
                   page_col: str = "page_no", body_col: str = "body") -> DataFrame:
     """S3: captured search pages (JSON text) -> one flat row per non-null

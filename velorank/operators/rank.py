@@ -121,6 +121,37 @@ def qcut_bucket(rank: Column, n: int, q: int = 5) -> Column:
     return F.greatest(bucket, F.lit(0)).cast("int")
 
 
+# Salt buckets of the first stage of a top-N per group, and the largest N for
+# which Spark's WindowGroupLimit (partial top-N before the shuffle) applies.
+TOP_N_SALTS = 64
+WINDOW_GROUP_LIMIT_MAX = 1000
+
+
+def top_n_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int | None,
+                    rank_col: str = "_vr_n", salts: int = TOP_N_SALTS, keep_rank: bool = False) -> DataFrame:
+    """First ``n`` rows per ``group`` in ``order`` (n falsy = all rows).
+
+    Two stages, the first salted: top-N per (group, salt) then top-N per
+    group.  The union of per-salt top-Ns contains the group's top-N, so the
+    result is exact; a group holding a third of all rows reaches its final
+    task as at most ``n * salts`` rows (each stage also runs a partial
+    top-N before its shuffle).  Large N uses the distributed rank."""
+    from pyspark.sql.window import Window
+    if not n:
+        return df
+    order = list(order)
+    if n > WINDOW_GROUP_LIMIT_MAX:
+        ranked = rank_within(df, [group], order, rank_col)
+    else:
+        salt = F.pmod(F.xxhash64(*[o for o in df.columns]), F.lit(salts))
+        first = (df.withColumn("_vr_salt", salt)
+                 .withColumn(rank_col, F.row_number().over(Window.partitionBy(group, "_vr_salt").orderBy(*order)))
+                 .where(F.col(rank_col) <= n).drop(rank_col, "_vr_salt"))
+        ranked = first.withColumn(rank_col, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    out = ranked.where(F.col(rank_col) <= n)
+    return out if keep_rank else out.drop(rank_col)
+
+
 def qcut_counts(n: int, q: int = 5) -> dict[int, int]:
     """Rows per ``qcut_bucket`` for ranks 1..n, from the closed form
     (bucket is monotone in the rank: binary search each upper edge)."""
