@@ -51,9 +51,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The reliable checkpoint folder of this session.
 
     Reads ``SparkContext.getCheckpointDir()`` / ``spark.checkpoint.dir``; only
-    a local-mode session without either gets a private temp folder.
-    """
-    sc = spark.sparkContext
+    a local-mode session without either gets a private temp folder."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — a remote session has no context handle
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir is not set") from None
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
