@@ -40,3 +40,19 @@ def test_end_to_end(spark):
     assert set(bad.select("reason").distinct().toPandas()["reason"]) == {"bad created_at"}
     top = report.orderBy("rank").first()
     assert top["rank"] == 1 and len(top["bar"]) == 18
+
+
+def test_cli_build_train_select(spark, capsys):
+    from velorank.__main__ import main
+    from velorank.session import scratch_path
+    base = scratch_path(spark, "cli")
+    raw = repos(spark, SMOKE)
+    raw.write.parquet(f"{base}/raw")
+    assert main(["build", "--base", base, "--as-of", AS_OF]) == 0
+    assert main(["train", "--base", base, "--model", "Ridge", "--max-jobs", "2"]) == 0
+    assert main(["select", "--base", base, "--deployment-time", "2002-01-01T00:00:00+00:00"]) == 0
+    names = [r["full_name"] for r in raw.orderBy("pos").limit(3).collect()]
+    assert main(["predict", "--base", base, "--entities", f"{base}/raw", "--as-of", AS_OF,
+                 "--winner", "Ridge", *names]) == 0
+    out = capsys.readouterr().out
+    assert "train=" in out and "Ridge" in out and "█" in out
