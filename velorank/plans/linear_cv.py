@@ -75,6 +75,11 @@ def fold_moments(df: DataFrame, feature_cols: Sequence[str], label: str, fold_co
 
     renamed = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols],
                         F.col(label).cast("double").alias(label), F.col(fold_col).cast("int").alias(fold_col))
+    # one partial vector per task and fold: cap the task count at the cluster's
+    # parallelism (a narrow coalesce, no shuffle) so the partials scale with
+    # cores, not with the number of input splits
+    # (coalesce never adds partitions, so no count is needed first)
+    renamed = renamed.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism))
     parts = renamed.mapInPandas(partials, "fold int, idx int, v double")
     sums = parts.groupBy("fold", "idx").agg(F.sum("v").alias("v"))
     rows = collect_bounded(sums, k * lay["len"], "fold moments")  # k x (d^2 + 2d + 3) numbers
