@@ -567,12 +567,14 @@ FOREST_CFG = {"model_name": "RandomForest", "max_depth": 10, "min_samples_leaf":
 BOOSTING_CFG = {"model_name": "GradientBoosting", "learning_rate": 0.1, "max_depth": 3, "n_estimators": 100}
 
 
-def _train_test(spark, sf_dir):
+def _train_test(spark, sf_dir, folds: bool = True):
     from velorank.operators.split import assign_folds
     from velorank.session import materialize
     ds = _dataset(spark, sf_dir)
     df = materialize(ds.df)
-    train = assign_folds(df.where(F.col("split") == "train"), "full_name", SEED, 5)
+    train = df.where(F.col("split") == "train")
+    if folds:
+        train = assign_folds(train, "full_name", SEED, 5)
     test = df.where(F.col("split") == "test")
     return ds, train, test
 
@@ -580,7 +582,7 @@ def _train_test(spark, sf_dir):
 def _fit_predict(spark, sf_dir, cfg):
     from velorank.plans.linear_cv import fit_linear
     from velorank.plans.training import LABEL, PREDICTION, label_stats, pipeline
-    ds, train, test = _train_test(spark, sf_dir)
+    ds, train, test = _train_test(spark, sf_dir, folds=False)
     labelled = train.withColumn(LABEL, feat.log_target(F.col("stargazers_count")))
     if cfg["model_name"] in ("LinearRegression", "Ridge"):
         model = fit_linear(labelled, ds.feature_columns, LABEL, cfg)
