@@ -267,3 +267,26 @@ def test_scan_jsonl_failfast_and_permissive(spark, tmp_path):
     rows = scan_jsonl(spark, str(p), schema, strict=False).orderBy("_src_row").collect()
     assert rows[0]["_corrupt_record"] is None and rows[1]["_corrupt_record"] is not None
     assert rows[1]["stargazers_count"] is None
+
+
+def test_blank_json_lines_are_skipped(spark, tmp_path):
+    # T8 (declared deviation): the reference raises on a blank line, Spark skips it
+    from pyspark.sql import types as T
+
+    from velorank.sources.files import scan_jsonl
+    p = tmp_path / "blank.jsonl"
+    p.write_text('{"full_name": "a/b"}\n\n{"full_name": "c/d"}\n')
+    schema = T.StructType([T.StructField("full_name", T.StringType())])
+    assert scan_jsonl(spark, str(p), schema, strict=True).count() == 2
+
+
+def test_guard_empty_and_unparsable_targets(spark, tmp_path):
+    from velorank.sources.files import holds_real_records
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    (empty / "part-0.json").write_text("")
+    assert not holds_real_records(spark, str(empty))
+    junk = tmp_path / "junk"
+    junk.mkdir()
+    (junk / "part-0.json").write_text("not json at all\n")
+    assert holds_real_records(spark, str(junk))
