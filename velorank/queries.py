@@ -496,7 +496,8 @@ def q_relative_to_first(spark, sf_dir):
     """Yearly shipped quantity relative to the first year
     (base = first quantity x first line count)."""
     from velorank.operators.report import relative_to_first
-    from velorank.session import read_table
+    from velorank.session import ensure_utc, read_table
+    ensure_utc(spark)
     li = read_table(spark, sf_dir, "lineitem")
     yearly = (li.groupBy(F.year("l_shipdate").cast("long").alias("ship_year"))
               .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("quantity")))
