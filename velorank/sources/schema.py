@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Raw entity row, in the reference's flatten order (26 fields).
+# The raw entity row's fields in flatten order (26 fields) —
+# counts, booleans, then strings as listed below.
 COUNT_FIELDS = [
     "forks_count", "watchers", "open_issues_count", "total_issues_count",
     "open_pulls_count", "release_count", "topics_count", "commit_count", "disk_usage",
@@ -89,5 +90,5 @@ TRIAL_SCHEMA = T.StructType([
 
 TIMING_SCHEMA = "workers double, seconds double"
 
-# Reference timestamp format: UTC wall clock with a literal 'Z'.
+# Fixed value: the timestamp format, UTC wall clock with a literal 'Z'.
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
