@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # The raw entity row's fields in flatten order (26 fields) —
-# counts, booleans, then strings as listed below.
+# name and target, the counts, language / license / three timestamps, the
+# booleans, description and owner type.
 COUNT_FIELDS = [
     "forks_count", "watchers", "open_issues_count", "total_issues_count",
     "open_pulls_count", "release_count", "topics_count", "commit_count", "disk_usage",
@@ -37,6 +38,8 @@ REPO_SCHEMA_FULL = T.StructType(
        T.StructField("_synthetic", T.BooleanType(), True)]
 )
 
+# The nested API node's field names (the wire format of one
+# search result), in the order below.
 _TOTAL = T.StructType([T.StructField("totalCount", T.LongType(), True)])
 
 NODE_SCHEMA = T.StructType([
