@@ -143,7 +143,10 @@ def top_n_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int |
     if n > WINDOW_GROUP_LIMIT_MAX:
         ranked = rank_within(df, [group], order, rank_col)
     else:
-        salt = F.pmod(F.xxhash64(*[o for o in df.columns]), F.lit(salts))
+        # salt from the row's scalar columns (nested payloads add cost, not spread)
+        scalar = [f.name for f in df.schema.fields
+                  if f.dataType.typeName() not in ("struct", "array", "map")] or df.columns
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in scalar]), F.lit(salts))
         first = (df.withColumn("_vr_salt", salt)
                  .withColumn(rank_col, F.row_number().over(Window.partitionBy(group, "_vr_salt").orderBy(*order)))
                  .where(F.col(rank_col) <= n).drop(rank_col, "_vr_salt"))
