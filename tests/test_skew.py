@@ -72,3 +72,14 @@ def test_salted_top_n_exact_with_hot_group(spark):
         for k, t in enumerate(members, 1):
             assert got[(g, k)] == t[0]
     assert len(got) == 5 * 25
+
+
+def test_top_n_large_n_uses_distributed_rank(spark):
+    from velorank.operators.rank import top_n_per_group
+    rows = [(i, i % 2, (i * 31) % 2003) for i in range(5000)]
+    df = spark.createDataFrame(rows, "pos long, g long, v long")
+    out = top_n_per_group(df, "g", [F.desc("v"), F.asc("pos")], 1500, "rk", keep_rank=True)
+    got = {(r["g"], r["rk"]): r["pos"] for r in out.collect()}
+    for g in range(2):
+        members = sorted([t for t in rows if t[1] == g], key=lambda t: (-t[2], t[0]))[:1500]
+        assert [got[(g, k)] for k in range(1, 1501)] == [t[0] for t in members]
