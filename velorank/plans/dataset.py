@@ -22,6 +22,7 @@ from velorank.functions.features import NUMERIC_FEATURES, make_features
 from velorank.operators.encode import (OTHER, TOP_LANGS, TOP_LICENSES, fill_zero, one_hot, rare_bucket,
                                        value_counts)
 from velorank.operators.rank import global_rank, qcut_bucket, qcut_counts
+from velorank.operators.sizing import collect_bounded
 from velorank.operators.split import stratified_split
 from velorank.session import materialize
 
@@ -53,15 +54,34 @@ class Dataset:
 
 
 def vocabulary(df: DataFrame, column: str, k: int) -> tuple[list[str], list[str]]:
-    """(top-k values, values present after rare bucketing, code-point
-    sorted).  Fetches k+1 ranked values: a (k+1)-th means 'other' occurs."""
-    rows = (value_counts(df, column).orderBy(F.desc("n"), F.asc("first_pos"))
-            .limit(k + 1).collect())
-    top = [r[column] for r in rows[:k]]
-    present = set(top)
-    if len(rows) > k:
-        present.add(OTHER)
-    return top, sorted(present, key=lambda s: s.encode("utf-8"))
+    """(top-k values, values present after rare bucketing, code-point sorted)."""
+    return vocabularies(df, {column: k})[column]
+
+
+def vocabularies(df: DataFrame, ks: dict[str, int]) -> dict[str, tuple[list[str], list[str]]]:
+    """Top-k vocabularies of several columns in ONE aggregate pass.
+
+    Values are tagged with their column, counted with their first position
+    (partial/final aggregate), and the k+1 most frequent per column are kept
+    (a per-column row_number <= k+1, planned as WindowGroupLimit); a
+    (k+1)-th value means 'other' occurs.  At most sum(k+1) rows reach the
+    driver."""
+    from pyspark.sql.window import Window
+    tagged = df.select("pos", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("v")) for c in ks])).alias("t"))
+    vc = (tagged.groupBy(F.col("t.col").alias("col"), F.col("t.v").alias("v"))
+          .agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos")))
+    w = Window.partitionBy("col").orderBy(F.desc("n"), F.asc("first_pos"))
+    limit = max(ks.values()) + 1
+    ranked = vc.withColumn("r", F.row_number().over(w)).where(F.col("r") <= limit)
+    rows = collect_bounded(ranked.select("col", "v", "r"), limit * len(ks), "vocabularies")
+    out = {}
+    for c, k in ks.items():
+        mine = sorted((r["r"], r["v"]) for r in rows if r["col"] == c and r["r"] <= k + 1)
+        top = [v for _, v in mine[:k]]
+        present = set(top) | ({OTHER} if len(mine) > k else set())
+        out[c] = (top, sorted(present, key=lambda s: s.encode("utf-8")))
+    return out
 
 
 def build_dataset(repos: DataFrame, as_of: str, top_langs: int = TOP_LANGS, top_licenses: int = TOP_LICENSES,
@@ -83,8 +103,9 @@ def build_dataset(repos: DataFrame, as_of: str, top_langs: int = TOP_LANGS, top_
         vocab_rows = feats
     else:
         raise ValueError("vocab_on must be 'all' or 'train'")
-    top_l, langs = vocabulary(vocab_rows, "language", top_langs)
-    top_lic, lics = vocabulary(vocab_rows, "license_key", top_licenses)
+    vocab = vocabularies(vocab_rows, {"language": top_langs, "license_key": top_licenses})
+    top_l, langs = vocab["language"]
+    top_lic, lics = vocab["license_key"]
     if vocab_on == "train":
         # values seen only in test still bucket to 'other'
         langs = sorted(set(langs) | {OTHER}, key=lambda s: s.encode("utf-8"))
