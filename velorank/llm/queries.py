@@ -25,7 +25,31 @@ def op8_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from velorank.llm import language_id as L
+    docs = read_table(spark, sf_dir, "documents")
+    model = L.fit(L.training_rows(docs.select("doc_id", "text", "lang")))
+    return L.classify(docs.select("doc_id", "text"), model, score_out="score").select(
+        "doc_id", L.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from velorank.llm import lm_score as M
+    from velorank.llm.common import remainder
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = M.score_documents(docs, M.training_rows(docs))
+    return scored.withColumn("held_out", F.coalesce(remainder(F.col("doc_id"), 10) == 0, F.lit(False)))
+
+
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from velorank.llm.html_extract import extract
+    return extract(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "host", "wrapper_pages")
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op7_lm_score": op7_lm_score,
+    "op10_html_extract": op10_html_extract,
     "op3_url_filter": op3_url_filter,
     "op5_source_mixing": op5_source_mixing,
     "op8_host_quality": op8_host_quality,
