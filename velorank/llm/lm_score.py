@@ -31,8 +31,8 @@ from velorank.llm import textcodes as X
 from velorank.llm.common import remainder
 from velorank.session import materialize
 
-DEPTH = 5
-MIN_SHARE = 1 / 8192
+DEPTH = 6                          # at most 7: a context and a byte are one 64-bit code
+MIN_SHARE = 2.0 ** -16
 COMMON_SHARE = 2.0 ** -20
 END = 0xFF
 GRAMS, WORDS = 0, 1
@@ -89,8 +89,8 @@ def tree_counts(counts: DataFrame) -> tuple[int, np.ndarray, np.ndarray, np.ndar
     masked = F.array(*[F.struct(F.lit(d).alias("d"), F.col("code").bitwiseAND((1 << 8 * (d + 1)) - 1).alias("code"))
                        for d in range(DEPTH + 1)])
     at_depth = grams.select("n", F.inline(masked)).groupBy("d", "code").agg(F.sum("n").alias("n"))
-    pairs = at_depth.withColumn("ctx", F.shiftright("code", 8))
-    kept = at_depth.withColumn("ctx", F.shiftright("code", 8)).groupBy("d", "ctx").agg(F.sum("n").alias("_n")) \
+    pairs = at_depth.withColumn("ctx", F.shiftrightunsigned("code", 8))
+    kept = at_depth.withColumn("ctx", F.shiftrightunsigned("code", 8)).groupBy("d", "ctx").agg(F.sum("n").alias("_n")) \
         .where((F.col("_n") >= max(total * MIN_SHARE, 1)) | (F.col("d") == 0)).select("d", "ctx")
     got = pairs.join(F.broadcast(kept), ["d", "ctx"]).select("d", "code", "n").toArrow()  # kept: at most DEPTH / MIN_SHARE rows
     col = lambda c: got.column(c).to_numpy()
@@ -111,12 +111,44 @@ def _log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _lgamma(a + 0.5) + _lgamma(b + 0.5) - _lgamma(a + b + 1) - math.log(math.pi)
 
 
+def _ctx(code: np.ndarray) -> np.ndarray:
+    """The context of a code; a code of eight bytes may be negative as a long."""
+    return (code.view(np.uint64) >> np.uint64(8)).view(np.int64)
+
+
 @dataclass
 class ContextTree:
-    """``log10[state * 256 + byte]`` and ``step[state * 256 + byte]``; ``start`` is the root."""
+    """An automaton; per context and byte one 64-bit entry: the byte's log10 probability as a float32,
+    and the row (256 times the number) of the next context.  Row 0 is the empty context."""
+
+    table: np.ndarray
+
+    def log10(self) -> np.ndarray:
+        return self.table.view(np.float32)[::2].reshape(-1, 256)
 
-    log10: np.ndarray
-    step: np.ndarray
+
+def _predict(c: np.ndarray, parent: np.ndarray, base: list[int]) -> np.ndarray:
+    """Chance of a 1 in every context (rows, by depth) for some binary nodes (columns); c: counts of both bits."""
+    r = c.copy()                                    # the rest child: what no kept child has
+    np.subtract.at(r, parent[base[1]:], c[base[1]:])
+    log_e = _log_kt(c[:, :, 0], c[:, :, 1])
+    log_w = _log_kt(r[:, :, 0], r[:, :, 1])         # kept children are added below
+    for d in range(DEPTH, -1, -1):
+        a, b = base[d], base[d + 1]
+        log_w[a:b] = log_e[a:b] if d == DEPTH else np.logaddexp(log_e[a:b], log_w[a:b]) - math.log(2)
+        if d:
+            np.add.at(log_w, parent[a:b], log_w[a:b])
+    stop = np.exp(np.minimum(log_e - math.log(2) - log_w, 0))   # weight of ending at this context
+    kt = (c[:, :, 1] + 0.5) / (c.sum(2) + 1)
+    one = stop * kt + (1 - stop) * (r[:, :, 1] + 0.5) / (r.sum(2) + 1)
+    one[base[DEPTH]:] = kt[base[DEPTH]:]
+    for d in range(1, DEPTH + 1):                   # mix upward along each context's own suffixes
+        a, b = base[d], base[d + 1]
+        up = parent[a:b]
+        for _ in range(d):
+            one[a:b] = stop[up] * kt[up] + (1 - stop[up]) * one[a:b]
+            up = parent[up]
+    return one
 
 
 def build_tree(depth: np.ndarray, code: np.ndarray, n: np.ndarray) -> ContextTree:
@@ -124,7 +156,7 @@ def build_tree(depth: np.ndarray, code: np.ndarray, n: np.ndarray) -> ContextTre
     ids: list[np.ndarray] = []      # sorted contexts by depth
     base = [0]
     for d in range(DEPTH + 1):
-        ctx = np.unique(code[depth == d] >> 8)
+        ctx = np.unique(_ctx(code[depth == d]))
         if d == 0 and not len(ctx):
             ctx = np.zeros(1, np.int64)
         ids.append(ctx)
@@ -133,42 +165,25 @@ def build_tree(depth: np.ndarray, code: np.ndarray, n: np.ndarray) -> ContextTre
     state = np.empty(len(code), np.int64)
     for d in range(DEPTH + 1):
         at = depth == d
-        state[at] = base[d] + np.searchsorted(ids[d], code[at] >> 8)
+        state[at] = base[d] + np.searchsorted(ids[d], _ctx(code[at]))
     counts = np.zeros((size, 256))
     counts[state, code & 255] = n
     parent = np.zeros(size, np.int64)      # the context without its oldest byte
     for d in range(1, DEPTH + 1):
         parent[base[d]:base[d + 1]] = base[d - 1] + np.searchsorted(ids[d - 1], ids[d] & ((1 << 8 * (d - 1)) - 1))
-    rest = counts.copy()
-    np.subtract.at(rest, parent[base[1]:], counts[base[1]:])
-
     log10 = np.zeros((size, 256), np.float32)
     for bit in range(8):
-        by_bit = lambda c: c.reshape(size, 1 << bit, 2, -1).sum(3)  # noqa: B023, E731
-        c, r = by_bit(counts), by_bit(rest)
-        log_e = _log_kt(c[:, :, 0], c[:, :, 1])
-        log_w = _log_kt(r[:, :, 0], r[:, :, 1])       # the rest child; kept children are added below
-        for d in range(DEPTH, -1, -1):
-            a, b = base[d], base[d + 1]
-            if d == DEPTH:
-                log_w[a:b] = log_e[a:b]
-            else:
-                log_w[a:b] = np.logaddexp(log_e[a:b], log_w[a:b]) - math.log(2)
-            if d:
-                np.add.at(log_w, parent[a:b], log_w[a:b])
-        stop = np.exp(np.minimum(log_e - math.log(2) - log_w, 0))   # weight of ending at this context
-        kt = (c[:, :, 1] + 0.5) / (c.sum(2) + 1)
-        one = (r[:, :, 1] + 0.5) / (r.sum(2) + 1)
-        one = stop * kt + (1 - stop) * one
-        one[base[DEPTH]:] = kt[base[DEPTH]:]
-        for d in range(1, DEPTH + 1):               # mix upward along each context's own suffixes
-            a, b = base[d], base[d + 1]
-            up = parent[a:b].copy()
-            for _ in range(d):
-                one[a:b] = stop[up] * kt[up] + (1 - stop[up]) * one[a:b]
-                up = parent[up]
-        p = np.stack([1 - one, one], 2)             # by node and bit
-        log10 += np.repeat(np.log10(p).reshape(size, -1), 256 >> (bit + 1), axis=1).astype(np.float32)
+        width = 256 >> bit                          # bytes below one node
+        block = min(1 << bit, 8)                    # nodes don't depend on each other: a few at a time
+        for first in range(0, 1 << bit, block):
+            at = slice(first * width, (first + block) * width)
+            if not counts[0, at].any():             # never reached in training: even odds
+                log10[:, at] += math.log10(0.5)
+                continue
+            c = counts[:, at].reshape(size, block, 2, -1).sum(3)
+            one = _predict(c, parent, base)
+            p = np.stack([1 - one, one], 2)         # by node and bit
+            log10[:, at] += np.repeat(np.log10(p).reshape(size, -1), width >> 1, axis=1).astype(np.float32)
 
     step = np.zeros((size, 256), np.int32)
     for d in range(DEPTH + 1):
@@ -180,7 +195,10 @@ def build_tree(depth: np.ndarray, code: np.ndarray, n: np.ndarray) -> ContextTre
             j = np.searchsorted(ids[d], older)
             ok = (j < len(ids[d])) & (ids[d][np.minimum(j, len(ids[d]) - 1)] == older)
             step[a + j[ok], longer[ok] & 255] = base[d + 1] + np.flatnonzero(ok)
-    return ContextTree(log10.ravel(), step.ravel())
+    table = np.empty((size * 256, 2), np.int32)
+    table[:, 0] = log10.ravel().view(np.int32)
+    table[:, 1] = step.ravel() * 256
+    return ContextTree(table.view(np.int64).ravel())
 
 
 def score_texts(tree: ContextTree, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -192,14 +210,16 @@ def score_texts(tree: ContextTree, data: np.ndarray, offsets: np.ndarray) -> np.
     stream = np.concatenate([np.full(DEPTH, END, np.uint8), buf, np.full(lanes * length - total, END, np.uint8)])
     # lane k reads positions k*length - DEPTH ..: the first DEPTH bytes only find its context
     view = np.lib.stride_tricks.as_strided(stream, (lanes, length + DEPTH), (length, 1))
-    columns = np.ascontiguousarray(view.T).astype(np.int32)
+    columns = np.ascontiguousarray(view.T)
     out = np.empty((length, lanes), np.float32)
-    state = np.zeros(lanes, np.int32)
+    at_t, got = np.zeros(lanes, np.int64), np.empty((lanes, 2), np.int32)
+    row = np.zeros(lanes, np.int32)
     for t in range(length + DEPTH):
-        at_t = state * 256 + columns[t]
+        np.add(row, columns[t], out=at_t)
+        np.take(tree.table, at_t, out=got.view(np.int64).ravel(), mode="clip")
         if t >= DEPTH:
-            out[t - DEPTH] = tree.log10[at_t]
-        state = tree.step[at_t]
+            out[t - DEPTH] = got.view(np.float32)[:, 0]
+        row = got[:, 1]
     logs = np.ascontiguousarray(out.T).ravel()[:total]
     for i in range(DEPTH):
         logs[at[:-1] + i] = 0

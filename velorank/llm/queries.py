@@ -46,7 +46,13 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "host", "wrapper_pages")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from velorank.llm.embedding_dedup import near_duplicates
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op1_language_id": op1_language_id,
     "op7_lm_score": op7_lm_score,
     "op10_html_extract": op10_html_extract,
