@@ -51,7 +51,13 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from velorank.llm.minhash_dedup import near_duplicates
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op6_minhash_dedup": op6_minhash_dedup,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op1_language_id": op1_language_id,
     "op7_lm_score": op7_lm_score,
