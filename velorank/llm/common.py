@@ -48,6 +48,8 @@ def running_sum(rows: DataFrame, keys: list[str], order: str, ties: list[str], v
     sizes = rows.groupBy(*keys).agg(F.ceil(F.sqrt(F.count(F.lit(1)))).cast("long").alias("_nb"))
     dealt = rows.join(sizes, keys).withColumn(
         "_b", F.shiftright(F.shiftright(F.col(order), 20) * F.col("_nb"), 40)).drop("_nb")
+    # dealt by group and bucket: a join's partitioning by the group alone would satisfy the windows too
+    dealt = dealt.repartition(*keys, "_b")
     by_bucket = W.partitionBy(*keys).orderBy("_b")
     starts = (dealt.groupBy(*keys, "_b").agg(F.sum(value).alias("_sum"))
               .withColumn("_start", F.sum("_sum").over(by_bucket.rowsBetween(W.unboundedPreceding, 0)) - F.col("_sum"))
