@@ -82,12 +82,14 @@ def host_verdicts(measured: DataFrame, host: str) -> DataFrame:
         F.count(F.lit(1)).alias("_n"), *[F.sum(F.col(r).cast("long")).alias(r) for r in RULES])
     prior = hosts.agg(*[x for r in RULES for x in (
         (F.sum(r) / F.sum("_n")).alias(f"{r}_m"), F.var_pop(F.col(r) / F.col("_n")).alias(f"{r}_v"))])
-    strength = lambda r: F.least(F.lit(1e6), F.greatest(F.lit(1.0), F.when(
-        F.col(f"{r}_v") > 0, F.col(f"{r}_m") * (1 - F.col(f"{r}_m")) / F.col(f"{r}_v") - 1).otherwise(F.lit(1e6))))
-    rate = lambda r: (F.col(r) + F.col(f"{r}_m") * strength(r)) / (F.col("_n") + strength(r))
-    # one row of priors for every host row: an equi-join on a constant, its one-row side broadcast
-    joined = hosts.withColumn("_one", F.lit(1)).join(F.broadcast(prior.withColumn("_one", F.lit(1))), "_one")
-    rated = joined.select(host, F.col("_n").alias("host_docs"), *[rate(r).alias(r.replace("fail", "rate")) for r in RULES])
+    p = prior.first()                          # one row: the corpus's mean and variance of every rule
+
+    def rate(r: str) -> Column:
+        mean, var = p[f"{r}_m"] or 0.0, p[f"{r}_v"] or 0.0
+        strength = min(1e6, max(1.0, mean * (1 - mean) / var - 1 if var > 0 else 1e6))
+        return (F.col(r) + F.lit(mean * strength)) / (F.col("_n") + F.lit(strength))
+
+    rated = hosts.select(host, F.col("_n").alias("host_docs"), *[rate(r).alias(r.replace("fail", "rate")) for r in RULES])
     worst = F.greatest(*[F.col(r.replace("fail", "rate")) for r in RULES])
     return rated.withColumn("host_rate", worst).withColumn(
         "host_bad", F.col(host).isNotNull() & (worst > MAX_HOST_RATE))
