@@ -56,7 +56,20 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from velorank.llm.line_dedup import dedup_lines
+    return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "text", "n_lines", "n_deleted", "deleted_lines")
+
+
+def op9_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from velorank.llm.packing import pack
+    return pack(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op9_length_packing": op9_length_packing,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op1_language_id": op1_language_id,
