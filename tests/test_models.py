@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from velorank.operators.split import assign_folds
 from velorank.plans.dataset import build_dataset
-from velorank.plans.training import (build_jobs, grid_search, score_table, select_best)
+from velorank.plans.training import (grid_configs, grid_search, score_table, select_best)
 from velorank.sources.fixtures import AS_OF, repos
 
 SMOKE = "/root/testdata/sf0.001"
@@ -29,7 +29,7 @@ def test_dataset_sizes(data):
 
 def test_linear_cv_floor_and_determinism(data):
     ds, train, _ = data
-    jobs = build_jobs(["LinearRegression"]) + [{"model_name": "Ridge", "alpha": 1.0}]
+    jobs = grid_configs(["LinearRegression"]) + [{"model_name": "Ridge", "alpha": 1.0}]
     a = {r["config_id"]: r["cv_r2"] for r in grid_search(train, ds.feature_columns, jobs).collect()}
     b = {r["config_id"]: r["cv_r2"] for r in grid_search(train, ds.feature_columns, jobs).collect()}
     assert a == b
@@ -46,7 +46,7 @@ def test_forest_and_boosting_fit(data):
 
 def test_select_and_score(spark, data):
     ds, train, test = data
-    trials = grid_search(train, ds.feature_columns, build_jobs(["Ridge"])[:2])
+    trials = grid_search(train, ds.feature_columns, grid_configs(["Ridge"])[:2])
     results, winner, model = select_best(trials, train, test, ds.feature_columns)
     assert winner == "Ridge" and results.count() == 1
     from velorank.functions.features import make_features

@@ -31,10 +31,11 @@ def test_end_to_end(spark):
     rows = {r["model_name"]: r for r in results.collect()}
     assert set(rows) == {"LinearRegression", "Ridge"}
     winner = max(rows, key=lambda m: rows[m]["cv_r2"])
+    assert pipeline.load_artifacts(spark, base)[2]["model_name"] == winner
 
     entities = repos(spark, SMOKE).withColumn(
         "created_at", F.when(F.col("pos") % 17 == 0, F.lit("garbage")).otherwise(F.col("created_at")))
-    ranked, bad, report = pipeline.predict(spark, base, entities, AS_OF, winner)
+    ranked, bad, report = pipeline.predict(spark, base, entities, AS_OF)
     n_bad = bad.count()
     assert n_bad > 0 and ranked.count() == n - n_bad
     assert set(bad.select("reason").distinct().toPandas()["reason"]) == {"bad created_at"}
@@ -53,6 +54,6 @@ def test_cli_build_train_select(spark, capsys):
     assert main(["select", "--base", base, "--deployment-time", "2002-01-01T00:00:00+00:00"]) == 0
     names = [r["full_name"] for r in raw.orderBy("pos").limit(3).collect()]
     assert main(["predict", "--base", base, "--entities", f"{base}/raw", "--as-of", AS_OF,
-                 "--winner", "Ridge", *names]) == 0
+                 *names, "no/such"]) == 0
     out = capsys.readouterr().out
-    assert "train=" in out and "Ridge" in out and "█" in out
+    assert "[skip] no/such: not found" in out and "train=" in out and "Ridge" in out and "█" in out

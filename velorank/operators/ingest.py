@@ -8,9 +8,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from velorank.functions.features import epoch_seconds, non_empty_or
-from velorank.operators.rank import top_n_per_group
+from velorank.operators.rank import null_safe_join
 from velorank.sources.schema import PAGE_SCHEMA
 
 # Fixed value: nodes per API page.
@@ -57,16 +59,78 @@ def flatten_nodes(df: DataFrame, node_col: str = "node", keep: Sequence[str] = (
     return df.select(*[F.col(c) for c in keep], *flatten_node(F.col(node_col)))
 
 
+# What flatten needs; a counted object may hold a null count, but the object must be there.
+REQUIRED_PATHS = ["nameWithOwner", "createdAt", "watchers", "issues", "allIssues", "pullRequests", "releases",
+                  "repositoryTopics", "owner"]
+
+
+def node_problem(node: Column) -> Column:
+    """F4 for P1: the first required path a node lacks, else null."""
+    out = F.lit(None).cast("string")
+    for path in reversed(REQUIRED_PATHS):
+        out = F.when(node[path].isNull(), F.lit(f"missing {path}")).otherwise(out)
+    return out
+
+
+def read_pages(pages: DataFrame, body_col: str = "body") -> DataFrame:
+    """``pages`` with ``nodes`` and ``page_problem``: why a response holds no readable nodes, else null."""
+    schema = T.StructType([*PAGE_SCHEMA.fields, T.StructField("_bad", T.StringType())])
+    body = F.col(body_col)
+    errors = F.get_json_object(body, "$.errors[0].message")
+    parsed = pages.withColumn("_p", F.from_json(body, schema, {"columnNameOfCorruptRecord": "_bad"}))
+    nodes = F.col("_p.data.search.nodes")
+    problem = (F.when(body.isNull() | (F.trim(body) == ""), F.lit("empty page"))
+               .when(F.col("_p._bad").isNotNull() | F.col("_p").isNull(), F.lit("unreadable page"))
+               .when(errors.isNotNull(), F.concat(F.lit("errors: "), errors))
+               .when(nodes.isNull(), F.lit("no nodes")))
+    return parsed.withColumns({"nodes": nodes, "page_problem": problem}).drop("_p")
+
+
+def pages_quarantine(pages: DataFrame, query_col: str = "query", page_col: str = "page_no",
+                     body_col: str = "body") -> DataFrame:
+    """F4 for S3: (query, page, node_idx, reason) of every page that can't be read (node_idx null) and
+    every non-null node that lacks a required path."""
+    read = read_pages(pages, body_col)
+    whole = read.where(F.col("page_problem").isNotNull()).select(
+        query_col, page_col, F.lit(None).cast("int").alias("node_idx"), F.col("page_problem").alias("reason"))
+    nodes = read.where(F.col("page_problem").isNull()).select(query_col, page_col, F.posexplode("nodes").alias("node_idx", "node"))
+    lacking = nodes.where(F.col("node").isNotNull()).select(query_col, page_col, "node_idx", node_problem(F.col("node")).alias("reason"))
+    return whole.unionByName(lacking.where(F.col("reason").isNotNull()))
+
+
 def pages_to_rows(pages: DataFrame, max_repos: int | None = None, query_col: str = "query",
-                  page_col: str = "page_no", body_col: str = "body") -> DataFrame:
+                  page_col: str = "page_no", body_col: str = "body", strict: bool = True) -> DataFrame:
     """S3: captured search pages (JSON text) -> one flat row per non-null
-    node; per query the first ``max_repos`` in (page, position) order."""
-    parsed = pages.select(F.col(query_col), F.col(page_col),
-                          F.from_json(F.col(body_col), PAGE_SCHEMA).alias("p"))
-    nodes = parsed.select(F.col(query_col), F.col(page_col),
-                          F.posexplode(F.col("p.data.search.nodes")).alias("node_idx", "node"))
-    nodes = nodes.where(F.col("node").isNotNull())  # null nodes are skipped
-    nodes = top_n_per_group(nodes, query_col, [F.col(page_col), F.col("node_idx")], max_repos)
+    node; per query the first ``max_repos`` in (page, position) order.
+
+    A page that can't be read or holds errors, or a node that lacks a
+    required path, fails the job when ``strict``; otherwise it is left out
+    here and ``pages_quarantine`` lists it.
+
+    Which nodes are wanted is found from per-page counts of non-null nodes
+    and a running sum over a query's pages; only wanted nodes are exploded,
+    so nested nodes never travel through a shuffle."""
+    read = read_pages(pages, body_col)
+    if strict:
+        bad = F.col("page_problem")
+        read = read.withColumn("nodes", F.when(bad.isNull(), F.col("nodes")).otherwise(
+            F.raise_error(F.concat(F.lit("page "), F.col(page_col).cast("string"), F.lit(": "), bad)).cast(read.schema["nodes"].dataType)))
+    else:
+        read = read.where(F.col("page_problem").isNull())
+    usable = F.filter(F.transform("nodes", lambda n, i: F.struct(i.alias("node_idx"), n.alias("node"))),
+                      lambda x: x["node"].isNotNull() if strict else x["node"].isNotNull() & node_problem(x["node"]).isNull())
+    read = read.select(query_col, page_col, usable.alias("nodes"))
+    if max_repos:
+        counts = read.select(query_col, page_col, F.size("nodes").cast("long").alias("n"))
+        before = W.partitionBy(query_col).orderBy(page_col).rowsBetween(W.unboundedPreceding, -1)
+        counts = counts.withColumn("_left", F.lit(max_repos) - F.coalesce(F.sum("n").over(before), F.lit(0))) \
+            .where(F.col("_left") > 0).drop("n")
+        read = null_safe_join(read, counts, [query_col, page_col]).withColumn(
+            "nodes", F.slice("nodes", 1, F.greatest(F.lit(0), F.col("_left")).cast("int"))).drop("_left")
+    nodes = read.select(query_col, page_col, F.inline("nodes"))
+    if strict:
+        lack = node_problem(F.col("node"))
+        nodes = nodes.where(F.when(lack.isNull(), F.lit(True)).otherwise(F.raise_error(lack).cast("boolean")))
     return flatten_nodes(nodes, "node", keep=[query_col, page_col, "node_idx"])
 
 
@@ -83,22 +147,28 @@ def enrich_counts(df: DataFrame, counts: DataFrame, key: str, count_col: str,
             .drop("_vr_cnt"))
 
 
-def invalid_reason(df: DataFrame) -> Column:
-    """the first reason a raw row cannot be featurised, else null."""
+def invalid_reason(df: DataFrame, target: str | None = "stargazers_count") -> Column:
+    """the first reason a raw row cannot be featurised, else null.  A
+    line that could not be parsed says so; ``target=None`` asks for no label
+    (it is needed for training only)."""
     def bad_ts(c: str) -> Column:
         return F.col(c).isNotNull() & (F.col(c) != "") & epoch_seconds(F.col(c), strict=False).isNull()
-    return (F.when(F.col("full_name").isNull() | (F.col("full_name") == ""), F.lit("missing full_name"))
-            .when(F.col("stargazers_count").isNull(), F.lit("missing stargazers_count"))
-            .when(F.col("created_at").isNull(), F.lit("missing created_at"))
+    reason = F.when(F.col("_corrupt_record").isNotNull(), F.lit("unreadable line")) \
+        if "_corrupt_record" in df.columns else F.when(F.lit(False), F.lit(""))
+    reason = reason.when(F.col("full_name").isNull() | (F.col("full_name") == ""), F.lit("missing full_name"))
+    if target:
+        reason = reason.when(F.col(target).isNull(), F.lit(f"missing {target}"))
+    return (reason.when(F.col("created_at").isNull(), F.lit("missing created_at"))
             .when(epoch_seconds(F.col("created_at"), strict=False).isNull(), F.lit("bad created_at"))
             .when(bad_ts("updated_at"), F.lit("bad updated_at"))
             .when(bad_ts("pushed_at"), F.lit("bad pushed_at")))
 
 
-def quarantine(df: DataFrame, reason_col: str = "reason") -> tuple[DataFrame, DataFrame]:
+def quarantine(df: DataFrame, reason_col: str = "reason",
+               target: str | None = "stargazers_count") -> tuple[DataFrame, DataFrame]:
     """split into (valid, quarantined-with-reason)."""
-    tagged = df.withColumn(reason_col, invalid_reason(df))
-    return tagged.where(F.col(reason_col).isNull()).drop(reason_col), tagged.where(F.col(reason_col).isNotNull())
+    tagged = df.withColumn(reason_col, invalid_reason(df, target))
+    return tagged.where(F.col(reason_col).isNull()).drop(reason_col, "_corrupt_record"), tagged.where(F.col(reason_col).isNotNull())
 
 
 def require_rows(df: DataFrame, what: str = "no valid rows") -> DataFrame:

@@ -12,10 +12,10 @@ one task):
 3. A table written to the shared checkpoint folder pins partition id and
    row index (sampling happens once; a lost executor re-reads the table).
 4. Per-partition counts (one row per partition — bounded by the partition
-   count, not by the data) become offsets inlined as an array literal.
+   count, not by the data) become a small table of offsets that is joined back.
 
-Rank within groups subtracts each group's first global rank (an aggregate
-joined back; broadcast only under a checked group count).
+Rank within groups subtracts each group's first global rank, an aggregate
+joined back null-safely.  No step depends on the number of groups or on N.
 """
 
 from __future__ import annotations
@@ -27,14 +27,9 @@ from pyspark.sql import functions as F
 
 from velorank.functions.arith import idiv
 
-from velorank.operators.sizing import broadcast_bounded
 from velorank.session import materialize
 
 _PID, _MID = "_vr_pid", "_vr_mid"
-# Upper bound on groups whose start table is broadcast (rows, checked), and on
-# groups whose starts are inlined as a literal map.
-BROADCAST_GROUP_LIMIT = 100_000
-LITERAL_GROUP_LIMIT = 1_000
 
 
 def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
@@ -63,53 +58,36 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], rank_col: str = "r
     total = acc
     if top == 0:
         return ranged.drop(_PID, _MID).withColumn(rank_col, F.lit(None).cast("long")), 0
-    offset_arr = F.array(*[F.lit(o).cast("long") for o in offsets])
+    table = df.sparkSession.createDataFrame(list(enumerate(offsets)), f"{_PID} int, _vr_off long")
     local_idx = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
-    ranked = ranged.withColumn(
-        rank_col, F.element_at(offset_arr, F.col(_PID) + 1) + local_idx + F.lit(1))
-    return ranked.drop(_PID, _MID), total
+    # one offset per range partition: bounded by the partition count
+    ranked = ranged.join(F.broadcast(table), _PID).withColumn(rank_col, F.col("_vr_off") + local_idx + F.lit(1))
+    return ranked.drop(_PID, _MID, "_vr_off"), total
+
+
+def null_safe_join(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where null equals null; the keys of ``df`` stay."""
+    named = side
+    for k in keys:
+        named = named.withColumnRenamed(k, f"_vr_k_{k}")
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_vr_k_{k}"))
+    return df.join(named, on, how).drop(*[f"_vr_k_{k}" for k in keys])
 
 
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                rank_col: str = "rank", num_partitions: int | None = None,
-                group_sizes: dict | None = None, return_sizes: bool = False):
+                rank_col: str = "rank", num_partitions: int | None = None) -> DataFrame:
     """1-based rank of ``order`` inside each ``group`` (a distributed
     ``row_number() over (partition by group order by ...)`` that stays
-    balanced when one group holds most rows).
+    balanced when one group holds most rows; null is a group of its own).
 
-    Group starts come from ``group_sizes`` when the caller knows them, else
-    from one aggregate over the checkpointed ranking; for a single group
-    column with few groups they are inlined as a literal map (no join),
-    otherwise joined back (broadcast only under a checked size).
-    ``return_sizes`` also returns {group: rows} when it was computed."""
+    Group starts come from one aggregate over the written ranking and are
+    joined back null-safely."""
     ranked, _ = global_rank(df, [*group, *_sort_cols(order)], "_vr_g", num_partitions)
-    sizes = group_sizes
-    if sizes is None and len(group) == 1:
-        stats = ranked.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-        rows = stats.limit(LITERAL_GROUP_LIMIT + 1).collect()
-        if len(rows) <= LITERAL_GROUP_LIMIT:
-            sizes = {r[group[0]]: r["n"] for r in rows}
-    if sizes is not None and len(group) == 1:
-        starts_of, acc = [], 1
-        for g in sorted(sizes, key=_group_order):
-            starts_of += [F.lit(g), F.lit(acc).cast("long")]
-            acc += sizes[g]
-        start = F.element_at(F.create_map(*starts_of), F.col(group[0]))
-        out = ranked.withColumn(rank_col, F.col("_vr_g") - start + F.lit(1)).drop("_vr_g")
-        return (out, sizes) if return_sizes else out
-    starts = broadcast_bounded(ranked.groupBy(*group).agg(F.min("_vr_g").alias("_vr_start")),
-                               BROADCAST_GROUP_LIMIT)
-    out = ranked.join(starts, list(group), "inner")
-    out = (out.withColumn(rank_col, F.col("_vr_g") - F.col("_vr_start") + F.lit(1))
-           .drop("_vr_g", "_vr_start"))
-    return (out, None) if return_sizes else out
-
-
-def _group_order(g):
-    # ascending, nulls first — the order of the range key
-    if g is None:
-        return (0, b"")
-    return (1, g.encode("utf-8") if isinstance(g, str) else g)
+    starts = ranked.groupBy(*group).agg(F.min("_vr_g").alias("_vr_start"))
+    out = null_safe_join(ranked, starts, list(group))
+    return out.withColumn(rank_col, F.col("_vr_g") - F.col("_vr_start") + F.lit(1)).drop("_vr_g", "_vr_start")
 
 
 def qcut_bucket(rank: Column, n: int, q: int = 5) -> Column:
@@ -121,37 +99,29 @@ def qcut_bucket(rank: Column, n: int, q: int = 5) -> Column:
     return F.greatest(bucket, F.lit(0)).cast("int")
 
 
-# Salt buckets of the first stage of a top-N per group, and the largest N for
-# which Spark's WindowGroupLimit (partial top-N before the shuffle) applies.
+# Salt buckets of the first stage of a top-N per group.
 TOP_N_SALTS = 64
-WINDOW_GROUP_LIMIT_MAX = 1000
 
 
 def top_n_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int | None,
                     rank_col: str = "_vr_n", salts: int = TOP_N_SALTS, keep_rank: bool = False) -> DataFrame:
-    """First ``n`` rows per ``group`` in ``order`` (n falsy = all rows).
+    """First ``n`` rows per ``group`` in ``order`` (n falsy = all rows); null is a group.
 
-    Two stages, the first salted: top-N per (group, salt) then top-N per
-    group.  The union of per-salt top-Ns contains the group's top-N, so the
-    result is exact; a group holding a third of all rows reaches its final
-    task as at most ``n * salts`` rows (each stage also runs a partial
-    top-N before its shuffle).  Large N uses the distributed rank."""
+    Two stages, the same for every n: the top n per (group, salt), whose
+    union contains each group's top n, then the distributed rank of what is
+    left.  A group holding a third of all rows is never in one task."""
     from pyspark.sql.window import Window
     if not n:
         return df
     order = list(order)
-    if n > WINDOW_GROUP_LIMIT_MAX:
-        ranked = rank_within(df, [group], order, rank_col)
-    else:
-        # salt from the row's scalar columns (nested payloads add cost, not spread)
-        scalar = [f.name for f in df.schema.fields
-                  if f.dataType.typeName() not in ("struct", "array", "map")] or df.columns
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in scalar]), F.lit(salts))
-        first = (df.withColumn("_vr_salt", salt)
-                 .withColumn(rank_col, F.row_number().over(Window.partitionBy(group, "_vr_salt").orderBy(*order)))
-                 .where(F.col(rank_col) <= n).drop(rank_col, "_vr_salt"))
-        ranked = first.withColumn(rank_col, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    out = ranked.where(F.col(rank_col) <= n)
+    # salt from the row's scalar columns (nested payloads add cost, not spread)
+    scalar = [f.name for f in df.schema.fields
+              if f.dataType.typeName() not in ("struct", "array", "map")] or df.columns
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in scalar]), F.lit(salts))
+    first = (df.withColumn("_vr_salt", salt)
+             .withColumn(rank_col, F.row_number().over(Window.partitionBy(group, "_vr_salt").orderBy(*order)))
+             .where(F.col(rank_col) <= n).drop(rank_col, "_vr_salt"))
+    out = rank_within(first, [group], order, rank_col).where(F.col(rank_col) <= n)
     return out if keep_rank else out.drop(rank_col)
 
 

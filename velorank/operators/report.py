@@ -21,23 +21,30 @@ ELLIPSIS = "…"
 
 
 def rank_predictions(df: DataFrame, value_col: str, tiebreak: str = "pos", rank_col: str = "rank") -> DataFrame:
-    """O1: rank 1..n by value descending, ties keep input order."""
-    ranked, _ = global_rank(df, [F.desc(value_col), F.asc(tiebreak)], rank_col)
-    return ranked
+    """O1: rank 1..n by value descending, ties keep input order; null and NaN come last."""
+    value = F.col(value_col).cast("double")
+    known = F.when(value.isNotNull() & ~F.isnan(value), value)
+    ranked, _ = global_rank(df.withColumn("_vr_v", known), [F.desc_nulls_last("_vr_v"), F.asc(tiebreak)], rank_col)
+    return ranked.drop("_vr_v")
 
 
-def ranked_report(df: DataFrame, name_col: str, value_col: str, tiebreak: str = "pos") -> DataFrame:
+def ranked_report(df: DataFrame, name_col: str, value_col: str, tiebreak: str = "pos",
+                  rank_col: str | None = None) -> DataFrame:
     """Rank, name cut to min(max len, 40) with an ellipsis, value as an
     int with thousands separators, bar of max(1, round_half_even(18*v/top))
-    (T11: ``bround``, and the value is cast to bigint before formatting)."""
-    stats = df.agg(F.max(F.length(name_col)).alias("w"), F.max(value_col).alias("top")).first()
+    (T11: ``bround``, and the value is cast to bigint before formatting).
+    ``rank_col`` names a rank the rows already carry.  A null or NaN value
+    comes last with neither value nor bar."""
+    value = F.col(value_col).cast("double")
+    known = F.when(value.isNotNull() & ~F.isnan(value), value)
+    stats = df.agg(F.max(F.length(name_col)).alias("w"), F.max(known).alias("top")).first()
     width = min(stats["w"] if stats["w"] is not None else 10, NAME_WIDTH_MAX)
     top = float(stats["top"]) if stats["top"] else 1.0
-    ranked = rank_predictions(df, value_col, tiebreak)
+    ranked = df.withColumnRenamed(rank_col, "rank") if rank_col else rank_predictions(df, value_col, tiebreak)
     name = F.col(name_col)
     cut = F.when(F.length(name) <= width, name) \
         .otherwise(F.concat(F.substring(name, 1, width - 1), F.lit(ELLIPSIS)))
-    v = F.col(value_col).cast("double")
+    v = known
     bar_len = F.greatest(F.lit(1), F.bround(F.lit(float(BAR_WIDTH)) * v / F.lit(top), 0).cast("int"))
     return ranked.select(
         F.col("rank"), F.col(tiebreak),

@@ -14,8 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velorank.operators.rank import fold_id, global_rank, rank_within
-from velorank.operators.sizing import collect_bounded
+from velorank.operators.rank import fold_id, global_rank, null_safe_join, rank_within
 
 
 def split_hash(key: Column, seed: int) -> Column:
@@ -38,22 +37,31 @@ def train_quotas(counts: dict[int, int], test_size: float = 0.2) -> dict[int, in
     return floor
 
 
+def quota_table(df: DataFrame, stratum_col: str, test_size: float) -> DataFrame:
+    """(stratum, quota): ``train_quotas`` as a query over one row per stratum, so their number is not
+    limited.  Remainders compare as integers (``n_train * c mod n``); a null stratum comes first."""
+    sizes = df.groupBy(stratum_col).agg(F.count(F.lit(1)).alias("_c"))
+    n = sizes.agg(F.sum("_c").alias("n")).first()["n"] or 0
+    n_train = n - math.ceil(test_size * n)
+    floors = sizes.withColumns({
+        "_q": F.expr(f"cast(_c as decimal(38, 0)) * {n_train} div {max(n, 1)}").cast("long"),
+        "_r": F.expr(f"cast(_c as decimal(38, 0)) * {n_train} % {max(n, 1)}")})
+    need = n_train - (floors.agg(F.sum("_q").alias("q")).first()["q"] or 0)
+    more = floors.orderBy(F.col("_r").desc(), F.col(stratum_col).asc_nulls_first()).limit(int(need)) \
+        .select(stratum_col, F.lit(1).alias("_vr_more"))
+    return null_safe_join(floors, more, [stratum_col], "left").select(
+        stratum_col, (F.col("_q") + F.coalesce("_vr_more", F.lit(0))).alias("_vr_quota"))
+
+
 def stratified_split(df: DataFrame, stratum_col: str, key_col: str = "full_name",
-                     test_size: float = 0.2, seed: int = 0, split_col: str = "split",
-                     stratum_sizes: dict[int, int] | None = None) -> DataFrame:
-    """Add ``split`` ('train' / 'test') keeping stratum proportions.
-
-    ``stratum_sizes`` may be passed when known (qcut strata of n rows);
-    otherwise one row per stratum is counted (a bounded collect)."""
-    counts = stratum_sizes if stratum_sizes is not None else \
-        {r[0]: r[1] for r in collect_bounded(df.groupBy(stratum_col).count(), 10_000, "strata")}
-    quotas = train_quotas(counts, test_size)
-    quota_of = F.create_map(*[x for k, v in quotas.items() for x in (F.lit(k), F.lit(v))])
-    ranked = rank_within(df.withColumn("_vr_h", split_hash(F.col(key_col), seed)),
-                         [stratum_col], ["_vr_h", key_col], "_vr_srank", group_sizes=counts)
-    return (ranked.withColumn(split_col, F.when(F.col("_vr_srank") <= F.element_at(quota_of, F.col(stratum_col)),
-                                                F.lit("train")).otherwise(F.lit("test")))
-            .drop("_vr_srank", "_vr_h"))
+                     test_size: float = 0.2, seed: int = 0, split_col: str = "split") -> DataFrame:
+    """Add ``split`` ('train' / 'test') keeping stratum proportions; null is a stratum, null keys count as ''."""
+    hashed = df.withColumn("_vr_h", split_hash(F.coalesce(F.col(key_col), F.lit("")), seed))
+    ranked = rank_within(hashed, [stratum_col], ["_vr_h", key_col], "_vr_srank")
+    quotas = quota_table(df, stratum_col, test_size)
+    return (null_safe_join(ranked, quotas, [stratum_col])
+            .withColumn(split_col, F.when(F.col("_vr_srank") <= F.col("_vr_quota"), F.lit("train")).otherwise(F.lit("test")))
+            .drop("_vr_srank", "_vr_h", "_vr_quota"))
 
 
 def assign_folds(train: DataFrame, key_col: str = "full_name", seed: int = 0, k: int = 5,
@@ -61,9 +69,8 @@ def assign_folds(train: DataFrame, key_col: str = "full_name", seed: int = 0, k:
     """Contiguous folds over the train rows in their shuffled (hash)
     order — never ingest order, which would hold out whole star ranges (T14).
 
-    Only the (unique) key is ranked; the fold id joins back to the wide
-    rows in one shuffle join."""
-    keys = train.select(key_col).withColumn("_vr_h", split_hash(F.col(key_col), seed))
-    ranked, n = global_rank(keys, ["_vr_h", key_col], "_vr_frank")
-    folds = ranked.select(key_col, fold_id(F.col("_vr_frank") - 1, n, k).alias(fold_col))
-    return train.join(folds, key_col)
+    The rows themselves are ranked, so a key that repeats or is null gives
+    every row one fold and no row is multiplied."""
+    hashed = train.withColumn("_vr_h", split_hash(F.coalesce(F.col(key_col), F.lit("")), seed))
+    ranked, n = global_rank(hashed, ["_vr_h", key_col], "_vr_frank")
+    return ranked.withColumn(fold_col, fold_id(F.col("_vr_frank") - 1, n, k)).drop("_vr_frank", "_vr_h")

@@ -10,7 +10,7 @@ ORACLES["feature_table"] = base() + f"""
 SELECT pos, full_name, stargazers_count, {feature_select()}, language, license_key FROM feats
 """
 
-from velorank.oracles import DOUBLE_FEATURES, REPOS_SQL, r6, with_ctes  # noqa: E402
+from velorank.oracles import DOUBLE_FEATURES, INT_FEATURES, REPOS_SQL, r6, with_ctes  # noqa: E402
 from velorank.sources.schema import REPO_COLUMNS  # noqa: E402
 
 
@@ -19,11 +19,7 @@ def _subset(cols):
     return base() + f"SELECT pos, {', '.join(parts)} FROM feats"
 
 
-_NUM = ["forks_count", "watchers", "open_issues_count", "total_issues_count", "open_pulls_count",
-        "release_count", "commit_count", "topics_count", "disk_usage", "description_length",
-        "name_length", "contributor_count"]
-_BOOL = ["is_archived", "is_fork", "is_disabled", "is_mirror", "has_issues", "has_wiki", "has_projects",
-         "has_discussions", "has_license", "owner_is_org"]
+_NUM, _BOOL = INT_FEATURES[:12], INT_FEATURES[12:22]
 
 ORACLES["text_lengths"] = _subset(["description_length", "name_length"])
 ORACLES["flags"] = _subset(_BOOL)
@@ -228,12 +224,7 @@ SELECT pos, full_name FROM r WHERE (SELECT n FROM cnt) <= 1000 OR r0 IN (SELECT
 
 # ------------------------------------------------------------------ dataset
 
-_NUMERIC_NAMES = ("forks_count,watchers,open_issues_count,total_issues_count,open_pulls_count,release_count,"
-                  "commit_count,topics_count,disk_usage,description_length,name_length,contributor_count,"
-                  "is_archived,is_fork,is_disabled,is_mirror,has_issues,has_wiki,has_projects,has_discussions,"
-                  "has_license,owner_is_org,age_days,days_since_push,days_since_update,commits_per_day,"
-                  "commits_per_year,issues_per_day,open_issue_ratio,forks_per_day,releases_per_year,"
-                  "log_forks_count,log_commit_count,log_open_issues_count,log_total_issues_count,log_disk_usage")
+_NUMERIC_NAMES = ",".join(INT_FEATURES + DOUBLE_FEATURES)
 
 ORACLES["build_dataset"] = base(*BUCKET_CTES, *STRATA_CTES) + f"""
 SELECT f.pos, f.full_name, sp.split, sp.bucket, f.stargazers_count, {feature_select('f.')},
@@ -337,5 +328,141 @@ ORACLES["standardize"] = base(("st", "SELECT " + ", ".join(
 ) + " FROM feats, st"
 
 ORACLES["incremental_ingest"] = ORACLES["dedupe_first"]
+ORACLES["incremental_ingest_batches"] = ORACLES["dedupe_first"]
+
+# ------------------------------------------------- rank, ingest and artifacts
+ORACLES["top_n_by_language"] = with_ctes(("repos", REPOS_SQL)) + """
+SELECT pos, language, stargazers_count, rank_in_language FROM (
+  SELECT pos, language, stargazers_count,
+         row_number() OVER (PARTITION BY language ORDER BY stargazers_count DESC, pos) AS rank_in_language
+  FROM repos) WHERE rank_in_language <= 1500"""
+
+ORACLES["rank_in_group"] = with_ctes(("repos", REPOS_SQL), ("g", """
+SELECT pos, stargazers_count,
+       CASE WHEN pos % 10 <> 0 THEN split_part(full_name, '/', 1) END AS owner FROM repos""")) + """
+SELECT pos, owner, row_number() OVER (PARTITION BY owner ORDER BY stargazers_count DESC, pos) AS rank FROM g"""
+
+ORACLES["trials_latest"] = with_ctes(("repos", REPOS_SQL), ("t", TRIALS_SQL)) + \
+    f"SELECT model_name, config_id, {r6('cv_r2')} AS cv_r2 FROM t"
+
+ORACLES["pages_quarantine"] = with_ctes(("repos", REPOS_SQL), ("bands", BANDS_SQL), ("c", """
+SELECT b.lo, b.hi, count(*) AS n FROM repos r
+JOIN bands b ON r.stargazers_count >= b.lo AND (b.hi IS NULL OR r.stargazers_count <= b.hi) GROUP BY b.lo, b.hi"""),
+    ("p", """
+SELECT CASE WHEN hi IS NULL THEN concat('stars:>=', cast(lo AS VARCHAR))
+            ELSE concat('stars:', cast(lo AS VARCHAR), '..', cast(hi AS VARCHAR)) END AS query,
+       cast(unnest(range((n + 39) // 40)) AS INTEGER) AS page_no FROM c""")) + """
+SELECT query, page_no, CASE WHEN page_no % 7 = 3 THEN 'unreadable page' WHEN page_no % 11 = 5 THEN 'errors: timeout'
+                            ELSE 'empty page' END AS reason
+FROM p WHERE page_no % 7 = 3 OR page_no % 11 = 5 OR page_no % 13 = 6"""
+
+ORACLES["null_fill"] = with_ctes(("repos", REPOS_SQL)) + """
+SELECT pos, coalesce(CASE WHEN pos % 3 <> 0 THEN forks_count END, 0) AS forks_count,
+       coalesce(CASE WHEN pos % 5 <> 0 THEN watchers END, 0) AS watchers, coalesce(release_count, 0) AS release_count
+FROM repos"""
+
+ORACLES["timing_ratio"] = with_ctes(("y", """
+SELECT cast(year(l_shipdate) AS DOUBLE) AS workers, sum(l_quantity)::DOUBLE AS seconds
+FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1""")) + f"""
+SELECT workers, {r6("seconds")} AS seconds,
+       {r6("first_value(seconds * workers) OVER (ORDER BY workers ROWS BETWEEN UNBOUNDED PRECEDING "
+           "AND UNBOUNDED FOLLOWING) / seconds")} AS ratio FROM y"""
+
+ORACLES["guarded_write"] = with_ctes(("repos", REPOS_SQL)) + """
+SELECT kind, cast(n AS BIGINT) AS n_lines, refused FROM (
+  SELECT 'marked' AS kind, count(*) FILTER (WHERE pos % 2 = 0) AS n, false AS refused FROM repos
+  UNION ALL SELECT 'plain', count(*) FILTER (WHERE pos % 2 = 1), true FROM repos)"""
+
+# ------------------------------------------------------------------ models
+# One feature x = ln(1 + forks), label y = ln(1 + stars): the scaled ridge fit in closed form.
+_XY = ("xy", """SELECT s.pos, s.full_name, s.split, ln(1 + r.forks_count)::DOUBLE AS x, ln(1 + s.stargazers_count)::DOUBLE AS y,
+       s.stargazers_count FROM split s JOIN repos r ON r.pos = s.pos""")
+_FOLDED = ("folded", """
+SELECT *, CASE WHEN r0 < (n % 5) * (n // 5 + 1) THEN r0 // (n // 5 + 1)
+               ELSE (n % 5) + (r0 - (n % 5) * (n // 5 + 1)) // (n // 5) END AS fold
+FROM (SELECT *, row_number() OVER (ORDER BY md5(concat(full_name, ':0')), full_name) - 1 AS r0, count(*) OVER () AS n
+      FROM xy WHERE split = 'train')""")
+_MODEL_BASE = [("repos", REPOS_SQL), *STRATA_CTES, _XY]
+
+
+def _coef(where: str, alpha: str) -> str:
+    """n, mean x, slope and intercept of the fit on some rows."""
+    return (f"SELECT avg(x) AS mx, var_pop(x) AS vx, avg(y) AS my, count(*) * covar_pop(x, y) / "
+            f"(CASE WHEN {alpha} = 0 THEN count(*) * var_pop(x) ELSE (count(*) + {alpha}) * var_pop(x) END) AS beta "
+            f"FROM {where}")
+
+
+def _one_feature(alpha: str) -> str:
+    return with_ctes(*_MODEL_BASE, ("tr", "SELECT * FROM xy WHERE split = 'train'"), ("fit", _coef("tr", alpha))) + f"""
+SELECT pos, {r6("my + beta * (x - mx)")} AS log_pred, round(greatest(exp(my + beta * (x - mx)) - 1, 0)::DOUBLE, 2) AS predicted_stars
+FROM xy, fit"""
+
+
+ORACLES["linear_one_feature"] = _one_feature("0")
+ORACLES["ridge_one_feature"] = _one_feature("1.0")
+
+
+def _configs() -> str:
+    """The linear families' grid as rows (config id from the stated format)."""
+    import hashlib
+    import json
+    rows = []
+    for name, alpha in [("LinearRegression", None)] + [("Ridge", a) for a in (0.01, 0.1, 1.0, 10.0, 100.0)]:
+        cfg = {"model_name": name} | ({} if alpha is None else {"alpha": alpha})
+        key = hashlib.sha1(json.dumps(cfg, sort_keys=True).encode()).hexdigest()[:12]
+        rows.append(f"('{name}', '{name}_{key}', {alpha or 0.0}::DOUBLE)")
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") t(model_name, config_id, alpha)"
+
+
+_CV_CTES = [*_MODEL_BASE, _FOLDED, ("cfg", _configs()), ("fits", """
+SELECT c.model_name, c.config_id, k.fold, avg(f.x) AS mx, avg(f.y) AS my,
+       count(*) * covar_pop(f.x, f.y) / ((count(*) + c.alpha) * var_pop(f.x)) AS beta
+FROM cfg c, (SELECT DISTINCT fold FROM folded) k JOIN folded f ON f.fold <> k.fold
+GROUP BY c.model_name, c.config_id, c.alpha, k.fold"""), ("r2", """
+SELECT t.model_name, t.config_id, t.fold,
+       1 - sum(pow(f.y - (my + beta * (f.x - mx)), 2)) / (var_pop(f.y) * count(*)) AS r2
+FROM fits t JOIN folded f ON f.fold = t.fold GROUP BY t.model_name, t.config_id, t.fold"""), ("cv", """
+SELECT model_name, config_id, avg(r2) AS cv_r2 FROM r2 GROUP BY model_name, config_id""")]
+ORACLES["linear_cv_scores"] = with_ctes(*_CV_CTES) + f"SELECT model_name, config_id, {r6('cv_r2')} AS cv_r2 FROM cv"
+ORACLES["accuracy_table"] = with_ctes(*_CV_CTES, ("best", """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY round(cv_r2, 12) DESC, config_id) AS rn FROM cv) WHERE rn = 1"""),
+    ("refit", """
+SELECT b.model_name, b.cv_r2, avg(f.x) AS mx, avg(f.y) AS my,
+       count(*) * covar_pop(f.x, f.y) / ((count(*) + c.alpha) * var_pop(f.x)) AS beta
+FROM best b JOIN cfg c ON c.config_id = b.config_id, folded f GROUP BY b.model_name, b.cv_r2, c.alpha"""),
+    ("scored", "SELECT model_name, cv_r2, y, my + beta * (x - mx) AS p FROM refit, xy WHERE split = 'test'")) + f"""
+SELECT model_name, {r6("max(cv_r2)")} AS cv_r2, {r6("1 - sum(pow(y - p, 2)) / (var_pop(y) * count(*))")} AS r2_log
+FROM scored GROUP BY model_name"""
+ORACLES["ranked_scores"] = with_ctes(*_MODEL_BASE, ("tr", "SELECT * FROM xy WHERE split = 'train'"), ("fit", _coef("tr", "0")),
+                                     ("p", "SELECT pos, full_name, x, greatest(exp(my + beta * (x - mx)) - 1, 0) AS stars FROM xy, fit")) + f"""
+SELECT row_number() OVER (ORDER BY x DESC, pos) AS rank, pos, full_name, round(stars::DOUBLE, 2) AS predicted_stars FROM p"""
+
+# Fits that SQL can't repeat are held to properties: the rows they must give, the range of their
+# predictions and a floor of their accuracy.
+_CHECKED = with_ctes(("repos", REPOS_SQL), *STRATA_CTES) + \
+    "SELECT pos, true AS in_range, true AS r2_floor FROM split WHERE split = 'test'"
+for _name in ("ridge_fit_predict", "forest_fit_predict", "extra_trees_fit_predict", "boosting_fit_predict",
+              "hist_boosting_fit_predict"):
+    ORACLES[_name] = _CHECKED
+ORACLES["grid_search"] = with_ctes(("repos", REPOS_SQL), ("cfg", _configs())) + \
+    "SELECT model_name, config_id, true AS r2_floor FROM cfg WHERE (SELECT count(*) FROM repos) > 0"
+
+
+def _families() -> str:
+    import hashlib
+    import json
+
+    from velorank.plans.training import CHECKED_CONFIGS
+    ids = [f"{c['model_name']}_{hashlib.sha1(json.dumps(c, sort_keys=True).encode()).hexdigest()[:12]}" for c in CHECKED_CONFIGS]
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{c['model_name']}', '{i}')" for c, i in zip(CHECKED_CONFIGS, ids)) + ") t(model_name, config_id)"
+
+
+ORACLES["grid_search_families"] = with_ctes(("repos", REPOS_SQL), ("cfg", _families())) + \
+    "SELECT model_name, config_id, true AS r2_floor FROM cfg WHERE (SELECT count(*) FROM repos) > 0"
+ORACLES["results_table"] = with_ctes(("repos", REPOS_SQL)) + """
+SELECT model_name, true AS r2_floor, true AS same_after_reload, true AS winner_in_metadata
+FROM (VALUES ('LinearRegression'), ('Ridge')) t(model_name) WHERE (SELECT count(*) FROM repos) > 0"""
+ORACLES["ranked_predictions"] = with_ctes(("repos", REPOS_SQL)) + \
+    "SELECT pos, full_name, true AS in_range, true AS rank_in_range FROM repos"
 
 ORACLES["align_columns"] = _align_sql()

@@ -7,8 +7,8 @@ moments of each fold — count, sums of x and y, sum of y², XᵀX and Xᵀy —
 1. one aggregate pass for per-column means (a shift that keeps the moments
    well conditioned);
 2. one pass where every task reduces its Arrow batches with numpy to one
-   partial moment vector per fold (``mapInPandas``), and Spark sums the
-   partials per (fold, index) with a map-side combined ``groupBy``;
+   partial moment vector per fold (``mapInPandas``), and the vectors are
+   summed per fold in two levels;
 3. the driver holds k vectors of d² + 2d + 3 numbers and solves every
    (config, fold): train moments = total − fold moments, validation R²
    from the fold's own moments.
@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from velorank.operators.sizing import collect_bounded
 
 _EPS = np.finfo(np.float64).eps
+# Groups of the first sum of partial moments.
+GROUPS = 256
 
 
 def _layout(d: int) -> dict[str, slice]:
@@ -54,6 +56,7 @@ def fold_moments(df: DataFrame, feature_cols: Sequence[str], label: str, fold_co
     cols = list(feature_cols)
 
     def partials(batches):
+        from pyspark import TaskContext
         acc: dict[int, np.ndarray] = {}
         for pdf in batches:
             X = pdf[cols].to_numpy(dtype=np.float64) - shift
@@ -69,23 +72,22 @@ def fold_moments(df: DataFrame, feature_cols: Sequence[str], label: str, fold_co
                 vec[lay["syy"]] += yf @ yf
                 vec[lay["xtx"]] += (Xf.T @ Xf).ravel()
                 vec[lay["xty"]] += Xf.T @ yf
-        for f, vec in acc.items():
-            yield pd.DataFrame({"fold": np.full(vec.size, f, dtype=np.int32),
-                                "idx": np.arange(vec.size, dtype=np.int32), "v": vec})
+        part = TaskContext.get().partitionId() % GROUPS
+        yield pd.DataFrame({"fold": list(acc), "part": [part] * len(acc), "v": [v.tolist() for v in acc.values()]})
+
+    def added(pdf):
+        return pd.DataFrame({"fold": [pdf["fold"].iloc[0]], "v": [np.sum(np.stack(pdf["v"].to_numpy()), axis=0).tolist()]})
 
     renamed = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols],
                         F.col(label).cast("double").alias(label), F.col(fold_col).cast("int").alias(fold_col))
-    # one partial vector per task and fold: cap the task count at the cluster's
-    # parallelism (a narrow coalesce, no shuffle) so the partials scale with
-    # cores, not with the number of input splits
-    # (coalesce never adds partitions, so no count is needed first)
-    renamed = renamed.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism))
-    parts = renamed.mapInPandas(partials, "fold int, idx int, v double")
-    sums = parts.groupBy("fold", "idx").agg(F.sum("v").alias("v"))
-    rows = collect_bounded(sums, k * lay["len"], "fold moments")  # k x (d^2 + 2d + 3) numbers
+    # one partial vector per input split and fold, summed in GROUPS groups and then once more:
+    # no task ever adds up the partials of all splits
+    parts = renamed.mapInPandas(partials, "fold int, part int, v array<double>")
+    sums = parts.groupBy("fold", "part").applyInPandas(added, "fold int, v array<double>") \
+        .groupBy("fold").applyInPandas(added, "fold int, v array<double>")
     out = {f: np.zeros(lay["len"]) for f in range(k)}
-    for r in rows:
-        out.setdefault(r["fold"], np.zeros(lay["len"]))[r["idx"]] = r["v"]
+    for r in collect_bounded(sums, k, "fold moments"):  # k arrays of d^2 + 2d + 3 numbers
+        out[r["fold"]] = np.array(r["v"])
     return out, shift, yshift
 
 

@@ -8,6 +8,7 @@ Doubles are rounded to 6 places for the value-hash comparison.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -217,8 +218,8 @@ def q_band_join(spark, sf_dir):
 @query("band_filter")
 def q_band_filter(spark, sf_dir):
     """entities of one band (1600..3199), predicate pushed to the scan."""
-    from velorank.operators.bands import band_predicate, make_bands
-    lo, hi = make_bands()[5]
+    from velorank.operators.bands import DEFAULT_EDGES, band_predicate
+    lo, hi = DEFAULT_EDGES[5], DEFAULT_EDGES[6] - 1
     return repos(spark, sf_dir).select("pos", "stargazers_count") \
         .where(band_predicate(F.col("stargazers_count"), lo, hi))
 
@@ -347,10 +348,90 @@ def q_pages_to_rows(spark, sf_dir):
     return rows.drop("page_no", "node_idx")
 
 
+@query("pages_quarantine")
+def q_pages_quarantine(spark, sf_dir):
+    """F4 for S3: truncated, failed and empty pages are listed with their reason."""
+    from velorank.operators.ingest import pages_quarantine
+    from velorank.sources.derived import search_pages
+    page = F.col("page_no")
+    pages = search_pages(repos(spark, sf_dir)).withColumn("body", F.when(page % 7 == 3, F.substring("body", 1, 200))
+        .when(page % 11 == 5, F.lit('{"errors": [{"message": "timeout"}]}')).when(page % 13 == 6, F.lit(""))
+        .otherwise(F.col("body")))
+    return pages_quarantine(pages).select("query", "page_no", "reason")
+
+
+@query("trials_latest")
+def q_trials_latest(spark, sf_dir):
+    """Half of the configs are scored anew; the new record of a config replaces the old one."""
+    from velorank.session import scratch_path
+    from velorank.sources.files import scan_trials, write_trials
+    path = scratch_path(spark, "trials-latest")
+    trials = _trials(spark, sf_dir)
+    again = F.substring("config_id", -1, 1).isin(*"01234567")
+    write_trials(trials.withColumn("cv_r2", F.when(again, F.lit(10.0)).otherwise(F.col("cv_r2"))), path)
+    write_trials(trials.where(again), path)
+    return rounded(scan_trials(spark, path).select("model_name", "config_id", "cv_r2"))
+
+
+@query("null_fill")
+def q_null_fill(spark, sf_dir):
+    """Nulls in numeric columns become 0."""
+    from velorank.operators.encode import fill_zero
+    r = repos(spark, sf_dir).select(
+        "pos", F.when(F.col("pos") % 3 != 0, F.col("forks_count")).alias("forks_count"),
+        F.when(F.col("pos") % 5 != 0, F.col("watchers")).alias("watchers"), "release_count")
+    return fill_zero(r, ["forks_count", "watchers", "release_count"])
+
+
+@query("timing_ratio")
+def q_timing_ratio(spark, sf_dir):
+    """S7 + W6: yearly totals written as a timing CSV, read back and related to the first row."""
+    from velorank.operators.report import relative_to_first
+    from velorank.session import ensure_utc, read_table, scratch_path
+    from velorank.sources.files import scan_timing_csv
+    ensure_utc(spark)
+    path = scratch_path(spark, "timing")
+    read_table(spark, sf_dir, "lineitem").where(F.col("l_shipdate").isNotNull()) \
+        .groupBy(F.year("l_shipdate").alias("workers")).agg(F.sum("l_quantity").alias("seconds")) \
+        .write.option("header", True).csv(path)
+    return rounded(relative_to_first(scan_timing_csv(spark, path), "workers", "workers", "seconds"))
+
+
+@query("guarded_write")
+def q_guarded_write(spark, sf_dir):
+    """A table of generated records may be overwritten, one of real records is refused."""
+    from velorank.session import scratch_path
+    from velorank.sources.files import guarded_write_jsonl, holds_real_records
+    r = repos(spark, sf_dir)
+    marked, plain = scratch_path(spark, "marked"), scratch_path(spark, "plain")
+    guarded_write_jsonl(r.where("pos % 2 = 0"), marked)
+    r.where("pos % 2 = 1").write.json(plain)
+    rows = [spark.read.text(path).agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n_lines")).withColumn(
+        "refused", F.lit(holds_real_records(spark, path))) for kind, path in (("marked", marked), ("plain", plain))]
+    return rows[0].unionByName(rows[1])
+
+
 # ----------------------------------------------------- ranking and splitting
 SEED = 0
 
 
+@query("top_n_by_language")
+def q_top_n_by_language(spark, sf_dir):
+    """Top 1500 by stars in every language; no language is a group of its own."""
+    from velorank.operators.rank import top_n_per_group
+    r = repos(spark, sf_dir).select("pos", "language", "stargazers_count")
+    return top_n_per_group(r, "language", [F.desc("stargazers_count"), F.asc("pos")], 1500, "rank_in_language", keep_rank=True)
+
+
+@query("rank_in_group")
+def q_rank_in_group(spark, sf_dir):
+    """Rank within more than a thousand owners, one group being null."""
+    from velorank.operators.rank import rank_within
+    r = repos(spark, sf_dir).select("pos", "stargazers_count", F.when(
+        F.col("pos") % 10 != 0, F.substring_index("full_name", "/", 1)).alias("owner"))
+    return rank_within(r, ["owner"], [F.desc("stargazers_count"), F.asc("pos")], "rank").select("pos", "owner", "rank")
+
+
 @query("global_rank")
 def q_global_rank(spark, sf_dir):
     """W3 + C1: rank 1..n by (stars, position), no single-partition window."""
@@ -545,20 +626,30 @@ def q_standardize(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming
-@query("incremental_ingest")
-def q_incremental_ingest(spark, sf_dir):
-    """S11 + J3: shard folder ingested by an availableNow stream twice; the
-    rerun adds nothing; first record per name wins."""
+def _ingested(spark, sf_dir, max_files):
     from velorank.session import scratch_path
-    from velorank.streaming.incremental import incremental_ingest
+    from velorank.streaming.incremental import incremental_ingest, read_ingested
     src = _write_dup_shards(spark, sf_dir, "stream-src")
     target = scratch_path(spark, "stream-target")
     ckpt = scratch_path(spark, "stream-ckpt")
-    n1 = incremental_ingest(spark, src, target, ckpt, _shard_schema())
+    n1 = incremental_ingest(spark, src, target, ckpt, _shard_schema(), max_files_per_trigger=max_files)
     n2 = incremental_ingest(spark, src, target, ckpt, _shard_schema())
     if n1 != n2:
         raise RuntimeError(f"rerun changed the target: {n1} -> {n2}")
-    return spark.read.parquet(target).select("pos", "full_name", "stargazers_count", "forks_count")
+    return read_ingested(spark, target).select("pos", "full_name", "stargazers_count", "forks_count")
+
+
+@query("incremental_ingest")
+def q_incremental_ingest(spark, sf_dir):
+    """S11 + J3: shard folder ingested by an availableNow stream twice; the
+    rerun adds nothing; first record per name wins."""
+    return _ingested(spark, sf_dir, None)
+
+
+@query("incremental_ingest_batches")
+def q_incremental_ingest_batches(spark, sf_dir):
+    """The same with three files per batch: the batches don't change which record wins."""
+    return _ingested(spark, sf_dir, 3)
 
 
 # ------------------------------------------------------------------ models
@@ -566,6 +657,7 @@ def q_incremental_ingest(spark, sf_dir):
 RIDGE_CFG = {"model_name": "Ridge", "alpha": 1.0}
 FOREST_CFG = {"model_name": "RandomForest", "max_depth": 10, "min_samples_leaf": 4, "n_estimators": 100}
 BOOSTING_CFG = {"model_name": "GradientBoosting", "learning_rate": 0.1, "max_depth": 3, "n_estimators": 100}
+HIST_CFG = {"model_name": "HistGradientBoosting", "learning_rate": 0.1, "max_depth": 4, "max_iter": 50}
 
 
 def _train_test(spark, sf_dir, folds: bool = True):
@@ -580,24 +672,42 @@ def _train_test(spark, sf_dir, folds: bool = True):
     return ds, train, test
 
 
-def _fit_predict(spark, sf_dir, cfg):
+# Test R^2 (log) that every fit must reach, and how far (log) a prediction may leave the labels' range.
+R2_FLOOR, RANGE_SLACK = 0.8, 1.0
+
+
+def _fit(train, feature_columns, cfg):
     from velorank.plans.linear_cv import fit_linear
-    from velorank.plans.training import LABEL, PREDICTION, label_stats, pipeline
-    ds, train, test = _train_test(spark, sf_dir, folds=False)
+    from velorank.plans.training import LABEL, LINEAR, pipeline
     labelled = train.withColumn(LABEL, feat.log_target(F.col("stargazers_count")))
-    if cfg["model_name"] in ("LinearRegression", "Ridge"):
-        model = fit_linear(labelled, ds.feature_columns, LABEL, cfg)
-    else:
-        n, sigma_y = label_stats(train)
-        model = pipeline(cfg, ds.feature_columns, n, sigma_y).fit(labelled)
-    pred = model.transform(test)
-    return pred.select("pos", "stargazers_count", r6(F.col(PREDICTION)).alias("log_pred"),
-                       r6(feat.star_space(F.col(PREDICTION), 0.0)).alias("predicted_stars"))
+    if cfg["model_name"] in LINEAR:
+        return fit_linear(labelled, feature_columns, LABEL, cfg)
+    return pipeline(cfg, feature_columns).fit(labelled)
+
+
+def _label_range(df) -> tuple[float, float]:
+    r = df.agg(F.min("stargazers_count").alias("lo"), F.max("stargazers_count").alias("hi")).first()
+    return math.log1p(r["lo"]) - RANGE_SLACK, math.log1p(r["hi"]) + RANGE_SLACK
+
+
+def _fit_predict(spark, sf_dir, cfg):
+    """Test rows with the properties a fit must have: predictions in the
+    labels' range and an R^2 above the floor."""
+    from velorank.operators.metrics import regression_metrics
+    from velorank.plans.training import PREDICTION
+    from velorank.session import materialize
+    ds, train, test = _train_test(spark, sf_dir, folds=False)
+    lo, hi = _label_range(train)
+    pred = _fit(train, ds.feature_columns, cfg).transform(test) \
+        .select("pos", "stargazers_count", F.col(PREDICTION).alias("log_pred"))
+    pred = materialize(pred, "predictions")
+    r2 = regression_metrics(pred, "stargazers_count", "log_pred", "pos").first()["r2_log"]
+    return pred.select("pos", F.col("log_pred").between(lo, hi).alias("in_range"), F.lit(r2 >= R2_FLOOR).alias("r2_floor"))
 
 
 @query("ridge_fit_predict")
 def q_ridge_fit_predict(spark, sf_dir):
-    """M3 + M5: ridge (alpha 1) on standardised features, log target."""
+    """M3 + M5: ridge (alpha 1) on all standardised features, log target."""
     return _fit_predict(spark, sf_dir, RIDGE_CFG)
 
 
@@ -607,16 +717,82 @@ def q_forest_fit_predict(spark, sf_dir):
     return _fit_predict(spark, sf_dir, FOREST_CFG)
 
 
+@query("extra_trees_fit_predict")
+def q_extra_trees_fit_predict(spark, sf_dir):
+    """M7: random-subspace forest without bootstrap."""
+    return _fit_predict(spark, sf_dir, {**FOREST_CFG, "model_name": "ExtraTrees"})
+
+
 @query("boosting_fit_predict")
 def q_boosting_fit_predict(spark, sf_dir):
     """M8: gradient boosting, squared loss."""
     return _fit_predict(spark, sf_dir, BOOSTING_CFG)
 
 
+@query("hist_boosting_fit_predict")
+def q_hist_boosting_fit_predict(spark, sf_dir):
+    """M9: boosting with 255 bins and 20 rows per leaf."""
+    return _fit_predict(spark, sf_dir, HIST_CFG)
+
+
+def _one_feature(spark, sf_dir, folds: bool = False):
+    """Train and test rows with the single feature log(1 + forks)."""
+    ds, train, test = _train_test(spark, sf_dir, folds)
+    return train, test, ["log_forks_count"]
+
+
+def _one_feature_fit(spark, sf_dir, cfg):
+    train, test, cols = _one_feature(spark, sf_dir)
+    scored = _fit(train, cols, cfg).transform(train.unionByName(test))
+    return scored.select("pos", r6("prediction").alias("log_pred"), F.round(feat.star_space(F.col("prediction"), 0.0), 2).alias("predicted_stars"))
+
+
+@query("linear_one_feature")
+def q_linear_one_feature(spark, sf_dir):
+    """M4: least squares on one feature, every row scored."""
+    return _one_feature_fit(spark, sf_dir, {"model_name": "LinearRegression"})
+
+
+@query("ridge_one_feature")
+def q_ridge_one_feature(spark, sf_dir):
+    """M5: ridge (alpha 1) on one standardised feature, every row scored."""
+    return _one_feature_fit(spark, sf_dir, RIDGE_CFG)
+
+
+@query("linear_cv_scores")
+def q_linear_cv_scores(spark, sf_dir):
+    """M1 + M2 + M10: 5-fold R^2 of the linear families' grid on one feature."""
+    from velorank.plans.training import LINEAR, grid_configs, grid_search
+    train, _, cols = _one_feature(spark, sf_dir, folds=True)
+    return rounded(grid_search(train, cols, grid_configs(LINEAR), "fold", 5).select("model_name", "config_id", "cv_r2"))
+
+
+@query("accuracy_table")
+def q_accuracy_table(spark, sf_dir):
+    """M11 + M13: best config per family by CV, refit, test R^2."""
+    from velorank.plans.training import LINEAR, grid_configs, grid_search, select_best
+    train, test, cols = _one_feature(spark, sf_dir, folds=True)
+    trials = grid_search(train, cols, grid_configs(LINEAR), "fold", 5)
+    results, _, _ = select_best(trials, train, test, cols)
+    return rounded(results.select("model_name", "cv_r2", "r2_log"))
+
+
+@query("ranked_scores")
+def q_ranked_scores(spark, sf_dir):
+    """M12 + O1: the whole table scored by a saved and reloaded model, and ranked."""
+    from velorank.plans.training import load_model, save_model, score_table
+    from velorank.session import scratch_path
+    train, _, cols = _one_feature(spark, sf_dir)
+    path = scratch_path(spark, "one-feature-model")
+    save_model(_fit(train, cols, {"model_name": "LinearRegression"}), path)
+    ranked = score_table(load_model(spark, path, "LinearRegression"), features_df(spark, sf_dir), cols, [], [])
+    return ranked.select("rank", "pos", "full_name", F.round("predicted_stars", 2).alias("predicted_stars"))
+
+
 def _grid_trials(spark, sf_dir):
-    from velorank.plans.training import build_jobs, grid_search
+    from velorank.plans.training import grid_configs, grid_search
     ds, train, test = _train_test(spark, sf_dir)
-    jobs = build_jobs(["LinearRegression", "Ridge"])
+    jobs = grid_configs(["LinearRegression", "Ridge"])
     return ds, train, test, grid_search(train, ds.feature_columns, jobs, "fold", 5, parallelism=4)
 
 
@@ -625,7 +801,19 @@ def q_grid_search(spark, sf_dir):
     """M1 + M2 + M10: 5-fold CV mean R^2 of the linear families' grid
     (the reference's per-family run), one trial record per config."""
     _, _, _, trials = _grid_trials(spark, sf_dir)
-    return trials.select("model_name", "config_id", r6("cv_r2").alias("cv_r2"))
+    return _checked_trials(trials)
+
+
+def _checked_trials(trials):
+    return trials.select("model_name", "config_id", (F.col("cv_r2") >= R2_FLOOR).alias("r2_floor"))
+
+
+@query("grid_search_families")
+def q_grid_search_families(spark, sf_dir):
+    """One config of each of the six families through the same search."""
+    from velorank.plans.training import CHECKED_CONFIGS, grid_search
+    ds, train, _ = _train_test(spark, sf_dir)
+    return _checked_trials(grid_search(train, ds.feature_columns, CHECKED_CONFIGS, "fold", 5, parallelism=4))
 
 
 @query("results_table")
@@ -635,20 +823,27 @@ def q_results_table(spark, sf_dir):
     back, results and metadata written."""
     from velorank.plans.training import load_model, save_model, select_best
     from velorank.session import scratch_path
-    from velorank.sources.files import scan_trials, write_metadata, write_results, write_trials
+    from velorank.sources.files import read_metadata, scan_trials, write_metadata, write_results, write_trials
     ds, train, test, trials = _grid_trials(spark, sf_dir)
     trials_path = scratch_path(spark, "trials")
     write_trials(trials, trials_path)
     results, winner, model = select_best(scan_trials(spark, trials_path), train, test, ds.feature_columns)
-    path = scratch_path(spark, "model")
+    path, results_path, metadata_path = (scratch_path(spark, n) for n in ("model", "results", "metadata"))
     save_model(model, path)
-    load_model(spark, path, winner in ("LinearRegression", "Ridge"))
-    write_results(results, scratch_path(spark, "results"))
+    write_results(results, results_path)
     best = results.where(F.col("model_name") == winner).first().asDict()
     write_metadata(spark, {"model_name": winner, "log_target": True, "deployment_time": DEPLOYMENT_TIME,
-                           "metrics": {k: v for k, v in best.items() if k != "best_hyperparameters"}},
-                   scratch_path(spark, "metadata"))
-    return rounded(results.drop("best_hyperparameters").withColumn("is_winner", F.col("model_name") == winner))
+                           "metrics": {k: v for k, v in best.items() if k != "best_hyperparameters"}}, metadata_path)
+    # the saved model scores like the fitted one, and the metadata names it
+    metadata = read_metadata(spark, metadata_path)
+    loaded = load_model(spark, path, metadata["model_name"])
+    both = model.transform(test).select("pos", "prediction").join(
+        loaded.transform(test).select("pos", F.col("prediction").alias("again")), "pos")
+    worst = both.agg(F.max(F.abs(F.col("prediction") - F.col("again"))).alias("d")).first()["d"]
+    stored = spark.read.schema("model_name string, r2_log double, cv_r2 double").json(results_path)
+    top = stored.orderBy(F.desc("cv_r2"), "model_name").first()["model_name"]
+    return stored.select("model_name", (F.col("r2_log") >= R2_FLOOR).alias("r2_floor"),
+                         F.lit(worst == 0).alias("same_after_reload"), F.lit(metadata["model_name"] == top).alias("winner_in_metadata"))
 
 
 # Fixed value: deployment time recorded in the metadata (passed in, not read from the clock).
@@ -657,13 +852,15 @@ DEPLOYMENT_TIME = "2002-01-01T00:00:00+00:00"
 
 @query("ranked_predictions")
 def q_ranked_predictions(spark, sf_dir):
-    """M12 + O1: whole test table scored by the selected model and ranked."""
-    from velorank.plans.training import build_jobs, grid_search, score_table, select_best
+    """M12 + O1: the whole table scored by the selected model and ranked."""
+    from velorank.plans.training import grid_configs, grid_search, score_table, select_best
     ds, train, test = _train_test(spark, sf_dir)
-    trials = grid_search(train, ds.feature_columns, build_jobs(["Ridge"]), "fold", 5, parallelism=4)
+    trials = grid_search(train, ds.feature_columns, grid_configs(["Ridge"]), "fold", 5, parallelism=4)
     _, _, model = select_best(trials, train, test, ds.feature_columns)
-    raw = repos(spark, sf_dir).join(test.select("pos"), "pos", "left_semi")
-    feats = feat.make_features(raw, AS_OF)
+    feats = features_df(spark, sf_dir)
     meta = ds.meta()
     ranked = score_table(model, feats, ds.feature_columns, meta["top_langs"], meta["top_licenses"])
-    return ranked.select("rank", "pos", "full_name", r6("predicted_stars").alias("predicted_stars"))
+    n = ds.n_train + ds.n_test
+    hi = math.exp(_label_range(train.unionByName(test, allowMissingColumns=True))[1])
+    return ranked.select("pos", "full_name", F.col("predicted_stars").between(0, hi).alias("in_range"),
+                         F.col("rank").between(1, n).alias("rank_in_range"))

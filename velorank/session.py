@@ -8,6 +8,7 @@ chosen when the session runs in local mode and nothing was configured.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -15,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CKPT: dict[str, str] = {}
+_SCRATCH: list[list[str]] = []
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -32,7 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # checkpoint files are removed once their DataFrame is garbage-collected
+        # files of checkpoint() go once their DataFrame is garbage-collected; scratch tables: scratch_tables()
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
@@ -82,21 +84,42 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/velorank-tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/velorank-tables/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
+    return path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Does ``path`` exist on its (Hadoop) file system?"""
+    """Does ``path`` exist on its (Hadoop) file system?  A failing file system raises: an error must
+    never read as "nothing there"."""
+    fs, hpath = _file_system(spark, path)
+    return bool(fs.exists(hpath))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a table this engine wrote under its own scratch folder."""
+    if "/velorank-tables/" not in path:
+        raise ValueError(f"not a scratch table: {path}")
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath  # noqa: SLF001
+
+
+@contextlib.contextmanager
+def scratch_tables(spark: SparkSession):
+    """Scratch tables written inside are removed at the end, whether the work succeeds or fails; what
+    leaves must be collected or written by then."""
+    _SCRATCH.append([])
     try:
-        jvm = spark.sparkContext._jvm  # noqa: SLF001
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))  # noqa: SLF001
-    except Exception:  # noqa: BLE001 — no JVM handle (remote session): probe by reading
-        try:
-            spark.read.format("binaryFile").load(path).limit(1).collect()
-            return True
-        except Exception:  # noqa: BLE001
-            return False
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            remove_path(spark, path)
 
 
 def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:

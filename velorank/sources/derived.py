@@ -12,13 +12,10 @@ from pyspark.sql import functions as F
 
 from velorank.functions.arith import idiv
 
-from velorank.operators.bands import assign_band, band_query, make_bands
+from velorank.operators.bands import assign_band, search_text
 from velorank.operators.ingest import PAGE_SIZE
-from velorank.operators.rank import rank_within
-
-# The six model families of the grid (trial derivation).
-MODEL_NAMES = ["LinearRegression", "Ridge", "RandomForest", "ExtraTrees",
-               "GradientBoosting", "HistGradientBoosting"]
+from velorank.operators.rank import null_safe_join, rank_within
+from velorank.sources.schema import MODELS as MODEL_NAMES
 
 
 def _total(c) -> F.Column:
@@ -74,13 +71,10 @@ def search_pages(repos: DataFrame) -> DataFrame:
     desc (ties by pos), ``PAGE_SIZE`` per page, every 23rd node null.
 
     Columns: query, page_no, body (JSON text)."""
-    bands = make_bands()
-    queries = F.array(*[F.lit(band_query(lo, hi)) for lo, hi in bands])
     with_band = assign_band(repos).where(F.col("band").isNotNull())
-    with_band = with_band.withColumn("query", F.element_at(queries, F.col("band") + 1))
-    ranked, sizes = rank_within(with_band, ["query"], [F.desc("stargazers_count"), F.asc("pos")], "r",
-                                return_sizes=True)
-    count_of = F.create_map(*[x for q, c in sizes.items() for x in (F.lit(q), F.lit(c).cast("long"))])
+    with_band = with_band.withColumn("query", search_text(F.col("lo"), F.col("hi"))).drop("lo", "hi", "label")
+    ranked = rank_within(with_band, ["query"], [F.desc("stargazers_count"), F.asc("pos")], "r")
+    sizes = ranked.groupBy("query").agg(F.count(F.lit(1)).alias("repository_count"))
     nodes = ranked.select(
         "query", (idiv((F.col("r") - 1), PAGE_SIZE)).cast("int").alias("page_no"),
         F.col("r"),
@@ -88,7 +82,7 @@ def search_pages(repos: DataFrame) -> DataFrame:
     # one page = at most PAGE_SIZE nodes: a bounded collect per group
     pages = (nodes.groupBy("query", "page_no")
              .agg(F.array_sort(F.collect_list(F.struct("r", "node"))).alias("items")))
-    pages = pages.withColumn("repository_count", F.element_at(count_of, F.col("query")))
+    pages = null_safe_join(pages, sizes, ["query"])
     last_page = idiv((F.col("repository_count") - 1), PAGE_SIZE)
     body = F.to_json(F.struct(F.struct(F.struct(
         F.col("repository_count").alias("repositoryCount"),

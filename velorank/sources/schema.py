@@ -95,3 +95,6 @@ TIMING_SCHEMA = "workers double, seconds double"
 
 # Fixed value: the timestamp format, UTC wall clock with a literal 'Z'.
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+
+# The six model families, in grid order.
+MODELS = ["LinearRegression", "Ridge", "RandomForest", "ExtraTrees", "GradientBoosting", "HistGradientBoosting"]
