@@ -134,10 +134,9 @@ ALIGN_COLUMNS = ["commit_count", "forks_count", "language_NATION_0", "language_N
 @query("align_columns")
 def q_align_columns(spark, sf_dir):
     """Trained columns in trained order; absent -> 0, extras dropped."""
-    from velorank.operators.encode import align_columns, one_hot, present_values
-    b = _bucketed(spark, sf_dir)
-    f = features_df(spark, sf_dir).select("pos", "commit_count", "forks_count", "log_forks_count")
-    enc = one_hot(f.join(b, "pos"), {"language": present_values(b, "language")})
+    from velorank.operators.encode import align_columns, one_hot
+    bucketed, vocab = _bucketed(spark, sf_dir, "commit_count", "forks_count", "log_forks_count")
+    enc = one_hot(bucketed, {"language": vocab["language"]})
     return rounded(align_columns(enc, ALIGN_COLUMNS, keep=["pos"]))
 
 
@@ -181,28 +180,27 @@ def q_top_licenses(spark, sf_dir):
         .withColumn("rnk", F.col("rnk").cast("long"))
 
 
-def _bucketed(spark, sf_dir):
-    from velorank.operators.encode import TOP_LANGS, TOP_LICENSES, rare_bucket, top_values
+def _bucketed(spark, sf_dir, *keep):
+    """(pos, ``keep``, bucketed categories) and the present values, from one vocabulary pass."""
+    from velorank.operators.encode import TOP_LANGS, TOP_LICENSES, rare_bucket
+    from velorank.plans.dataset import vocabularies
     f = features_df(spark, sf_dir)
-    top_l = top_values(f, "language", TOP_LANGS)
-    top_lic = top_values(f, "license_key", TOP_LICENSES)
-    return f.select("pos", rare_bucket(F.col("language"), top_l).alias("language"),
-                    rare_bucket(F.col("license_key"), top_lic).alias("license_key"))
+    vocab = vocabularies(f, {"language": TOP_LANGS, "license_key": TOP_LICENSES})
+    bucketed = f.select("pos", *keep, *[rare_bucket(F.col(c), top).alias(c) for c, (top, _) in vocab.items()])
+    return bucketed, {c: present for c, (_, present) in vocab.items()}
 
 
 @query("rare_bucket")
 def q_rare_bucket(spark, sf_dir):
     """Values outside the top-k become 'other'."""
-    return _bucketed(spark, sf_dir)
+    return _bucketed(spark, sf_dir)[0]
 
 
 @query("one_hot")
 def q_one_hot(spark, sf_dir):
     """One-hot block, unpivoted to (pos, feature, value) for comparison."""
-    from velorank.operators.encode import one_hot, present_values
-    b = _bucketed(spark, sf_dir)
-    vocab = {"language": present_values(b, "language"), "license_key": present_values(b, "license_key")}
-    wide = one_hot(b, vocab)
+    from velorank.operators.encode import one_hot
+    wide = one_hot(*_bucketed(spark, sf_dir))
     cols = [c for c in wide.columns if c != "pos"]
     return wide.unpivot(["pos"], cols, "feature", "value")
 
