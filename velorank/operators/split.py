@@ -14,7 +14,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velorank.operators.rank import fold_id, global_rank, null_safe_join, rank_within
+from velorank.operators.order_stats import after, cut_points
+from velorank.operators.rank import null_safe_join, qcut_counts, rank_within
+from velorank.session import materialize
 
 
 def split_hash(key: Column, seed: int) -> Column:
@@ -64,13 +66,58 @@ def stratified_split(df: DataFrame, stratum_col: str, key_col: str = "full_name"
             .drop("_vr_srank", "_vr_h", "_vr_quota"))
 
 
+def hash_order(key: Column, seed: int) -> Column:
+    """The first 60 bits of ``split_hash`` as a number in the same order."""
+    return F.conv(F.substring(split_hash(F.coalesce(key, F.lit("")), seed), 1, 15), 16, 10).cast("long")
+
+
 def assign_folds(train: DataFrame, key_col: str = "full_name", seed: int = 0, k: int = 5,
-                 fold_col: str = "fold") -> DataFrame:
+                 fold_col: str = "fold", tiebreak: str = "pos") -> DataFrame:
     """Contiguous folds over the train rows in their shuffled (hash)
     order — never ingest order, which would hold out whole star ranges (T14).
 
-    The rows themselves are ranked, so a key that repeats or is null gives
-    every row one fold and no row is multiplied."""
-    hashed = train.withColumn("_vr_h", split_hash(F.coalesce(F.col(key_col), F.lit("")), seed))
-    ranked, n = global_rank(hashed, ["_vr_h", key_col], "_vr_frank")
-    return ranked.withColumn(fold_col, fold_id(F.col("_vr_frank") - 1, n, k)).drop("_vr_frank", "_vr_h")
+    The k - 1 cut points come from exact order statistics; the fold is then
+    a comparison with literals: no sort, no join, no row multiplied."""
+    keys = materialize(train.select(key_col, tiebreak), "fold-keys")
+    n = keys.count()
+    ends = [r for r in _fold_ends(n, k)[:-1] if 0 < r < n]
+    u, t = hash_order(F.col(key_col), seed), F.col(tiebreak)
+    cuts = cut_points(keys, u, t, {None: sorted(set(ends))}) if ends else {}
+    fold = sum((after(u, t, cuts[None, r]).cast("int") for r in ends), F.lit(0))
+    return train.withColumn(fold_col, fold.cast("int"))
+
+
+def _fold_ends(n: int, k: int) -> list[int]:
+    """Last rank of every fold: the first n % k folds are one longer."""
+    out, at = [], 0
+    for i in range(k):
+        at += n // k + (1 if i < n % k else 0)
+        out.append(at)
+    return out
+
+
+def stratified_cuts(df: DataFrame, target: str, n: int, q: int, key_col: str, tiebreak: str,
+                    test_size: float, seed: int) -> tuple[Column, Column]:
+    """W4 + W5 as expressions over the rows of ``df``: (bucket, split).
+
+    Buckets are cut at the last rank of each of the q equal-frequency
+    buckets in (target, tiebreak) order, the split at each bucket's quota in
+    hash order; both cuts are exact order statistics of narrow columns."""
+    y, t, u = F.coalesce(F.col(target).cast("long"), F.lit(-1)), F.col(tiebreak), hash_order(F.col(key_col), seed)
+    counts = qcut_counts(n, q)
+    ends, at = [], 0
+    for b in sorted(counts):
+        at += counts[b]
+        ends.append(at)
+    inner = ends[:-1]
+    cuts = cut_points(df, y, t, {None: inner}) if inner else {}
+    place = sum((after(y, t, cuts[None, r]).cast("int") for r in inner), F.lit(0))
+    order = sorted(counts)
+    bucket = F.element_at(F.array(*[F.lit(b) for b in order or [0]]), place + 1).cast("int")
+    quotas = train_quotas(counts, test_size) if n else {}
+    wanted = {b: [m] for b, m in quotas.items() if m}
+    last = cut_points(df, u, t, wanted, bucket) if wanted else {}
+    train = F.lit(False)
+    for b, ranks in wanted.items():
+        train = train | ((bucket == b) & ~after(u, t, last[b, ranks[0]]))
+    return bucket, F.when(train, F.lit("train")).otherwise(F.lit("test"))

@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 from velorank.functions.features import NUMERIC_FEATURES, make_features
 from velorank.operators.encode import (OTHER, TOP_LANGS, TOP_LICENSES, fill_zero, one_hot, rare_bucket,
                                        value_counts)
-from velorank.operators.rank import global_rank, qcut_bucket, qcut_counts
 from velorank.operators.sizing import collect_bounded
-from velorank.operators.split import stratified_split
+from velorank.operators.split import stratified_cuts
 from velorank.session import materialize
 
 TARGET = "stargazers_count"
@@ -86,13 +85,11 @@ def build_dataset(repos: DataFrame, as_of: str, top_langs: int = TOP_LANGS, top_
     train rows (no test information in the encoding)."""
     feats = materialize(make_features(repos, as_of, keep=("pos", "full_name", TARGET)))
 
-    # strata and split on the narrow key projection; joined back below
-    keys = feats.select("pos", "full_name", TARGET)
-    ranked, n = global_rank(keys, [TARGET, "pos"], "_vr_rank")
-    strata = ranked.withColumn("bucket", qcut_bucket(F.col("_vr_rank"), n, q)).drop("_vr_rank")
-    assignment = stratified_split(strata, "bucket", "full_name", test_size, seed).select("pos", "split", "bucket")
+    # strata and split: literal cut points on narrow columns, no sort and no join
+    n = feats.count()
+    bucket, part = stratified_cuts(feats.select("pos", "full_name", TARGET), TARGET, n, q, "full_name", "pos", test_size, seed)
     if vocab_on == "train":
-        vocab_rows = feats.join(assignment.where(F.col("split") == "train").select("pos"), "pos", "left_semi")
+        vocab_rows = feats.where(part == "train")
     elif vocab_on == "all":
         vocab_rows = feats
     else:
@@ -121,8 +118,8 @@ def build_dataset(repos: DataFrame, as_of: str, top_langs: int = TOP_LANGS, top_
     encoded = fill_zero(encoded, feature_cols) if n_missing else encoded
 
     n_train = n - math.ceil(test_size * n)
-    out = encoded.join(assignment, "pos").select(
-        *KEY_COLS, "split", "bucket", TARGET, *[F.col(f"`{c}`") for c in feature_cols])
+    out = encoded.select(
+        *KEY_COLS, part.alias("split"), bucket.alias("bucket"), TARGET, *[F.col(f"`{c}`") for c in feature_cols])
     return Dataset(out, feature_cols, top_l, top_lic, bool(stats["uses_contrib"]),
                    n_train, n - n_train, int(n_missing))
 
