@@ -34,6 +34,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = "script|style|template|noscript|iframe|svg|textarea|select|title|object|math|audio|video|canvas|button"
 OUTSIDE_TAGS = set("head nav header footer aside form menu dialog".split())
 OUTSIDE_NAMES = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promoted banner nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead cookie cookies consent notice notices alert popup modal newsletter subscribe signup login search form share sharing social related recommended comment comments reply replies respond disqus widget toolbar pagination pager copyright legal topbar".split())
+ADVERT_NAMES = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promoted banner".split())
 ARTICLE_OUTSIDE = set("ad ads advert advertisement promo sponsored related comment comments reply".split())
 MAIN_NAMES = set("article content post entry story main".split())
 _MARKUP = re.compile(
@@ -53,7 +54,7 @@ def parse(page: str) -> tuple[list[str], list[str]]:
     part, 1 body, 2 a block named as content, 3 main, 4 article."""
     stream: list[str] = []
     texts: list[str] = []
-    stack: list[tuple[str, bool, int]] = [("", False, 1)]    # tag, outside, level
+    stack: list[tuple[str, int, int]] = [("", 0, 1)]         # tag, outside (1: advert, 2: other), level
     held: list[str] = []
 
     def flush() -> None:
@@ -95,17 +96,17 @@ def parse(page: str) -> tuple[list[str], list[str]]:
             stack.pop()                                      # HTML closes these by itself
         _, outside, level = stack[-1]
         if tag == "body":
-            outside, level, names = False, 1, set()
+            outside, level, names = 0, 1, set()
         elif tag == "article":
-            # an article inside an unclosed advert is still one; inside these it is a teaser or a comment
-            inside = any(o and (t in OUTSIDE_TAGS or t == "article") for t, o, _ in stack)
-            outside, level = inside or bool(names & ARTICLE_OUTSIDE), 4
+            # an article inside an advert left open is still one; inside the others it is a teaser or a comment
+            inside = any(o == 2 or o and t == "article" for t, o, _ in stack)
+            outside, level = 2 * (inside or bool(names & ARTICLE_OUTSIDE)), 4
         elif tag == "main" or role == "main":
-            outside, level = False, max(level, 3)
+            outside, level = 0, max(level, 3)
         elif tag == "header" and level >= 3:
             pass                                             # an article's own heading
         elif tag in OUTSIDE_TAGS or names & OUTSIDE_NAMES or role in OUTSIDE_ROLES:
-            outside = True
+            outside = max(outside, 1 if tag not in OUTSIDE_TAGS and names & ADVERT_NAMES and not role else 2)
         elif names & MAIN_NAMES and level == 1:
             level = 2
         stack.append((tag, outside, level))
@@ -121,33 +122,35 @@ def parse(page: str) -> tuple[list[str], list[str]]:
 Item = str | tuple
 
 
-def fold(stream: list) -> list:
-    """Fold equal neighbouring groups into one ``("+", items)``; text slots keep their numbers in a list."""
-    out: list[tuple[Item, list[int]]] = []
+def fold(stream: list[str]) -> list[tuple[Item, list[int]]]:
+    """Fold equal neighbouring groups that hold text into one ``("+", items)``; each item with its text slots."""
+    keys: list[Item] = []
+    slots: list[list[int]] = []
     slot = 0
     for t in stream:
-        own = []
+        keys.append(t)
         if t[0] == "#":
-            own, slot = [slot], slot + 1
-        out.append((t, own))
+            slots.append([slot])
+            slot += 1
+        else:
+            slots.append([])
         again = True
         while again:
             again = False
-            for p in range(1, min(MAX_PERIOD, len(out)) + 1):
-                last = out[-p:]
-                keys = tuple(x[0] for x in last)
-                group = ("+", keys)
-                before = out[-p - 1] if len(out) > p else None
-                if before and before[0] == group and len(keys) >= 1:
-                    out[-p - 1:] = [(group, before[1] + [s for x in last for s in x[1]])]
+            n, last = len(keys), keys[-1]
+            for p in range(1, min(MAX_PERIOD, n - 1) + 1):
+                k = keys[n - p - 1]
+                if type(k) is tuple and len(k[1]) == p and k[1][-1] == last and k[1] == tuple(keys[n - p:]):
+                    slots[n - p - 1:] = [[s for x in slots[n - p - 1:] for s in x]]      # one more of a group
+                    del keys[n - p:]
                     again = True
                     break
-                if len(out) >= 2 * p and tuple(x[0] for x in out[-2 * p:-p]) == keys and any(x[1] for x in last):
-                    both = [s for x in out[-2 * p:] for s in x[1]]
-                    out[-2 * p:] = [(group, both)]
+                if k == last and 2 * p <= n and keys[n - 2 * p:n - p] == keys[n - p:] and any(slots[n - p:]):
+                    slots[n - 2 * p:] = [[s for x in slots[n - 2 * p:] for s in x]]      # the second of a new group
+                    keys[n - 2 * p:] = [("+", tuple(keys[n - p:]))]
                     again = True
                     break
-    return out
+    return list(zip(keys, slots))
 
 
 def align(a: list, b: list) -> list[tuple[int, int]]:
@@ -238,16 +241,34 @@ def choose(wrapper: list[dict], pages: int) -> tuple[int, list[bool]]:
     return max(top, 1), [top <= 1 and pages > 2 and w["same"] is not None and w["n"] == pages for w in wrapper]
 
 
-def main_text(items: list, texts: list[str], wrapper: list[dict], top: int, fixed: list[bool]) -> str:
-    """Read a page with its host's wrapper; a page that has nothing at the host's main level falls back on its own highest level."""
-    read = one_as_group(items, {w["k"] for w in wrapper if not isinstance(w["k"], str)})
-    levels = slot_levels(items, len(texts))
-    drop: set[int] = set()
-    for i, j in align([x[0] for x in read], [w["k"] for w in wrapper]):
-        if fixed[j]:
-            drop.update(read[i][1])
-    least = top if any(lv >= top for lv in levels) else max([1, *levels])
-    return " ".join(t for s, t in enumerate(texts) if levels[s] >= least and s not in drop)
+class Reader:
+    """Reads pages with their host's wrapper; what a wrapper says about a stream is worked out once."""
+
+    def __init__(self, wrapper: list[dict], pages: int):
+        self.keys = [w["k"] for w in wrapper]
+        self.groups = {k for k in self.keys if not isinstance(k, str)}
+        self.top, self.fixed = choose(wrapper, pages)
+        self.known: dict[tuple, list[bool]] = {}
+
+    def dropped(self, keys: tuple) -> list[bool]:
+        """Per item of a stream: does the wrapper call it the host's fixed text?"""
+        if keys not in self.known:
+            if len(self.known) > 1000:
+                self.known.clear()
+            read = one_as_group([(k, [i]) for i, k in enumerate(keys)], self.groups)
+            out = [False] * len(keys)
+            for i, j in align([x[0] for x in read], self.keys):
+                for item in read[i][1]:
+                    out[item] = self.fixed[j]
+            self.known[keys] = out
+        return self.known[keys]
+
+    def main_text(self, items: list, texts: list[str]) -> str:
+        """A page that has nothing at the host's main level falls back on its own highest level."""
+        levels = slot_levels(items, len(texts))
+        drop = {s for (_, slots), gone in zip(items, self.dropped(tuple(k for k, _ in items)), strict=True) if gone for s in slots}
+        least = self.top if any(lv >= self.top for lv in levels) else max([1, *levels])
+        return " ".join(t for s, t in enumerate(texts) if levels[s] >= least and s not in drop)
 
 
 def slot_levels(items: list, n: int) -> list[int]:
@@ -337,16 +358,15 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     kind = rows.schema["page_id"].dataType.simpleString()
 
     def run(batches):
-        read: dict[str, tuple] = {}
+        read: dict[str, Reader] = {}
         for b in batches:
             texts = []
             for page, wrapper, n in zip(*(b.column(c).to_pylist() for c in ("html", "wrapper", "pages")), strict=True):
                 if wrapper not in read:
                     if len(read) > 1000:
                         read.clear()
-                    w = [{**x, "k": freeze(x["k"])} for x in json.loads(wrapper or "[]")]
-                    read[wrapper] = w, *choose(w, n or 0)
-                texts.append(main_text(*read_page(page), *read[wrapper]))
+                    read[wrapper] = Reader([{**x, "k": freeze(x["k"])} for x in json.loads(wrapper or "[]")], n or 0)
+                texts.append(read[wrapper].main_text(*read_page(page)))
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"), b.column("host"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()),
                  b.column("pages")], ["page_id", "url", "host", "text", "n_chars", "wrapper_pages"])
