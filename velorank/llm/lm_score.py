@@ -118,13 +118,16 @@ def _ctx(code: np.ndarray) -> np.ndarray:
 
 @dataclass
 class ContextTree:
-    """An automaton; per context and byte one 64-bit entry: the byte's log10 probability as a float32,
-    and the row (256 times the number) of the next context.  Row 0 is the empty context."""
+    """An automaton; per context and byte column one 64-bit entry: the byte's log10 probability as a
+    float32, and where the next context's row begins.  Row 0 is the empty context."""
 
     table: np.ndarray
+    column: np.ndarray                 # of each byte
+    width: int
 
     def log10(self) -> np.ndarray:
-        return self.table.view(np.float32)[::2].reshape(-1, 256)
+        """By context and byte."""
+        return self.table.view(np.float32)[::2].reshape(-1, self.width)[:, self.column]
 
 
 def _predict(c: np.ndarray, parent: np.ndarray, base: list[int]) -> np.ndarray:
@@ -171,21 +174,37 @@ def build_tree(depth: np.ndarray, code: np.ndarray, n: np.ndarray) -> ContextTre
     parent = np.zeros(size, np.int64)      # the context without its oldest byte
     for d in range(1, DEPTH + 1):
         parent[base[d]:base[d + 1]] = base[d - 1] + np.searchsorted(ids[d - 1], ids[d] & ((1 << 8 * (d - 1)) - 1))
-    log10 = np.zeros((size, 256), np.float32)
+    # a column of the table for every byte seen in training, and one for each largest subtree of bytes
+    # that were not: below it all odds are even, so its bytes share their probability
+    column, byte_of = np.zeros(256, np.int64), []
+    for byte in range(256):
+        if not byte or counts[0, byte]:
+            fresh = True
+        else:
+            width = 1
+            while width < 256 and not counts[0, byte // (2 * width) * 2 * width:][:2 * width].any():
+                width *= 2
+            fresh = byte % width == 0
+        if fresh:
+            byte_of.append(byte)
+        column[byte] = len(byte_of) - 1
+    byte_of = np.array(byte_of)
+
+    log10 = np.zeros((size, len(byte_of)), np.float32)
     for bit in range(8):
         width = 256 >> bit                          # bytes below one node
         block = min(1 << bit, 8)                    # nodes don't depend on each other: a few at a time
         for first in range(0, 1 << bit, block):
             at = slice(first * width, (first + block) * width)
+            mine = np.flatnonzero((byte_of >= at.start) & (byte_of < at.stop))
             if not counts[0, at].any():             # never reached in training: even odds
-                log10[:, at] += math.log10(0.5)
+                log10[:, mine] += math.log10(0.5)
                 continue
-            c = counts[:, at].reshape(size, block, 2, -1).sum(3)
-            one = _predict(c, parent, base)
-            p = np.stack([1 - one, one], 2)         # by node and bit
-            log10[:, at] += np.repeat(np.log10(p).reshape(size, -1), width >> 1, axis=1).astype(np.float32)
+            one = _predict(counts[:, at].reshape(size, block, 2, -1).sum(3), parent, base)
+            node, high = byte_of[mine] // width - first, byte_of[mine] // (width // 2) % 2
+            log10[:, mine] += np.log10(np.where(high == 1, one[:, node], 1 - one[:, node])).astype(np.float32)
 
-    step = np.zeros((size, 256), np.int32)
+    step = np.zeros((size, len(byte_of)), np.int32)
     for d in range(DEPTH + 1):
         a, b = base[d], base[d + 1]
         step[a:b] = step[parent[a:b]] if d else 0
@@ -194,11 +213,11 @@ def build_tree(depth: np.ndarray, code: np.ndarray, n: np.ndarray) -> ContextTre
             older = longer >> 8
             j = np.searchsorted(ids[d], older)
             ok = (j < len(ids[d])) & (ids[d][np.minimum(j, len(ids[d]) - 1)] == older)
-            step[a + j[ok], longer[ok] & 255] = base[d + 1] + np.flatnonzero(ok)
-    table = np.empty((size * 256, 2), np.int32)
+            step[a + j[ok], column[longer[ok] & 255]] = base[d + 1] + np.flatnonzero(ok)
+    table = np.empty((step.size, 2), np.int32)
     table[:, 0] = log10.ravel().view(np.int32)
-    table[:, 1] = step.ravel() * 256
-    return ContextTree(table.view(np.int64).ravel())
+    table[:, 1] = step.ravel() * len(byte_of)
+    return ContextTree(table.view(np.int64).ravel(), column.astype(np.uint8), len(byte_of))
 
 
 def score_texts(tree: ContextTree, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -210,7 +229,7 @@ def score_texts(tree: ContextTree, data: np.ndarray, offsets: np.ndarray) -> np.
     stream = np.concatenate([np.full(DEPTH, END, np.uint8), buf, np.full(lanes * length - total, END, np.uint8)])
     # lane k reads positions k*length - DEPTH ..: the first DEPTH bytes only find its context
     view = np.lib.stride_tricks.as_strided(stream, (lanes, length + DEPTH), (length, 1))
-    columns = np.ascontiguousarray(view.T)
+    columns = tree.column[np.ascontiguousarray(view.T)]
     out = np.empty((length, lanes), np.float32)
     at_t, got = np.zeros(lanes, np.int64), np.empty((lanes, 2), np.int32)
     row = np.zeros(lanes, np.int32)

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 3 << 20
+CHUNK = 1 << 20
 U64 = np.uint64
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | U64(1)
@@ -134,15 +134,16 @@ class Counter:
 
     def add(self, codes: np.ndarray) -> None:
         if len(codes):
-            got = np.unique(codes, return_counts=True)
-            self.parts.append(got)
-            self.size += len(got[0])
+            seen, times = np.unique(codes, return_counts=True)
+            self.parts.append((seen, times.astype(np.int32)))     # a task reads less than 2**31 codes
+            self.size += len(seen)
             if self.size > self.limit:
                 self.merge()
 
     def merge(self) -> None:
         codes = np.concatenate([p[0] for p in self.parts])
         counts = np.concatenate([p[1] for p in self.parts])
+        self.parts = []
         order = np.argsort(codes, kind="stable")
         codes, counts = codes[order], counts[order]
         first = np.flatnonzero(np.concatenate([np.ones(1, bool), codes[1:] != codes[:-1]]))
