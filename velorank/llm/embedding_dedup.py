@@ -82,14 +82,14 @@ def _roots(mask: np.ndarray) -> np.ndarray:
         root = new
 
 
-def compare_pairs(batches, t: float):
+def compare_pairs(batches, t: float, kind: str):
     """Rows (node, links, root) from rows of two blocks."""
     for b in batches:
         out = {"node": [], "links": [], "root": []}
         for k in range(b.num_rows):
             row = {c: b.column(c)[k] for c in b.schema.names}
             d = row["dim"].as_py()
-            read = lambda c: _unit(np.frombuffer(row[c].as_buffer(), np.float64).reshape(-1, d))  # noqa: B023, E731
+            read = lambda c: _unit(np.frombuffer(row[c].as_buffer(), kind).reshape(-1, d))  # noqa: B023, E731
             ids = lambda c: row[c].values.to_numpy()  # noqa: B023, E731
             same = row["a"].as_py() == row["b"].as_py()
             x, nx, mx = read("data_a"), ids("node_a"), ids("copies_a")
@@ -121,6 +121,7 @@ def _blocks(reps: DataFrame, axes: dict[int, np.ndarray], eps: float, parts: int
     spark = reps.sparkSession
     shared = spark.sparkContext.broadcast(axes)
     cells = [f"c{i}" for i in range(AXES)]
+    stored = number_kind(reps)
 
     def place(batches):
         for b in batches:
@@ -145,7 +146,7 @@ def _blocks(reps: DataFrame, axes: dict[int, np.ndarray], eps: float, parts: int
                 j = i + 1
                 while j < b.num_rows and j - i < BLOCK and label[j] == label[i] and dim[j] == dim[i]:
                     j += 1
-                x = np.stack(b.column("vec").slice(i, j - i).to_numpy(zero_copy_only=False)).astype(np.float64)
+                x = np.stack(b.column("vec").slice(i, j - i).to_numpy(zero_copy_only=False)).astype(stored)
                 p = _project(_unit(x), shared.value)
                 out.append({"label": label[i], "dim": int(dim[i]), "node": b.column("node").slice(i, j - i).to_pylist(),
                             "copies": b.column("copies").slice(i, j - i).to_pylist(), "data": x.tobytes(),
@@ -165,6 +166,11 @@ def _blocks(reps: DataFrame, axes: dict[int, np.ndarray], eps: float, parts: int
         {"part": F.shiftright("_id", 33).cast("long"), "seq": F.col("_id").bitwiseAND((1 << 33) - 1)}).drop("_id")
 
 
+def number_kind(reps: DataFrame) -> str:
+    """Blocks keep the components' own width."""
+    return "f4" if reps.schema["vec"].dataType.elementType.typeName() == "float" else "f8"
+
+
 def b_type(reps: DataFrame) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
     return to_arrow_type(reps.schema["label"].dataType)
@@ -213,9 +219,10 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", vec: str = "embedding
     blocks = blocks.withColumn("gid", F.col("part") * width + F.col("seq"))
     boxes = blocks.select("label", "dim", "gid", *[f"{s}{k}" for s in ("lo", "hi") for k in range(AXES + 1)])
     pairs = materialize(_interval_pairs(boxes, depth, eps), "block-pairs")
+    kind = number_kind(reps)
     side = lambda k: blocks.select(F.col("gid").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("node", "copies", "data")])
     told = pairs.select("dim", "a", "b").join(side("a"), "a").join(side("b"), "b") \
-        .mapInArrow(lambda it: compare_pairs(it, threshold), "node long, links long, root long")
+        .mapInArrow(lambda it: compare_pairs(it, threshold, kind), "node long, links long, root long")
     told = materialize(told, "vector-links")
     links = told.groupBy("node").agg(F.sum("links").alias("links"))
     groups = connected(told.select("node", "root"), "node", "root")
