@@ -3,7 +3,7 @@
     ingest(pages)  -> band shards from captured search pages, problems set aside
     merge(shards)  -> raw entity table (first record per name wins)
     build(raw)     -> dataset table partitioned by split + feature schema
-    train(dataset) -> appended trial records (k-fold CV score per config)
+    train(dataset) -> trial records, the newest per config (k-fold CV score per config)
     select(...)    -> results, winner model, metadata
     predict(...)   -> quarantined rows + ranked predictions (+ report)
 
@@ -84,7 +84,7 @@ def build(spark: SparkSession, base: str, as_of: str, raw: DataFrame | None = No
 
 def train(spark: SparkSession, base: str, models: Sequence[str] | None = None, max_jobs: int = 0,
           k: int = 5, seed: int = 0, parallelism: int = 4) -> DataFrame:
-    """k-fold CV of the (optionally strided) grid; trials are appended."""
+    """k-fold CV of the (optionally strided) grid; trials replace those of the same config."""
     p = _paths(base)
     meta = read_feature_schema(spark, p["schema"])
     train_rows = assign_folds(read_dataset(spark, p["dataset"], "train"), "full_name", seed, k)
