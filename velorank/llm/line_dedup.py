@@ -131,7 +131,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """``docs`` with the text without later copies, ``n_lines``, ``deleted_lines`` (numbers from 0) and ``n_deleted``."""
     gone = materialize(deleted_lines(docs, doc_id, text), "deleted-lines")
     rows = docs.drop("n_lines", "deleted_lines", "n_deleted").withColumns(_keys(doc_id, text))
-    joined = rows.join(gone, DOC, "left")
+    # texts are dealt out at every size; the hash side is the line numbers
+    joined = rows.join(gone.hint("shuffle_hash"), DOC, "left")
     parts = F.split(F.col(text), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("deleted"))
     # F.transform over the places left keeps the order and is linear in the lines
