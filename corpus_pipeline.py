@@ -35,13 +35,13 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = minhash_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(materialize(kept, "kept-documents"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return docs.join(materialize(kept, "kept-documents").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     levels = {"domain": mixing.source_domain(F.col("source")), "lang": F.col("lang"), "source": F.col("source")}
     picked = mixing.mix_sources(docs, levels, epochs=1, budget=MIX_BUDGET).select(F.col("doc_id").alias("_picked")).distinct()
-    return docs.join(materialize(picked, "picked-documents"), F.col("doc_id").eqNullSafe(F.col("_picked")), "left_semi")
+    return docs.join(materialize(picked, "picked-documents").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_picked")), "left_semi")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
