@@ -31,7 +31,7 @@ def test_pipeline(spark, tmp_path):
     gone = brute_lines(left, line_dedup.MIN_WORDS)
     lined = [(d, "\n".join(s for k, s in enumerate(t.split("\n")) if k not in gone[d])) for d, t in left]
     lined = [(d, t) for d, t in lined if words(t)]
-    groups = classes({d: shingle_set(t) for d, t in lined})
+    groups = classes({d: shingle_set(t, 5) for d, t in lined})
     kept = {d: len(words(t)) for d, t in lined if groups[d] == d}
     packed = {}
     for r in got:

@@ -97,9 +97,9 @@ def test_line_dedup_against_brute_force(spark):
 
 
 # ---- MinHash ----
-def shingle_set(t):
+def shingle_set(t, size=2):
     w = words(t)
-    return frozenset(zip(w, w[1:])) if len(w) > 1 else frozenset([(w[0],)] if w else [])
+    return frozenset(tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset()
 
 
 def classes(sets):
@@ -135,11 +135,12 @@ def copies():
     return list(enumerate([*out, "", None, "one", "ONE", "one two", " "]))
 
 
-def test_minhash_against_brute_force(spark, copies):
-    sets = {d: shingle_set(t) for d, t in copies}
+@pytest.mark.parametrize("size", [2, 5])
+def test_minhash_against_brute_force(spark, copies, size):
+    sets = {d: shingle_set(t, size) for d, t in copies}
     want = classes(sets)
     df = spark.createDataFrame(copies, "doc_id long, text string").repartition(3)
-    got = {r["doc_id"]: r for r in minhash_dedup.near_duplicates(df).collect()}
+    got = {r["doc_id"]: r for r in minhash_dedup.near_duplicates(df, size=size).collect()}
     assert len(got) == len(copies) and len(set(want.values())) < len(want)
     for d, _ in copies:
         assert (got[d]["n_shingles"], got[d]["component_id"], got[d]["kept"]) == (len(sets[d]), want[d], want[d] == d), d
@@ -150,7 +151,7 @@ def test_minhash_large_nodes_and_clusters(spark, copies, monkeypatch):
     for name, value in (("SMALL", 2), ("DEEPEST", 3), ("BLOCK_DOCS", 2)):
         monkeypatch.setattr(minhash_dedup, name, value)
     want = classes({d: shingle_set(t) for d, t in copies})
-    got = {r["doc_id"]: r["component_id"] for r in minhash_dedup.near_duplicates(spark.createDataFrame(copies, "doc_id long, text string")).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in minhash_dedup.near_duplicates(spark.createDataFrame(copies, "doc_id long, text string"), size=2).collect()}
     assert got == want
 
 

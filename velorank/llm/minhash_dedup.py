@@ -1,12 +1,13 @@
 """MinHash near-duplicates by a chosen-path set similarity join.
 
-A document's set is its distinct two-word shingles (64-bit codes); its sketch is one byte of each of
+A document's set is its distinct word shingles (64-bit codes); its sketch is one byte of each of
 64 minwise hashes.  Documents with equal sets are one node.  Each of ``TREES`` independent trees
 starts with all nodes and branches: a tree node chooses one or two sketch positions from its own
 path, and a document goes to the child named by its bytes there.  Tree nodes with at most ``SMALL``
-documents are compared exhaustively by sketch.  In a larger one every document is compared with the
-node's pivot; if all agree the node is done, else it branches on.  Nodes that are still large and
-mixed after ``DEEPEST`` levels are compared in blocks of documents, all blocks with all.
+documents are compared exhaustively by sketch.  In a larger one every document is compared with up to
+``PIVOTS`` of them; if these connect all its documents the node is done, else it branches on.  Nodes
+that are still large and mixed after ``DEEPEST`` levels are compared in blocks of documents, all
+blocks with all.
 
 Sketches that agree give candidate clusters (connected components); within each, links are confirmed
 on the full sets, most alike pairs first, skipping pairs that are already connected.  Large clusters
@@ -26,12 +27,14 @@ from velorank.llm import textcodes as X
 from velorank.llm.components import connected
 from velorank.session import materialize
 
+SHINGLE = 5                        # words, unless the caller says otherwise
 NUM, DEN = 80, 100                 # link when DEN * |both| >= NUM * |either|
 POSITIONS = 64                     # bytes of a sketch
 AGREE = 38                         # of 64 positions make a candidate: 4 standard deviations under a similarity of 0.8
 TREES = 12                         # 99.9 % of pairs at 0.8 share a small tree node; more above
 SECOND = 0.25                      # chance of a second chosen position: 1.25 = 1 / 0.8 children on average
-SMALL = 128
+SMALL = 1024
+PIVOTS = 8                         # of a larger tree node
 DEEPEST = 12
 BLOCK_DOCS, BLOCK_BYTES = 500, 16 << 20
 BROADCAST_IDS = 2_000_000          # 16 MB of ids
@@ -40,24 +43,27 @@ _MUL = _RNG.integers(0, 1 << 32, POSITIONS, dtype=np.uint32) | np.uint32(1)
 _ADD = _RNG.integers(0, 1 << 32, POSITIONS, dtype=np.uint32)
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the two-word shingles of each text and where they start; a single word is one shingle."""
+def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the ``size``-word shingles of each text and where they start; a shorter text's words are one shingle."""
     words, at = X.word_codes(data, offsets)
-    if not len(words):
-        return words, at
     n = np.diff(at)
-    codes = np.empty(len(words), np.uint64)
-    codes[:-1] = X.mix(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + (words[1:] ^ (words[1:] >> np.uint64(29))))
-    last = at[1:][n > 0] - 1
-    codes[last] = X.mix(words[last] ^ np.uint64(0xD6E8FEB86659FD93))
-    keep = np.ones(len(words), bool)
-    keep[at[1:][n > 1] - 1] = False
-    return codes[keep], np.concatenate([[0], np.cumsum(np.where(n > 1, n - 1, n))])
-
-
-def sets_of(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    codes, at = shingles(data, offsets)
-    return [np.unique(codes[at[i]:at[i + 1]]) for i in range(len(offsets) - 1)]
+    counts = np.where(n >= size, n - size + 1, np.minimum(n, 1))
+    starts = np.concatenate([[0], np.cumsum(counts)])
+    out = np.empty(starts[-1], np.uint64)
+    step = np.uint64(0x9E3779B97F4A7C15)
+    if len(words) >= size:
+        codes = words[:len(words) - size + 1].copy()
+        for k in range(1, size):
+            codes = X.mix(codes * step + words[k:len(words) - size + 1 + k])
+        doc = np.repeat(np.arange(len(n)), n)
+        whole = np.flatnonzero(doc[:len(codes)] == doc[size - 1:])
+        out[starts[doc[whole]] + whole - at[doc[whole]]] = codes[whole]
+    for d in np.flatnonzero((n > 0) & (n < size)).tolist():
+        code = words[at[d]:at[d] + 1]
+        for w in words[at[d] + 1:at[d + 1]]:
+            code = X.mix(code * step + w)
+        out[starts[d]] = X.mix(code ^ np.uint64(n[d]))[0]
+    return out, starts
 
 
 def sketches(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -84,19 +90,19 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return data.reshape(-1, POSITIONS)
 
 
-def describe(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def describe(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     """doc_id, n_shingles, k1, k2 (a set's signature) and sketch per document."""
 
     def run(batches):
         for b in batches:
             for i, j, data, offsets in X.chunks(b.column("text")):
-                codes, at = shingles(data, offsets)
-                size, k1, k2 = (np.zeros(j - i, np.uint64) for _ in range(3))
+                codes, at = shingles(data, offsets, size)
+                found, k1, k2 = (np.zeros(j - i, np.uint64) for _ in range(3))
                 for d in range(j - i):
                     own = np.unique(codes[at[d]:at[d + 1]])
-                    size[d], k1[d], k2[d] = len(own), own.sum(), np.bitwise_xor.reduce(X.mix(own), initial=np.uint64(0))
+                    found[d], k1[d], k2[d] = len(own), own.sum(), np.bitwise_xor.reduce(X.mix(own), initial=np.uint64(0))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(i, j - i), *[pa.array(x.view(np.int64)) for x in (size, k1, k2)], _fixed(sketches(codes, at))],
+                    [b.column("doc_id").slice(i, j - i), *[pa.array(x.view(np.int64)) for x in (found, k1, k2)], _fixed(sketches(codes, at))],
                     ["doc_id", "n_shingles", "k1", "k2", "sketch"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -192,12 +198,45 @@ def _compare_sorted(path, node, sketch) -> pa.RecordBatch | None:
     return _links(node, a, b)
 
 
-def compare_pivot(batches):
-    """Each row against its tree node's pivot."""
+def compare_pivots(batches):
+    """Each row against its tree node's pivots: bit i of ``mask`` says that it agrees with the i-th."""
     for b in batches:
-        agree = np.count_nonzero(_matrix(b.column("sketch")) == _matrix(b.column("pivot_sketch")), axis=1) >= AGREE
-        yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("path", "node", "sketch", "pivot")], pa.array(agree)],
-                                         ["path", "node", "sketch", "pivot", "linked"])
+        sketch, pivots = _matrix(b.column("sketch")), b.column("pivot_sketches")
+        n = np.diff(pivots.offsets.to_numpy())
+        first = pivots.offsets.to_numpy()[:-1]
+        known = _matrix(pivots.values)
+        mask = np.zeros(len(sketch), np.int32)
+        for i in range(PIVOTS):
+            rows = np.flatnonzero(n > i)
+            agree = np.count_nonzero(sketch[rows] == known[first[rows] + i], axis=1) >= AGREE
+            mask[rows] |= agree.astype(np.int32) << i
+        yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("path", "node", "sketch", "pivots")], pa.array(mask)],
+                                         ["path", "node", "sketch", "pivots", "mask"])
+
+
+def join_pivots(batches):
+    """Per tree node: pivots that rows connect (as links to the smallest), and whether every row is
+    connected to all others through them."""
+    for b in batches:
+        out = {"path": [], "pure": [], "a": [], "b": []}
+        for path, pivots, masks in zip(*(b.column(c).to_pylist() for c in ("path", "pivots", "masks")), strict=True):
+            groups: list[int] = []
+            for m in masks:
+                if m:
+                    for g in [g for g in groups if g & m]:
+                        groups.remove(g)
+                        m |= g
+                    groups.append(m)
+            links = [(pivots[i], pivots[_low(g)]) for g in groups for i in range(len(pivots)) if g >> i & 1 and i != _low(g)]
+            out["path"].append(path)
+            out["pure"].append(0 not in masks and len(groups) == 1)
+            out["a"].append([x for x, _ in links])
+            out["b"].append([y for _, y in links])
+        yield pa.RecordBatch.from_pydict(out, pa.schema([("path", pa.int64()), ("pure", pa.bool_()), ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))]))
+
+
+def _low(mask: int) -> int:
+    return (mask & -mask).bit_length() - 1
 
 
 def compare_blocks(batches):
@@ -228,12 +267,19 @@ def candidates(reps: DataFrame) -> DataFrame:
         if not counts.where(F.col("n") > SMALL).limit(1).count():
             break
         large = materialize(sized.where(F.col("n") > SMALL).drop("n"), "large-paths")
-        pivots = materialize(large.groupBy("path").agg(F.min(F.struct("node", "sketch")).alias("p"))
-                             .select("path", F.col("p.node").alias("pivot"), F.col("p.sketch").alias("pivot_sketch")), "pivots")
-        told = materialize(large.join(pivots, "path").mapInArrow(compare_pivot, ENTRY + ", pivot long, linked boolean"), "pivot-links")
-        found.append(told.where("linked and node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-        mixed = materialize(told.groupBy("path").agg(F.min("linked").alias("pure")).where("not pure").select("path"), "mixed-paths")
+        one = large.groupBy("path", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("_i")).agg(F.min(F.struct("node", "sketch")).alias("p"))
+        pivots = materialize(one.groupBy("path").agg(F.array_sort(F.collect_list("p")).alias("p"))   # at most PIVOTS
+                             .select("path", F.col("p.node").alias("pivots"), F.col("p.sketch").alias("pivot_sketches")), "pivots")
+        told = materialize(large.join(pivots, "path").mapInArrow(compare_pivots, ENTRY + ", pivots array<long>, mask int"), "pivot-links")
+        first = F.get("pivots", F.length(F.bin(F.col("mask").bitwiseAND(-F.col("mask")))) - 1)
+        found.append(told.where("mask <> 0").select(F.col("node").alias("a"), first.alias("b")).where("a <> b"))
+        joined = told.groupBy("path").agg(F.first("pivots").alias("pivots"), F.collect_set("mask").alias("masks"))   # at most 2**PIVOTS
+        joined = materialize(joined.mapInArrow(join_pivots, "path long, pure boolean, a array<long>, b array<long>"), "joined-pivots")
+        found.append(joined.select(F.inline(F.arrays_zip("a", "b"))))
+        mixed = joined.where("not pure").select("path")
         rest = told.select("path", "node", "sketch").join(mixed, "path")
+        if joined.where("not pure").limit(1).count() == 0:
+            break
         if depth < DEEPEST:
             level = materialize(rest.mapInArrow(branch, ENTRY), "paths")
         else:
@@ -330,7 +376,7 @@ def _confirm_blocks(batches):
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], ["a", "b"])
 
 
-def _member_sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _member_sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     """(cluster, node, sketch, codes) of the candidate clusters' nodes, from the text of one document each."""
     rows = docs.select(F.col(doc_id).alias("first_id"), F.col(text).alias("text"))
     ids = members.select("node", "cluster", "first_id", "n_shingles", "k1", "k2")
@@ -340,13 +386,13 @@ def _member_sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str) ->
     def run(batches):
         for b in batches:
             for i, j, data, offsets in X.chunks(b.column("text")):
-                codes, at = shingles(data, offsets)
+                codes, at = shingles(data, offsets, size)
                 own = [np.unique(codes[at[d]:at[d + 1]]) for d in range(j - i)]
-                size = np.array([len(x) for x in own])
+                found = np.array([len(x) for x in own])
                 k1 = np.array([x.sum() for x in own], np.uint64).view(np.int64)
                 k2 = np.array([np.bitwise_xor.reduce(X.mix(x), initial=np.uint64(0)) for x in own], np.uint64).view(np.int64)
                 part = lambda c: b.column(c).slice(i, j - i)  # noqa: B023, E731
-                same = (size == part("n_shingles").to_numpy()) & (k1 == part("k1").to_numpy()) & (k2 == part("k2").to_numpy())
+                same = (found == part("n_shingles").to_numpy()) & (k1 == part("k1").to_numpy()) & (k2 == part("k2").to_numpy())
                 at_ = np.flatnonzero(same)
                 if len(at_):
                     yield pa.RecordBatch.from_arrays(
@@ -357,10 +403,10 @@ def _member_sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str) ->
     return materialize(told, "cluster-sets")
 
 
-def confirmed_links(docs: DataFrame, reps: DataFrame, clusters: DataFrame, doc_id: str, text: str) -> DataFrame:
+def confirmed_links(docs: DataFrame, reps: DataFrame, clusters: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     """(a, b): confirmed links that connect what all links in the candidate clusters connect."""
     members = materialize(clusters.withColumnRenamed("component", "cluster").join(reps.drop("sketch"), "node"), "cluster-members")
-    sets = _member_sets(docs, members, doc_id, text)
+    sets = _member_sets(docs, members, doc_id, text, size)
     sizes = materialize(sets.groupBy("cluster").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.length("codes")).alias("bytes"), F.min("node").alias("pivot"))
                         .withColumn("many", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("long")), "cluster-sizes")
     sized = sets.join(sizes, "cluster")
@@ -384,13 +430,13 @@ def confirmed_links(docs: DataFrame, reps: DataFrame, clusters: DataFrame, doc_i
         materialize(across, "cluster-block-links"))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
-    sets = materialize(describe(docs, doc_id, text), "document-sets")
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept; sets are of ``size``-word shingles."""
+    sets = materialize(describe(docs, doc_id, text, size), "document-sets")
     reps = materialize(sets.where("n_shingles > 0").groupBy("n_shingles", "k1", "k2").agg(
         F.min("doc_id").alias("first_id"), F.min("sketch").alias("sketch")).withColumn("node", F.monotonically_increasing_id()), "distinct-sets")
     clusters = connected(candidates(reps), "a", "b")
-    links = confirmed_links(docs, reps, clusters, doc_id, text)
+    links = confirmed_links(docs, reps, clusters, doc_id, text, size)
     named = reps.select("n_shingles", "k1", "k2", "first_id", "node").join(connected(links, "a", "b"), "node", "left") \
         .withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))

@@ -53,7 +53,7 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from velorank.llm.minhash_dedup import near_duplicates
-    return near_duplicates(read_table(spark, sf_dir, "documents"))
+    return near_duplicates(read_table(spark, sf_dir, "documents"), size=2)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
