@@ -5,7 +5,8 @@ A document's set is its distinct word shingles (64-bit codes); its sketch is one
 starts with all nodes and branches: a tree node chooses one or two sketch positions from its own
 path, and a document goes to the child named by its bytes there.  Tree nodes with at most ``SMALL``
 documents are compared exhaustively by sketch.  In a larger one every document is compared with up to
-``PIVOTS`` of them; if these connect all its documents the node is done, else it branches on.  Nodes
+``PIVOTS`` of them; if these connect all its documents the node is done.  If they connect all but at
+most ``SMALL`` loose ones, these are compared with the whole node and it is done too; else it branches.  Nodes
 that are still large and mixed after ``DEEPEST`` levels are compared in blocks of documents, all
 blocks with all.
 
@@ -215,11 +216,11 @@ def compare_pivots(batches):
 
 
 def join_pivots(batches):
-    """Per tree node: pivots that rows connect (as links to the smallest), and whether every row is
-    connected to all others through them."""
+    """Per tree node: pivots that rows connect (as links to the smallest); is every row connected to all
+    others through them (``pure``), or all but a few loose rows (``few``)?"""
     for b in batches:
-        out = {"path": [], "pure": [], "a": [], "b": []}
-        for path, pivots, masks in zip(*(b.column(c).to_pylist() for c in ("path", "pivots", "masks")), strict=True):
+        out = {"path": [], "pure": [], "few": [], "a": [], "b": []}
+        for path, pivots, masks, loose in zip(*(b.column(c).to_pylist() for c in ("path", "pivots", "masks", "loose")), strict=True):
             groups: list[int] = []
             for m in masks:
                 if m:
@@ -229,10 +230,32 @@ def join_pivots(batches):
                     groups.append(m)
             links = [(pivots[i], pivots[_low(g)]) for g in groups for i in range(len(pivots)) if g >> i & 1 and i != _low(g)]
             out["path"].append(path)
-            out["pure"].append(0 not in masks and len(groups) == 1)
+            out["pure"].append(not loose and len(groups) == 1)
+            out["few"].append(0 < loose <= SMALL and len(groups) == 1)
             out["a"].append([x for x, _ in links])
             out["b"].append([y for _, y in links])
-        yield pa.RecordBatch.from_pydict(out, pa.schema([("path", pa.int64()), ("pure", pa.bool_()), ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))]))
+        yield pa.RecordBatch.from_pydict(out, pa.schema([("path", pa.int64()), ("pure", pa.bool_()), ("few", pa.bool_()), ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))]))
+
+
+def compare_loose(batches):
+    """Each row against the loose rows of its tree node; a batch gives every loose row one link to the
+    others it agrees with, as those are connected, and all its links to other loose rows."""
+    for b in batches:
+        path, node, sketch = b.column("path").to_numpy(), b.column("node").to_numpy(), _matrix(b.column("sketch"))
+        bound = b.column("mask").to_numpy() != 0
+        own, known = b.column("loose_nodes"), _matrix(b.column("loose_sketches").values)
+        ids, at = own.values.to_numpy(), own.offsets.to_numpy()
+        a, c = [], []
+        for p in np.unique(path):
+            rows = np.flatnonzero(path == p)
+            span = slice(at[rows[0]], at[rows[0] + 1])
+            for r, s in zip(ids[span], known[span], strict=True):
+                hit = rows[np.count_nonzero(sketch[rows] == s, axis=1) >= AGREE]
+                hit = np.concatenate([hit[bound[hit]][:1], hit[~bound[hit]]])
+                a.append(np.full(len(hit), r))
+                c.append(node[hit])
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(c))], ["a", "b"])
 
 
 def _low(mask: int) -> int:
@@ -273,12 +296,17 @@ def candidates(reps: DataFrame) -> DataFrame:
         told = materialize(large.join(pivots, "path").mapInArrow(compare_pivots, ENTRY + ", pivots array<long>, mask int"), "pivot-links")
         first = F.get("pivots", F.length(F.bin(F.col("mask").bitwiseAND(-F.col("mask")))) - 1)
         found.append(told.where("mask <> 0").select(F.col("node").alias("a"), first.alias("b")).where("a <> b"))
-        joined = told.groupBy("path").agg(F.first("pivots").alias("pivots"), F.collect_set("mask").alias("masks"))   # at most 2**PIVOTS
-        joined = materialize(joined.mapInArrow(join_pivots, "path long, pure boolean, a array<long>, b array<long>"), "joined-pivots")
+        joined = told.groupBy("path").agg(F.first("pivots").alias("pivots"), F.collect_set(F.nullif("mask", F.lit(0))).alias("masks"),   # at most 2**PIVOTS
+                                            F.count_if(F.col("mask") == 0).alias("loose"))
+        joined = materialize(joined.mapInArrow(join_pivots, "path long, pure boolean, few boolean, a array<long>, b array<long>"), "joined-pivots")
         found.append(joined.select(F.inline(F.arrays_zip("a", "b"))))
-        mixed = joined.where("not pure").select("path")
+        few = joined.where("few").select("path")
+        loose = told.where("mask = 0").join(few, "path").groupBy("path").agg(F.collect_list(F.struct("node", "sketch")).alias("l"))   # at most SMALL
+        loose = materialize(loose.select("path", F.col("l.node").alias("loose_nodes"), F.col("l.sketch").alias("loose_sketches")), "loose-rows")
+        found.append(materialize(told.select("path", "node", "sketch", "mask").join(loose, "path").mapInArrow(compare_loose, LINK).where("a <> b").distinct(), "loose-links"))
+        mixed = joined.where("not pure and not few").select("path")
         rest = told.select("path", "node", "sketch").join(mixed, "path")
-        if joined.where("not pure").limit(1).count() == 0:
+        if mixed.limit(1).count() == 0:
             break
         if depth < DEEPEST:
             level = materialize(rest.mapInArrow(branch, ENTRY), "paths")
