@@ -265,6 +265,25 @@ def test_lm_scores(spark, documents, monkeypatch):
     assert lm_score.score_documents(docs, docs.limit(0)).count() == len(data)
 
 
+@pytest.mark.parametrize("table", [1 << 21, 300, 0])
+def test_lm_keeps_every_context(spark, monkeypatch, table):
+    """More positions than 2^16, so a context of one occurrence is below every share; looked-up and joined grams."""
+    monkeypatch.setattr(lm_score, "TABLE", table, raising=False)
+    rng = random.Random(7)
+    vocabulary = ["".join(rng.choice("abcdet") for _ in range(rng.randint(2, 5))) for _ in range(60)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(250)) for _ in range(90)] + ["a singular quirk", None, ""]
+    train = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked = [texts[0], "a singular quirk", "singular quiz", "ZZZ ünseen", None, "", "abc quirk " * 50, "abc quirk " * 50]
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lm_score.score_documents(docs, train).collect()}
+    monkeypatch.setattr(lm_score, "MIN_SHARE", 0)
+    total, *counts = lm_score.tree_counts(lm_score.count_corpus(train))
+    assert total > 1 << 16
+    tree = lm_score.build_tree(*counts)
+    want = np.concatenate([lm_score.score_texts(tree, data, offsets) for _, _, data, offsets in textcodes.chunks(pa.array(asked))])
+    assert np.allclose([got[i] for i in range(len(asked))], want, rtol=1e-5)
+
+
 # ---- HTML ----
 def test_article_text_of_all_pages(spark):
     pages = spark.read.parquet(f"{SMOKE}/pages.parquet")

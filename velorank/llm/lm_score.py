@@ -5,11 +5,14 @@ keeps Krichevsky-Trofimov counts in every context of 0 to ``DEPTH`` preceding by
 tree weighting mixes all depths: Pw(s) = 1/2 Pe(s) + 1/2 Pw(children).  Texts are A-Z lower-cased
 and end in one end symbol (0xFF, never a byte of UTF-8), which also pads the contexts.
 
-Training counts all (DEPTH + 1)-grams of all training texts in Spark; every context with at least
-``MIN_SHARE`` of the positions is a tree node (so at most 1/MIN_SHARE per depth, whatever the
-corpus), and what follows its rarer extensions is merged into one "rest" child.  The driver turns
-those bounded counts into one table: log-probabilities and next contexts by context and byte.
-Scoring walks that table as an automaton, a few thousand stretches of text at a time.
+Every context seen in training is in the tree, however rare: the tree is a written table of
+(DEPTH + 1)-grams, weighted in tasks.  A context's subtree hangs on its last ``TOP`` bytes, so tasks
+weight whole subtrees bottom-up; the driver joins their roots (at most 2^24 of them) to the top of
+the tree, and a second pass gives each distinct gram of the scored texts its log-probability.
+Texts look up the ``TABLE`` most frequent grams and are joined to the others.
+
+``tree_counts``, ``build_tree`` and ``score_texts`` are the same model in one process, with contexts
+below ``MIN_SHARE`` merged; scoring does not use them, tests compare with them.
 
 The unigram base needs every word's count: words with at least ``COMMON_SHARE`` of the tokens are
 looked up from a bounded table, the others are joined by their 64-bit code.
@@ -32,7 +35,10 @@ from velorank.llm.common import remainder
 from velorank.session import materialize
 
 DEPTH = 6                          # at most 7: a context and a byte are one 64-bit code
-MIN_SHARE = 2.0 ** -16
+TOP = 2                            # last context bytes that keep a subtree together
+TABLE = 1 << 21                    # grams that every task holds
+GROUP = 1 << 16                    # grams weighted together, unless one subtree has more
+MIN_SHARE = 2.0 ** -16             # of tree_counts only
 COMMON_SHARE = 2.0 ** -20
 END = 0xFF
 GRAMS, WORDS = 0, 1
@@ -56,11 +62,9 @@ def _gram_codes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return code[real[DEPTH:]]
 
 
-def count_corpus(train: DataFrame, text: str = "text") -> DataFrame:
-    """(kind, code, n): counts of all byte grams and all words of the training texts, written."""
-
+def _counted(rows: DataFrame, text: str, kinds: tuple[int, ...]) -> DataFrame:
     def run(batches):
-        counters = {GRAMS: X.Counter(), WORDS: X.Counter()}
+        counters = {k: X.Counter() for k in kinds}
 
         def out(kind, got):
             return pa.RecordBatch.from_arrays(
@@ -69,17 +73,130 @@ def count_corpus(train: DataFrame, text: str = "text") -> DataFrame:
 
         for b in batches:
             for _, _, data, offsets in X.chunks(b.column(0)):
-                counters[GRAMS].add(_gram_codes(data, offsets))
-                counters[WORDS].add(X.word_codes(data, offsets)[0])
                 for kind, c in counters.items():
+                    c.add(_gram_codes(data, offsets) if kind == GRAMS else X.word_codes(data, offsets)[0])
                     if c.full() and (got := c.drain()):
                         yield out(kind, got)
         for kind, c in counters.items():
             if got := c.drain():
                 yield out(kind, got)
 
-    return materialize(train.select(text).mapInArrow(run, "kind int, code long, n long")
-                       .groupBy("kind", "code").agg(F.sum("n").alias("n")), "lm-counts")
+    return rows.select(text).mapInArrow(run, "kind int, code long, n long").groupBy("kind", "code").agg(F.sum("n").alias("n"))
+
+
+def count_corpus(train: DataFrame, text: str = "text") -> DataFrame:
+    """(kind, code, n): counts of all byte grams and all words of the training texts, written."""
+    return materialize(_counted(train, text, (GRAMS, WORDS)), "lm-counts")
+
+
+@dataclass
+class Level:
+    """One depth of one binary node: its contexts (context << 8 | leading bits of the next byte),
+    counts, weight, chance of a 1 and the weight of ending here."""
+
+    keys: np.ndarray
+    zeros: np.ndarray
+    ones: np.ndarray
+    log_w: np.ndarray
+    kt: np.ndarray
+    stop: np.ndarray
+
+
+def _level(d: int, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, log_w: np.ndarray | None) -> Level:
+    """The entries of depth d from its grams (log_w None) or from those of depth d + 1."""
+    keys, up = np.unique(key, return_inverse=True)
+    zeros, ones = (np.bincount(up, c, len(keys)).astype(np.float64) for c in (zeros, ones))   # whole if empty
+    log_e = _log_kt_counts(zeros, ones)
+    if log_w is None:
+        weight, stop = log_e, np.ones(len(keys))
+    else:
+        weight = np.logaddexp(log_e, np.bincount(up, log_w, len(keys))) - math.log(2)
+        stop = np.exp(np.minimum(log_e - math.log(2) - weight, 0))
+    return Level(keys, zeros, ones, weight, (ones + 0.5) / (zeros + ones + 1), stop)
+
+
+def _key(code: np.ndarray, d: int, prefix: np.ndarray) -> np.ndarray:
+    return ((code >> 8) & ((1 << 8 * d) - 1)) << 8 | prefix
+
+
+def _shallower(level: Level, d: int) -> Level:
+    return _level(d, _key(level.keys, d, level.keys & 255), level.zeros, level.ones, level.log_w)
+
+
+def _subtree(code: np.ndarray, n: np.ndarray, bit: int) -> dict[int, Level]:
+    """The levels DEPTH to TOP of whole subtrees at one of the byte's eight decisions."""
+    one = (code >> (7 - bit)) & 1
+    levels = {DEPTH: _level(DEPTH, _key(code, DEPTH, (code & 255) >> (8 - bit)), n * (1 - one), n * one, None)}
+    for d in range(DEPTH - 1, TOP - 1, -1):
+        levels[d] = _shallower(levels[d + 1], d)
+    return levels
+
+
+def _log10_of(code: np.ndarray, levels: list[dict[int, Level]]) -> np.ndarray:
+    """log10 probability of each gram's last byte after its context.
+
+    A context that training never reached at a decision has even odds, and so has all below it."""
+    out = np.zeros(len(code))
+    for bit in range(8):
+        one = np.full(len(code), 0.5)
+        for d in range(DEPTH, -1, -1):
+            level = levels[bit].get(d)
+            if level is None or not len(level.keys):
+                continue
+            key = _key(code, d, (code & 255) >> (8 - bit))
+            at = np.minimum(np.searchsorted(level.keys, key), len(level.keys) - 1)
+            stop = level.stop[at]
+            one = np.where(level.keys[at] == key, stop * level.kt[at] + (1 - stop) * one, 0.5)
+        out += np.log10(np.where((code >> (7 - bit)) & 1, one, 1 - one))
+    return out
+
+
+def gram_logs(trained: DataFrame, asked: DataFrame) -> DataFrame:
+    """(code, n, log10) of every gram of ``asked`` (code, n) under the tree of all grams of ``trained`` (code, n), written."""
+    groups = max(64, trained.count() // GROUP)
+    group = F.pmod(F.xxhash64(F.shiftrightunsigned("code", 8).bitwiseAND((1 << 8 * TOP) - 1)), F.lit(groups)).alias("group")
+
+    def roots(table: pa.Table) -> pa.Table:
+        code, n = table.column("code").to_numpy(), table.column("n").to_numpy().astype(np.float64)
+        parts = [_subtree(code, n, bit)[TOP] for bit in range(8)]
+        return pa.table({"bit": pa.array(np.repeat(np.arange(8, dtype=np.int32), [len(p.keys) for p in parts])),
+                         **{k: pa.array(np.concatenate([getattr(p, k) for p in parts])) for k in ("keys", "zeros", "ones", "log_w")}})
+
+    told = trained.select(group, "code", "n").groupBy("group") \
+        .applyInArrow(roots, "bit int, keys long, zeros double, ones double, log_w double").toArrow()   # at most 2^24 rows a bit
+    cols = [told.column(k).to_numpy() for k in ("bit", "keys", "zeros", "ones", "log_w")]
+    top: list[dict[int, Level]] = []
+    for bit in range(8):
+        keys, zeros, ones, log_w = (c[cols[0] == bit] for c in cols[1:])
+        root = Level(keys, zeros, ones, log_w, ones, ones)
+        levels: dict[int, Level] = {}
+        for d in range(TOP - 1, -1, -1):
+            root = levels[d] = _shallower(root, d)
+        top.append(levels)
+    shared = trained.sparkSession.sparkContext.broadcast(top)
+
+    def logs(table: pa.Table) -> pa.Table:
+        code, n, m = (table.column(k).to_numpy() for k in ("code", "n", "m"))
+        seen, want = n > 0, m > 0
+        levels = [{**_subtree(code[seen], n[seen].astype(np.float64), bit), **shared.value[bit]} for bit in range(8)]
+        return pa.table({"code": pa.array(code[want]), "n": pa.array(m[want]), "log10": pa.array(_log10_of(code[want], levels))})
+
+    both = trained.select(group, "code", "n", F.lit(0).cast("long").alias("m")).unionByName(
+        asked.select(group, "code", F.lit(0).cast("long").alias("n"), F.col("n").alias("m")))
+    return materialize(both.groupBy("group").applyInArrow(logs, "code long, n long, log10 double"), "lm-gram-logs")
+
+
+def _frequent(logs: DataFrame) -> pa.Table:
+    """The most frequent grams, at most ``TABLE``: eighths of an octave of the count, from above, while they fit."""
+    step = F.floor(F.log2("n") * 8)
+    sizes = logs.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.col("step").desc()).collect()
+    least, room = None, TABLE
+    for r in sizes:
+        room -= r["k"]
+        if room < 0:
+            break
+        least = r["step"]
+    return logs.where(step >= least if least is not None else F.lit(False)).select("code", "log10").orderBy("code").toArrow()
 
 
 def tree_counts(counts: DataFrame) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
@@ -111,6 +228,22 @@ def _log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _lgamma(a + 0.5) + _lgamma(b + 0.5) - _lgamma(a + b + 1) - math.log(math.pi)
 
 
+def _log_gamma_table(plus: float) -> np.ndarray:
+    return _lgamma(np.arange(1 << 16) + plus)
+
+
+_HALF, _WHOLE = _log_gamma_table(0.5), _log_gamma_table(1.0)
+
+
+def _log_kt_counts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``_log_kt`` of whole counts, small ones from a table."""
+    small = a + b < len(_WHOLE)
+    x, y = np.where(small, a, 0).astype(np.int64), np.where(small, b, 0).astype(np.int64)
+    out = _HALF[x] + _HALF[y] - _WHOLE[x + y] - math.log(math.pi)
+    out[~small] = _log_kt(a[~small], b[~small])
+    return out
+
+
 def _ctx(code: np.ndarray) -> np.ndarray:
     """The context of a code; a code of eight bytes may be negative as a long."""
     return (code.view(np.uint64) >> np.uint64(8)).view(np.int64)
@@ -245,11 +378,31 @@ def score_texts(tree: ContextTree, data: np.ndarray, offsets: np.ndarray) -> np.
     return X.segment_any_order_sums(logs, at)
 
 
+def _looked_up(codes: np.ndarray, at: np.ndarray, known: np.ndarray, logs: np.ndarray):
+    """(sum of logs, number found, and the others as lists: offsets, codes, times) per text, whose codes start at ``at``."""
+    seen, back = np.unique(codes, return_inverse=True)
+    k = np.minimum(np.searchsorted(known, seen), max(len(known) - 1, 0))
+    hit = known[k] == seen if len(known) else np.zeros(len(seen), bool)
+    value = np.where(hit, logs[k] if len(known) else 0.0, 0.0)
+    hit = hit[back]
+    miss = np.flatnonzero(~hit)                # counted by text and joined later
+    doc = np.searchsorted(at, miss, "right")
+    by = np.lexsort((codes[miss], doc))
+    doc, rare = doc[by], codes[miss][by]
+    new = np.flatnonzero(np.concatenate([np.ones(min(1, len(by)), bool), (doc[1:] != doc[:-1]) | (rare[1:] != rare[:-1])]))
+    start = pa.array(np.searchsorted(doc[new], np.arange(1, len(at) + 1)).astype(np.int32))
+    times = np.diff(np.append(new, len(by))).astype(np.int32)
+    return (X.segment_any_order_sums(value[back], at), X.segment_sums(hit.astype(np.int64), at),
+            pa.ListArray.from_arrays(start, pa.array(rare[new].view(np.int64))), pa.ListArray.from_arrays(start, pa.array(times)))
+
+
 def score_documents(docs: DataFrame, train: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
     spark = docs.sparkSession
     counts = count_corpus(train, text)
-    tree = build_tree(*tree_counts(counts)[1:])
+    asked = _counted(docs, text, (GRAMS,)).select("code", "n")
+    grams = gram_logs(counts.where(F.col("kind") == GRAMS).select("code", "n"), asked)
+    frequent = _frequent(grams)
     words = counts.where(F.col("kind") == WORDS).select("code", "n")
     told = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = train.count()
@@ -258,50 +411,44 @@ def score_documents(docs: DataFrame, train: DataFrame, doc_id: str = "doc_id", t
     codes = common.column("code").to_numpy().view(np.uint64)
     order = np.argsort(codes)
     below = math.log10(tokens + 0.1 * (distinct + 1))
-    shared = spark.sparkContext.broadcast((tree, codes[order], np.log10(common.column("n").to_numpy()[order] + 0.1)))
+    shared = spark.sparkContext.broadcast((
+        frequent.column("code").to_numpy().view(np.uint64), frequent.column("log10").to_numpy(),
+        codes[order], np.log10(common.column("n").to_numpy()[order] + 0.1)))
 
     def run(batches):
-        tree, codes, logs = shared.value
+        known, known_logs, codes, logs = shared.value
         end_log = math.log10(ends + 0.1)
         for b in batches:
             for i, j, data, offsets in X.chunks(b.column("text")):
                 n = j - i
                 ws, at = X.word_codes(data, offsets)
-                seen, back = np.unique(ws, return_inverse=True)
-                k = np.searchsorted(codes, seen)
-                hit = (codes[np.minimum(k, len(codes) - 1)] == seen) if len(codes) else np.zeros(len(seen), bool)
-                value = np.where(hit, logs[np.minimum(k, max(len(codes) - 1, 0))] if len(codes) else 0.0, 0.0)
-                hit_w = hit[back]
-                n_words, n_hit = np.diff(at), X.segment_sums(hit_w.astype(np.int64), at)
-                base = X.segment_any_order_sums(value[back], at) + end_log - below * (n_hit + 1)
-                miss = np.flatnonzero(~hit_w)          # rarer words, counted by text and joined later
-                doc = np.searchsorted(at, miss, "right")
-                by = np.lexsort((ws[miss], doc))
-                doc, rare = doc[by], ws[miss][by]
-                new = np.flatnonzero(np.concatenate([np.ones(min(1, len(by)), bool), (doc[1:] != doc[:-1]) | (rare[1:] != rare[:-1])]))
-                rare_at = np.searchsorted(doc[new], np.arange(1, n + 2)).astype(np.int32)
-                rare, times = rare[new], np.diff(np.append(new, len(by))).astype(np.int32)
+                base, n_hit, rare, times = _looked_up(ws, at, codes, logs)
+                score, _, grams, gram_times = _looked_up(_gram_codes(data, offsets), offsets + np.arange(n + 1), known, known_logs)
                 yield pa.RecordBatch.from_arrays([
-                    b.column("doc_id").slice(i, n), pa.array(n_words + 1), pa.array(n_hit + int(ends > 0)), pa.array(base),
-                    pa.array(score_texts(tree, data, offsets)), pa.array(np.diff(offsets)),
-                    pa.ListArray.from_arrays(pa.array(rare_at), pa.array(rare.view(np.int64))),
-                    pa.ListArray.from_arrays(pa.array(rare_at), pa.array(times))],
-                    ["doc_id", "n_tokens", "n_known", "base_score", "score", "n_bytes", "rare", "times"])
+                    b.column("doc_id").slice(i, n), pa.array(np.diff(at) + 1), pa.array(n_hit + int(ends > 0)),
+                    pa.array(base + end_log - below * (n_hit + 1)), pa.array(score), pa.array(np.diff(offsets)),
+                    rare, times, grams, gram_times],
+                    ["doc_id", "n_tokens", "n_known", "base_score", "score", "n_bytes", "rare", "times", "grams", "gram_times"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     scored = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double, n_bytes long, rare array<long>, times array<int>")
+        run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double, n_bytes long, "
+             "rare array<long>, times array<int>, grams array<long>, gram_times array<int>")
     # written once: row ids stay as they are and texts are scored a single time
     table = materialize(scored.withColumn("_row", F.monotonically_increasing_id()), "lm-scored")
     rare = table.select("_row", F.inline(F.arrays_zip(F.col("rare").alias("code"), F.col("times").alias("k")))) \
         .join(words, "code", "left") \
         .groupBy("_row").agg(F.sum(F.col("k") * (F.log10(F.coalesce("n", F.lit(0)) + 0.1) - below)).alias("_log"),
                              F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("_known"))
-    return table.drop("rare", "times").join(rare, "_row", "left").select(
+    rest = table.select("_row", F.inline(F.arrays_zip(F.col("grams").alias("code"), F.col("gram_times").alias("k")))) \
+        .join(grams.select("code", "log10"), "code") \
+        .groupBy("_row").agg(F.sum(F.col("k") * F.col("log10")).alias("_rest"))
+    score = F.col("score") + F.coalesce("_rest", F.lit(0.0))
+    return table.drop("rare", "times", "grams", "gram_times").join(rare, "_row", "left").join(rest, "_row", "left").select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("_log", F.lit(0.0))).alias("base_score"), "score",
-        (-F.col("score") / (math.log10(2) * (F.col("n_bytes") + 1))).alias("bits_per_byte"))
+        (F.col("base_score") + F.coalesce("_log", F.lit(0.0))).alias("base_score"), score.alias("score"),
+        (-score / (math.log10(2) * (F.col("n_bytes") + 1))).alias("bits_per_byte"))
 
 
 def training_rows(docs: DataFrame, mod: int = 10, held: int = 0, doc_id: str = "doc_id") -> DataFrame:
