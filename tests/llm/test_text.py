@@ -312,6 +312,25 @@ def test_html_cases(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article class='post category-news comments-open'><p>kept</article>", "kept"), ("<body>x<article class='ad-free'>kept</article>", "kept"),
+    ("<article class='related'><p>outermost</p><article class='related'>teaser</article></article>", "outermost"),
+    ("<article><h2 id='social-impact'>a</h2><h3 id=legal>b</h3><p class='notice'>c<section id='legal-status'>d</section></article>", "a b c d"),
+    ("<article>a<p class='notice-period'>b<div class='search-results'>c</div><div class='search'>no</div></article>", "a b c"),
+    ("<article><p>the sum <math><mi>x</mi><mo>+</mo><mn>1</mn></math> is</article>", "the sum x+1 is"),
+    ("<article><p>a <svg width='1'/> b</p><p>c<svg><text>no</text></svg></p></article>", "a b c"),
+    ("<article><p>a <script src='x'/> b</p><p>c<script>no</script></p></article>", "a b c"),
+    ("<article><div>a<button>no</div><p>b<span><video>no <i>no</i></span> c</p><div>d<object>no<div>no</div></div>e</article>", "a b c d e"),
+    ("<article><p>a<button>no <b>no</b></button> b<textarea></p>no</textarea> c</p></article>", "a b c"),
+    ("<head><title>no<body><article>kept</article>", "kept"),
+    ("<article><p>a<select><option>no<option>no</select> b</p><p>c<title>no</p><p>d</p></article>", "a b c d"),
+])
+def test_html_keeps_article_text(page, text):
+    stream, texts = html_extract.parse(page)
+    top = [t for t, level in zip(texts, (int(k[1:]) for k in stream if k[0] == "#"), strict=True) if level == 4]
+    assert " ".join(top) == text
+
+
 def test_wrapper_finds_a_hosts_fixed_text(spark):
     page = "<div><b>My Site</b></div><div><p>story {0} here</p>{1}</div><div>All rights reserved</div>"
     df = spark.createDataFrame([(i, "http://plain.org/%d" % i, page.format(i, "<p>more %d</p>" % i * (i % 4))) for i in range(12)] + [(99, None, "<p>x")],

@@ -29,23 +29,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 from velorank.llm.common import ascii_lower
 from velorank.session import materialize
 
-INLINE = set("a abbr acronym b bdi bdo big cite code del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr label data".split())
+INLINE = set("a abbr acronym b bdi bdo big cite code del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr label data math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mstyle mfenced mover munder munderover mtable mtr mtd semantics annotation".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|template|noscript|iframe|svg|textarea|select|title|object|math|audio|video|canvas|button"
+SKIPPED = set("script style template noscript iframe svg textarea select title object audio video canvas button".split())
 OUTSIDE_TAGS = set("head nav header footer aside form menu dialog".split())
 OUTSIDE_NAMES = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promoted banner nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead cookie cookies consent notice notices alert popup modal newsletter subscribe signup login search form share sharing social related recommended comment comments reply replies respond disqus widget toolbar pagination pager copyright legal topbar".split())
+OUTSIDE_NAMES |= set("cookie-notice cookie-banner cookie-bar cookie-consent ad-banner ad-container ad-slot site-header site-footer page-footer site-nav main-nav main-menu nav-menu share-buttons social-share social-links related-posts related-articles comment-list comments-area comment-form newsletter-signup login-form search-form".split())
 ADVERT_NAMES = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promoted banner".split())
 ARTICLE_OUTSIDE = set("ad ads advert advertisement promo sponsored related comment comments reply".split())
-MAIN_NAMES = set("article content post entry story main".split())
+MAIN_NAMES = set("article content post entry story main article-body article-content post-content post-body entry-content story-body main-content page-content".split())
 _MARKUP = re.compile(
-    rf"<!--.*?(?:-->|$)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-z][^>]*(?:>|$)|</[^>]*>",
+    r"<!--.*?(?:-->|$)|<(script|style)\b[^>]*(?<!/)>.*?(?:</\1\s*>|$)|<(textarea|title|iframe)\b[^>]*(?<!/)>(?:(?!<\2\b).)*?</\2\s*>|<[!?][^>]*(?:>|$)|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-z][^>]*(?:>|$)|</[^>]*>",
     re.I | re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_WORD = re.compile("[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 OUTSIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form"}
 SELF_CLOSING = set("p li tr td th dt dd option".split())
 CLOSES_P = set("p div ul ol dl table section article aside nav footer header form main blockquote pre hr h1 h2 h3 h4 h5 h6".split())
+NAMELESS = set("p h1 h2 h3 h4 h5 h6".split())               # text, whatever its class or id says
 MAX_PERIOD = 12                    # tokens in a repeated group before it is folded
 
 
@@ -54,10 +55,12 @@ def parse(page: str) -> tuple[list[str], list[str]]:
     part, 1 body, 2 a block named as content, 3 main, 4 article."""
     stream: list[str] = []
     texts: list[str] = []
-    stack: list[tuple[str, int, int]] = [("", 0, 1)]         # tag, outside (1: advert, 2: other), level
+    stack: list[tuple[str, int, int]] = [("", 0, 1)]         # tag, outside (1: advert, 2: other, 3: skipped), level
     held: list[str] = []
 
     def flush() -> None:
+        while stack[-1][1] == 3:
+            stack.pop()                                      # a skipped element ends with its parent
         if held:
             got = _SPACE.sub(" ", H.unescape("".join(held))).strip()
             held.clear()
@@ -67,14 +70,34 @@ def parse(page: str) -> tuple[list[str], list[str]]:
 
     at = 0
     for m in _MARKUP.finditer(page):
-        if m.start() > at:
+        if m.start() > at and stack[-1][1] != 3:
             held.append(page[at:m.start()])
         at = m.end()
-        tag = (m.group(3) or "").lower()
+        tag = (m.group(4) or "").lower()
+        if tag == "body" and not m.group(3):
+            flush()                                          # nothing of the head goes on
+            stack[1:] = [x for x in stack[1:] if x[0] != "head"]
+        if tag and (stack[-1][1] == 3 or tag in SKIPPED):
+            empty = tag in VOID or tag not in INLINE and m.group(5).endswith("/")
+            if not m.group(3):
+                if not empty:
+                    stack.append((tag, 3, stack[-1][2]))
+                continue
+            own = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][1] != 3 or stack[i][0] == tag), 0)
+            if stack[own][1] == 3:
+                del stack[own:]
+                continue
+            if tag in SKIPPED:
+                continue                                     # closes nothing
+            if tag in INLINE or any(x[0] == tag for x in stack):
+                while stack[-1][1] == 3:
+                    stack.pop()                              # the end of what is around it
+            else:
+                continue
         if not tag or tag in INLINE:
             continue
         flush()
-        if m.group(2):                                       # a closing tag
+        if m.group(3):                                       # a closing tag
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == tag:
                     del stack[i:]
@@ -88,9 +111,10 @@ def parse(page: str) -> tuple[list[str], list[str]]:
                 stream.append(tag)
             continue
         names, role = set(), ""
-        for k, *v in _ATTR.findall(m.group(4)) if "=" in m.group(4) else ():
+        for k, *v in _ATTR.findall(m.group(5)) if "=" in m.group(5) else ():
             value = (v[0] or v[1] or v[2]).lower()
-            names.update(_WORD.findall(value))
+            if tag not in NAMELESS:
+                names.update(value.replace("_", "-").split())
             role = value if k.lower() == "role" else role
         if stack[-1][0] == tag and tag in SELF_CLOSING or stack[-1][0] == "p" and tag in CLOSES_P:
             stack.pop()                                      # HTML closes these by itself
@@ -100,7 +124,8 @@ def parse(page: str) -> tuple[list[str], list[str]]:
         elif tag == "article":
             # an article inside an advert left open is still one; inside the others it is a teaser or a comment
             inside = any(o == 2 or o and t == "article" for t, o, _ in stack)
-            outside, level = 2 * (inside or bool(names & ARTICLE_OUTSIDE)), 4
+            nested = any(t == "article" for t, _, _ in stack)
+            outside, level = 2 * (inside or nested and bool(names & ARTICLE_OUTSIDE)), 4
         elif tag == "main" or role == "main":
             outside, level = 0, max(level, 3)
         elif tag == "header" and level >= 3:
@@ -114,7 +139,8 @@ def parse(page: str) -> tuple[list[str], list[str]]:
         stream.append(".".join([tag, *mark]))
     if at < len(page):
         cut = re.search(r"<[/a-zA-Z!][^<]*$", page[at:])     # a tag cut off at the end
-        held.append(page[at:at + cut.start()] if cut else page[at:])
+        if stack[-1][1] != 3:
+            held.append(page[at:at + cut.start()] if cut else page[at:])
     flush()
     return stream, texts
 
