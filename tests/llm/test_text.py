@@ -339,6 +339,15 @@ def test_wrapper_finds_a_hosts_fixed_text(spark):
     assert all(got[i] == " ".join([f"story {i} here"] + [f"more {i}"] * (i % 4)) for i in range(12)) and got[99] == "x"
 
 
+def test_wrapper_drops_fixed_text_inside_articles(spark):
+    page = "<body><article><h1>{0}</h1><p>story {0}</p><div><b>Get our letter</b></div><p>more {0}</p></article></body>"
+    copy = "<article><h1>one</h1><p>two</p></article>"
+    df = spark.createDataFrame([(i, "http://a/", page.format(i)) for i in range(5)] + [(10 + i, "http://b/", copy) for i in range(5)],
+                               "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
+    assert got == {**{i: f"{i} story {i} more {i}" for i in range(5)}, **{10 + i: "one two" for i in range(5)}}
+
+
 def test_wrapper_is_a_union_free_expression():
     a, b = (html_extract.fold(html_extract.parse(p)[0]) for p in ("<h1>t</h1><ul><li>a</li></ul>", "<h1>t</h1><ul><li>a</li><li>b</li><li>c</li></ul><hr>"))
     w = html_extract.merge(*[[{"k": k, "opt": False, "n": 1 if s else 0, "same": None} for k, s in x] for x in (a, b)])

@@ -9,12 +9,13 @@ and the wrapper knows on how many pages a slot was filled and whether always wit
 
 A page's text is what its host's wrapper calls main.  The main part is the ``article`` (else
 ``main``, else a block named as content, else the body) without menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and comments; in a host without any marked main part, slots
-that hold the same text on all of several pages are boilerplate.  Which level is the main part is
-the host's decision; a page without any text at that level falls back on its own highest one.
+notices, adverts, forms, scripts, styles and comments: tags and class names say where it is.  Slots
+of one text that hold the same on all of several pages are boilerplate at every level, also inside an
+article, unless the main part has no other slots (all pages are copies).  Which level is the main
+part is the host's decision; a page without any text at that level falls back on its own highest one.
 
 Null or blank html gives an empty text; a null or strange URL has the empty host.  Repeated rows give
-equal results.  Nothing inside the main part is dropped or cut.
+equal results.  Nothing else inside the main part is dropped or cut.
 """
 
 from __future__ import annotations
@@ -263,8 +264,10 @@ def read_page(page: str) -> tuple[list, list[str]]:
 
 def choose(wrapper: list[dict], pages: int) -> tuple[int, list[bool]]:
     """(level of the host's main part, per item: is it the same text on every one of several pages?)"""
-    top = max((level_of(w["k"]) for w in wrapper if 2 * w["n"] >= pages), default=1)
-    return max(top, 1), [top <= 1 and pages > 2 and w["same"] is not None and w["n"] == pages for w in wrapper]
+    top = max(1, max((level_of(w["k"]) for w in wrapper if 2 * w["n"] >= pages), default=1))
+    fixed = [pages > 2 and w["same"] is not None and w["n"] == pages for w in wrapper]
+    data = any(level_of(w["k"]) >= top and not f for w, f in zip(wrapper, fixed, strict=True))
+    return top, [f and data for f in fixed]
 
 
 class Reader:
