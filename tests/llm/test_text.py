@@ -62,6 +62,14 @@ def test_language_cases(spark, documents):
     assert language_id.classify(df.limit(0), model).count() == 0
 
 
+def test_more_than_64_languages(spark):
+    rng = random.Random(3)
+    vocab = {f"l{i:03d}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)] for i in range(130)}
+    df = spark.createDataFrame([(i, " ".join(vocab[lang] * 3), lang) for i, lang in enumerate(vocab)], "doc_id long, text string, lang string")
+    got = language_id.classify(df, language_id.fit(df)).collect()
+    assert len(got) == 130 and all(r["lang"] == r["lang_pred"] for r in got)
+
+
 # ---- line dedup ----
 def brute_lines(docs, least):
     """Lines of maximal repeated runs that have an earlier copy, pair by pair."""

@@ -2,7 +2,7 @@
 
 Training counts byte n-grams per language over all labelled texts and keeps those with a minimum
 share of their language's n-grams (so at most 1/share per language, whatever the corpus).  They go
-into one bit-sliced Bloom filter: an array of 64-bit masks, bit l of a slot set by language l.  The
+into one bit-sliced Bloom filter: arrays of 64-bit masks, one array for every 64 languages, bit l of a slot set by language l.  The
 AND of an n-gram's slots names every language that may contain it.
 
 A text's n-grams are looked up whole; per language the set bits are counted, the count expected
@@ -30,7 +30,6 @@ from velorank.session import materialize
 GRAM = 5                            # bytes in an n-gram
 MIN_SHARE = 1e-5                    # of its language's n-grams: at most 100,000 n-grams a language
 SLOT_BITS, HASHES = 20, 3
-MAX_LANGUAGES = 64
 UNDETERMINED = "und"
 _KEYS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 _CLEAN = np.full(256, 0x20, np.uint8)
@@ -102,30 +101,26 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text") -> Language
 
     counts = materialize(rows.mapInArrow(count, "lang string, gram long, n long")
                          .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.col("total").desc(), "lang") \
-        .limit(MAX_LANGUAGES + 1).collect()
-    if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.col("total").desc(), "lang").collect()
     names = [r["lang"] for r in totals]
-    masks = np.zeros(1 << SLOT_BITS, np.uint64)
+    masks = np.zeros((max(1, -(-len(names) // 64)), 1 << SLOT_BITS), np.uint64)
     if names:
-        bit, least = F.lit(0).cast("long"), F.lit(0.0)
-        for i, r in enumerate(totals):
-            bit = F.when(F.col("lang") == r["lang"], F.lit(i).cast("long")).otherwise(bit)
-            least = F.when(F.col("lang") == r["lang"], F.lit(r["total"] * MIN_SHARE)).otherwise(least)
+        known = F.broadcast(rows.sparkSession.createDataFrame(
+            [(r["lang"], i, r["total"] * MIN_SHARE) for i, r in enumerate(totals)], "lang string, bit long, least double"))
 
         def slots(batches):
             for b in batches:
                 codes = b.column("gram").to_numpy(zero_copy_only=False).astype(np.uint64)
-                mask = np.uint64(1) << b.column("bit").to_numpy(zero_copy_only=False).astype(np.uint64)
+                bit = b.column("bit").to_numpy(zero_copy_only=False)
+                word, mask = pa.array(bit // 64), np.uint64(1) << (bit % 64).astype(np.uint64)
                 for s in _slots(codes):
-                    yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(mask.view(np.int64))], ["slot", "mask"])
+                    yield pa.RecordBatch.from_arrays([word, pa.array(s), pa.array(mask.view(np.int64))], ["word", "slot", "mask"])
 
-        kept = counts.where((F.col("n") >= least) & (F.col("n") > 1)).select("gram", bit.alias("bit"))
-        # at most 2**SLOT_BITS rows reach the driver
-        found = kept.mapInArrow(slots, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
-        masks[found.column("slot").to_numpy()] = found.column("mask").to_numpy().astype(np.int64).view(np.uint64)
-    fill = np.array([np.count_nonzero(masks & (np.uint64(1) << np.uint64(i))) for i in range(len(names))]) / len(masks)
+        kept = counts.join(known, "lang").where((F.col("n") >= F.col("least")) & (F.col("n") > 1)).select("gram", "bit")
+        # at most 2**SLOT_BITS rows for 64 languages reach the driver
+        found = kept.mapInArrow(slots, "word long, slot long, mask long").groupBy("word", "slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+        masks[found.column("word").to_numpy(), found.column("slot").to_numpy()] = found.column("mask").to_numpy().astype(np.int64).view(np.uint64)
+    fill = np.array([np.count_nonzero(masks[i // 64] & (np.uint64(1) << np.uint64(i % 64))) for i in range(len(names))]) / masks.shape[1]
     return LanguageModel(names, masks, fill ** HASHES)
 
 
@@ -137,8 +132,8 @@ def _scores(model: LanguageModel, column: pa.Array) -> tuple[np.ndarray, np.ndar
         codes, at = _grams(data, offsets)
         hit = None
         for s in _slots(codes):
-            hit = model.masks[s] if hit is None else hit & model.masks[s]
-        counts = np.stack([X.segment_sums((hit >> np.uint64(m)) & np.uint64(1), at) for m in range(k)])
+            hit = model.masks[:, s] if hit is None else hit & model.masks[:, s]
+        counts = np.stack([X.segment_sums((hit[m // 64] >> np.uint64(m % 64)) & np.uint64(1), at) for m in range(k)])
         share = counts / np.maximum(np.diff(at), 1)
         fixed = np.maximum(share - model.false_rate[:, None], 0) / (1 - np.minimum(model.false_rate[:, None], 0.999))
         best[i:j] = fixed.argmax(0)
