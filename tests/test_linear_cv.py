@@ -65,3 +65,15 @@ def test_fit_linear_predictions_and_roundtrip(spark):
     again = LinearMomentModel.load(spark, path)
     got2 = np.array([r["prediction"] for r in again.transform(df).collect()])
     assert np.allclose(got2, got, atol=0)
+
+
+def test_more_partitions_than_rows(spark):
+    rows = [(float(i), float(2 * i + 1), i % 2) for i in range(8)]
+    df = spark.createDataFrame(rows, "x double, label double, fold int")
+    cfg = [{"model_name": "LinearRegression"}]
+    spread = df.repartition(32)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert linear_cv(spread, ["x"], "label", "fold", cfg, k=2) == pytest.approx([1.0])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

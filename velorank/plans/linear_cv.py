@@ -72,6 +72,8 @@ def fold_moments(df: DataFrame, feature_cols: Sequence[str], label: str, fold_co
                 vec[lay["syy"]] += yf @ yf
                 vec[lay["xtx"]] += (Xf.T @ Xf).ravel()
                 vec[lay["xty"]] += Xf.T @ yf
+        if not acc:        # a task without a row: an empty frame has no array type
+            return
         part = TaskContext.get().partitionId() % GROUPS
         yield pd.DataFrame({"fold": list(acc), "part": [part] * len(acc), "v": [v.tolist() for v in acc.values()]})
 
