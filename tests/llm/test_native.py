@@ -23,7 +23,7 @@ def rows(columns, data):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels", "benchmark"):
         con.execute(f"create view {t} as select * from '{os.path.join(SMOKE, t)}.parquet'")
     got = QUERIES[name](spark, SMOKE)
     want = con.execute(ORACLES[name])

@@ -58,3 +58,18 @@ def running_sum(rows: DataFrame, keys: list[str], order: str, ties: list[str], v
     return (dealt.join(starts, [*keys, "_b"])
             .withColumn(out, F.col("_start") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
             .drop("_b", "_start"))
+
+
+HOT_KEYS = 1024
+
+
+def match_keys(rows: DataFrame, table: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` (``total`` of them) with a written ``table`` of one row per key, whose
+    column ``count`` says how many of the rows hold that key.
+
+    Keys of at least 1 in ``HOT_KEYS`` rows are at most ``HOT_KEYS`` many: those go to all tasks, so that
+    no task gets all rows of a hot key; the other keys are joined by a shuffle."""
+    is_hot = F.col(count) * HOT_KEYS >= total
+    hot = F.broadcast(table.where(is_hot))
+    rest = rows.join(F.broadcast(table.where(is_hot).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(rest.join(table.where(~is_hot).hint("merge"), key))

@@ -163,7 +163,43 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 from f join v on f.source is not distinct from v.source"""
 
 
+def _filter_audit() -> str:
+    from itertools import permutations
+    steps = ", ".join(f"('{''.join(o)}', {i + 1}, '{f}', {sum(2 ** 'ABCDE'.index(g) for g in o[:i])}, {2 ** 'ABCDE'.index(f)})"
+                      for o in permutations("ABCDE") for i, f in enumerate(o))
+    return f"""
+with docs as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACES}'), lambda w: w <> '') as ws from documents),
+fails as (
+  select doc_id, part,
+         (len(ws) < 100)::int + 2 * (100 * len(list_distinct(ws)) < 80 * len(ws))::int
+         + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::int
+         + 8 * regexp_matches(t, '[#$%&*|]')::int
+         + 16 * coalesce(doc_id > min(doc_id) over (partition by t), false)::int as mask
+  from docs),
+told as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as bad from labels group by doc_id),
+cells as (
+  select part, mask, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(bad), 0) as bad
+  from fails left join told using (doc_id) group by part, mask),
+steps(filter_order, step, filter, before, bit) as (values {steps}),
+counted as (
+  select part, filter_order, step, filter,
+         sum(case when mask & (before | bit) = 0 then n else 0 end) as kept,
+         sum(case when mask & before = 0 and mask & bit <> 0 then n else 0 end) as removed,
+         sum(case when mask & before <> 0 and mask & bit <> 0 then n else 0 end) as redundant,
+         sum(case when mask = bit then n else 0 end) as unique_fails,
+         sum(case when mask & before = 0 and mask & bit <> 0 then good else 0 end) as good_lost,
+         sum(case when mask & before = 0 and mask & bit <> 0 then bad else 0 end) as toxic_lost
+  from cells, steps group by part, filter_order, step, filter)
+select part, filter_order, step::int as step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+       unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+       (sum(removed) over (partition by part, filter))::bigint as shapley
+from counted"""
+
+
 ORACLES = {
+    "op13_filter_audit": _filter_audit(),
     "op3_url_filter": _url_filter(),
     "op5_source_mixing": _mixing(),
     "op8_host_quality": _host_quality(),

@@ -67,7 +67,13 @@ def op9_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from velorank.llm.filter_audit import audit
+    return audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op13_filter_audit": op13_filter_audit,
     "op2_line_dedup": op2_line_dedup,
     "op9_length_packing": op9_length_packing,
     "op6_minhash_dedup": op6_minhash_dedup,
