@@ -163,6 +163,79 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 from f join v on f.source is not distinct from v.source"""
 
 
+def _secret_scan() -> str:
+    from velorank.llm.secret_scan import PATTERNS
+    pats = [p.replace("'", "''") for p in PATTERNS]
+    found = " union all ".join(f"""
+  select r, {k} as k, unnest(m) as m, unnest(g[:len(m)]) as g, unnest(range(len(m))) as i
+  from (select r, regexp_extract_all(t, '{p}') as m, regexp_split_to_array(t, '{p}') as g from docs)""" for k, p in enumerate(pats))
+    return f"""
+with recursive {crc32_mod4_sql()},
+docs as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as t, coalesce(d.source, '') as repo, domain as owner
+  from documents d join domains s on d.source is not distinct from s.source),
+found as ({found}),
+placed as (
+  select r, k, m, case when k = 0 then regexp_extract(m, '{pats[0]}', 2) else m end as v,
+         (sum(length(g) + length(m)) over (partition by r, k order by i))::bigint as z
+  from found),
+spans as (
+  select r, k, v, z - length(m) as a, z from placed
+  where case when k = 0 then length(v) >= 6 when k = 1 then length(v) >= 20
+             when k = 3 then regexp_matches(v, '[A-Z]') and regexp_matches(v, '[a-z]') and regexp_matches(v, '[0-9]') else true end),
+outside as (
+  select * from spans s
+  where k < 3 or not exists (select 1 from spans b where b.r = s.r and b.k < 3 and b.a < s.z and b.z > s.a)),
+held as (select v, count(distinct repo) >= 3 and count(distinct owner) >= 2 as copied from outside join docs using (r) group by v),
+told as (
+  select *, ['assign', 'access', 'hex', 'owned'][k + 1] || ':' || a || ':' || z as s
+  from outside join held using (v) where k < 3 or not copied),
+by_doc as (
+  select r, count(*) filter (k = 0) as n_assign, count(*) filter (k = 1) as n_access, count(*) filter (k = 2) as n_hex,
+         count(*) filter (k = 3) as n_owned, count(*) filter (not copied) as n_live,
+         string_agg(s, ',' order by a, k) as spans, string_agg(s, ',' order by a, k) filter (k < 3) as base
+  from told group by r)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_owned, 0) as n_owned, coalesce(n_live, 0) as n_live
+from docs left join by_doc using (r)"""
+
+
+def _importance() -> str:
+    words = "list_filter(regexp_split_to_array({}, '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+'), lambda w: w <> '')"
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = "[c, 0, 0, 0, 0, 0, 0, 0, 0]"
+    byte = "('0x' || substr(h, 2 * i - 1, 2))::bigint"
+    return f"""
+with docs as (select row_number() over () as r, doc_id, {words.format(lowered)} as ws from documents),
+goal as (select {words.format(lowered)} as ws from benchmark),
+table256 as (
+  select list(list_reduce({bits}, lambda a, b: xor(a >> 1, case when a & 1 = 1 then 3988292384::bigint else 0 end)) order by c) as t
+  from range(256) x(c)),
+held as (
+  select r, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) as f from docs),
+wanted as (select unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) as f from goal),
+names as (
+  select f, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, length(h) // 2 + 1), lambda i: {byte})),
+                            lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295::bigint) % 10000 as bucket
+  from (select f, hex(f) as h from (select f from held union select f from wanted)), table256),
+s as (select bucket, count(*) as n from held join names using (f) group by bucket),
+t as (select bucket, count(*) as n from wanted join names using (f) group by bucket),
+sums as (select coalesce((select sum(n) from s), 0)::double as s, coalesce((select sum(n) from t), 0)::double as t),
+gain as (
+  select s.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::double * (sums.s + 10000) / ((s.n + 1)::double * (sums.t + 10000))))::bigint as g
+  from s left join t using (bucket), sums),
+total as (select r, sum(g) as g, count(*) as n from held join names using (f) join gain using (bucket) group by r),
+scored as (
+  select docs.r, doc_id, len(ws) as n_words, coalesce(n, 0)::bigint as n_features, coalesce(floor(g::double / n), 0)::bigint as weight,
+         ('0x' || substr(sha256('7:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint::double as h
+  from docs left join total using (r)),
+noisy as (select *, (weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296.0))))::bigint as score from scored),
+placed as (
+  select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id nulls last, r) as place,
+         (select 25 * count(*) // 100 from noisy where n_words >= 20) as k from noisy)
+select doc_id, n_features, weight, score, (case when n_words >= 20 and place <= k then place end)::bigint as rank from placed"""
+
+
 def _filter_audit() -> str:
     from itertools import permutations
     steps = ", ".join(f"('{''.join(o)}', {i + 1}, '{f}', {sum(2 ** 'ABCDE'.index(g) for g in o[:i])}, {2 ** 'ABCDE'.index(f)})"
@@ -199,6 +272,8 @@ from counted"""
 
 
 ORACLES = {
+    "op11_secret_scan": _secret_scan(),
+    "op12_importance_resampling": _importance(),
     "op13_filter_audit": _filter_audit(),
     "op3_url_filter": _url_filter(),
     "op5_source_mixing": _mixing(),

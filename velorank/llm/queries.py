@@ -67,12 +67,26 @@ def op9_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from velorank.llm.mixing import source_domain
+    from velorank.llm.secret_scan import scan
+    return scan(read_table(spark, sf_dir, "documents"), source_domain(F.col("source")))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from velorank.llm.importance import resample
+    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from velorank.llm.filter_audit import audit
     return audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
+    "op11_secret_scan": op11_secret_scan,
+    "op12_importance_resampling": op12_importance_resampling,
     "op13_filter_audit": op13_filter_audit,
     "op2_line_dedup": op2_line_dedup,
     "op9_length_packing": op9_length_packing,
