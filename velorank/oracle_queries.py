@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from velorank.oracle_trees import trees_sql
 from velorank.oracles import base, feature_select
 
 ORACLES: dict[str, str] = {}
@@ -452,9 +453,12 @@ def _families() -> str:
     import hashlib
     import json
 
-    from velorank.plans.training import CHECKED_CONFIGS
-    ids = [f"{c['model_name']}_{hashlib.sha1(json.dumps(c, sort_keys=True).encode()).hexdigest()[:12]}" for c in CHECKED_CONFIGS]
-    return "SELECT * FROM (VALUES " + ", ".join(f"('{c['model_name']}', '{i}')" for c, i in zip(CHECKED_CONFIGS, ids)) + ") t(model_name, config_id)"
+    configs = [("LinearRegression", {}), ("Ridge", {"alpha": 1.0})]
+    configs += [(m, {"max_depth": None, "min_samples_leaf": 4, "n_estimators": 10}) for m in ("RandomForest", "ExtraTrees")]
+    configs += [("GradientBoosting", {"learning_rate": 0.3, "max_depth": 3, "n_estimators": 10}),
+                ("HistGradientBoosting", {"learning_rate": 0.3, "max_depth": None, "max_iter": 10})]
+    key = lambda m, c: hashlib.sha1(json.dumps({"model_name": m, **c}, sort_keys=True).encode()).hexdigest()[:12]
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{m}', '{m}_{key(m, c)}')" for m, c in configs) + ") t(model_name, config_id)"
 
 
 ORACLES["grid_search_families"] = with_ctes(("repos", REPOS_SQL), ("cfg", _families())) + \
@@ -465,4 +469,11 @@ FROM (VALUES ('LinearRegression'), ('Ridge')) t(model_name) WHERE (SELECT count(
 ORACLES["ranked_predictions"] = with_ctes(("repos", REPOS_SQL)) + \
     "SELECT pos, full_name, true AS in_range, true AS rank_in_range FROM repos"
 
+# The tree queries' features, sizes and seed (stream of the first tree).
+_TREE_FEATURES, _TREE_SEED = ["open_pulls_count", "release_count", "topics_count", "has_wiki"], 68
+ORACLES["forest_scores"] = trees_sql(STRATA_CTES, _TREE_FEATURES, 2, 3, 2, 5, 0.5, False, bootstrap=_TREE_SEED)
+ORACLES["extra_trees_scores"] = trees_sql(STRATA_CTES, _TREE_FEATURES, 2, 3, 2, 5, 0.5, False, random=_TREE_SEED)
+ORACLES["boosting_scores"] = trees_sql(STRATA_CTES, _TREE_FEATURES, 3, 3, 2, 1, 0.1, True)
+ORACLES["hist_boosting_scores"] = trees_sql(STRATA_CTES, _TREE_FEATURES, 2, 30, 99, 20, 0.1, True)
+
 ORACLES["align_columns"] = _align_sql()

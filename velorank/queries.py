@@ -655,7 +655,7 @@ def q_incremental_ingest_batches(spark, sf_dir):
 RIDGE_CFG = {"model_name": "Ridge", "alpha": 1.0}
 FOREST_CFG = {"model_name": "RandomForest", "max_depth": 10, "min_samples_leaf": 4, "n_estimators": 100}
 BOOSTING_CFG = {"model_name": "GradientBoosting", "learning_rate": 0.1, "max_depth": 3, "n_estimators": 100}
-HIST_CFG = {"model_name": "HistGradientBoosting", "learning_rate": 0.1, "max_depth": 4, "max_iter": 50}
+HIST_CFG = {"model_name": "HistGradientBoosting", "learning_rate": 0.1, "max_depth": None, "max_iter": 50}
 
 
 def _train_test(spark, sf_dir, folds: bool = True):
@@ -675,12 +675,8 @@ R2_FLOOR, RANGE_SLACK = 0.8, 1.0
 
 
 def _fit(train, feature_columns, cfg):
-    from velorank.plans.linear_cv import fit_linear
-    from velorank.plans.training import LABEL, LINEAR, pipeline
-    labelled = train.withColumn(LABEL, feat.log_target(F.col("stargazers_count")))
-    if cfg["model_name"] in LINEAR:
-        return fit_linear(labelled, feature_columns, LABEL, cfg)
-    return pipeline(cfg, feature_columns).fit(labelled)
+    from velorank.plans.training import fit_config
+    return fit_config(train, feature_columns, cfg)
 
 
 def _label_range(df) -> tuple[float, float]:
@@ -717,7 +713,7 @@ def q_forest_fit_predict(spark, sf_dir):
 
 @query("extra_trees_fit_predict")
 def q_extra_trees_fit_predict(spark, sf_dir):
-    """M7: random-subspace forest without bootstrap."""
+    """M7: extremely randomised trees, one random threshold per (node, feature), no bootstrap."""
     return _fit_predict(spark, sf_dir, {**FOREST_CFG, "model_name": "ExtraTrees"})
 
 
@@ -729,10 +725,51 @@ def q_boosting_fit_predict(spark, sf_dir):
 
 @query("hist_boosting_fit_predict")
 def q_hist_boosting_fit_predict(spark, sf_dir):
-    """M9: boosting with 255 bins and 20 rows per leaf."""
+    """M9: leaf-wise histogram boosting, at most 31 leaves of 20 rows or more."""
     return _fit_predict(spark, sf_dir, HIST_CFG)
 
 
+# Four features of few values, whose bins are their values, and small configs of the tree families.
+SMALL_FEATURES = ["open_pulls_count", "release_count", "topics_count", "has_wiki"]
+SMALL_TREES = {
+    "RandomForest": {"n_estimators": 2, "max_depth": 2, "min_samples_leaf": 5},
+    "ExtraTrees": {"n_estimators": 2, "max_depth": 2, "min_samples_leaf": 5},
+    "GradientBoosting": {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.1},
+    "HistGradientBoosting": {"max_iter": 2, "max_depth": None, "learning_rate": 0.1},
+}
+
+
+def _small_tree_scores(spark, sf_dir, family):
+    """Every row scored by a small model of the family."""
+    _, train, test = _train_test(spark, sf_dir, folds=False)
+    model = _fit(train, SMALL_FEATURES, {"model_name": family, **SMALL_TREES[family]})
+    return model.transform(train.unionByName(test).select("pos", *SMALL_FEATURES)).select("pos", r6("prediction").alias("log_pred"))
+
+
+@query("forest_scores")
+def q_forest_scores(spark, sf_dir):
+    """M6: two bootstrapped trees of depth 2, equal to SQL's."""
+    return _small_tree_scores(spark, sf_dir, "RandomForest")
+
+
+@query("extra_trees_scores")
+def q_extra_trees_scores(spark, sf_dir):
+    """M7: two trees with random thresholds, equal to SQL's."""
+    return _small_tree_scores(spark, sf_dir, "ExtraTrees")
+
+
+@query("boosting_scores")
+def q_boosting_scores(spark, sf_dir):
+    """M8: mean start and three shrunk trees on residuals, equal to SQL's."""
+    return _small_tree_scores(spark, sf_dir, "GradientBoosting")
+
+
+@query("hist_boosting_scores")
+def q_hist_boosting_scores(spark, sf_dir):
+    """M9: two leaf-wise trees of at most 31 leaves, equal to SQL's."""
+    return _small_tree_scores(spark, sf_dir, "HistGradientBoosting")
+
+
 def _one_feature(spark, sf_dir, folds: bool = False):
     """Train and test rows with the single feature log(1 + forks)."""
     ds, train, test = _train_test(spark, sf_dir, folds)
