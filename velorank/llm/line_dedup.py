@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from velorank.llm.common import words
+from velorank.llm import textcodes as X
 from velorank.operators.rank import global_rank
 from velorank.session import materialize
 
@@ -35,13 +35,45 @@ def _keys(doc_id: str, text: str) -> dict:
     return {"_d": F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)), "_h": F.xxhash64(F.col(text), F.lit(2))}
 
 
+def _lines(batches):
+    """(_d, _h, line, raw, c1, c2, words) of every line with a word, by numpy on chunks of texts."""
+    for b in batches:
+        for i, j, data, offsets in X.chunks(b.column("text")):
+            n = len(data)
+            if not n:
+                continue
+            breaks = np.flatnonzero(data == 10)
+            # a break at the very end of a text starts its last line where the next text starts: it is empty, leave it out
+            text_of_break = np.searchsorted(offsets, breaks, "right") - 1
+            ends_text = breaks + 1 == offsets[text_of_break + 1]
+            starts = np.sort(np.concatenate([offsets[:-1][np.diff(offsets) > 0], breaks[~ends_text] + 1]))
+            doc = np.searchsorted(offsets, starts, "right") - 1
+            stops = np.minimum(np.append(starts[1:], n), offsets[doc + 1])
+            stops = stops - (data[stops - 1] == 10)                  # the break itself is not part of the line
+            space = X.IS_SPACE[data]
+            begins = ~space
+            begins[1:] &= space[:-1]
+            begins[offsets[:-1][offsets[:-1] < n]] = ~space[offsets[:-1][offsets[:-1] < n]]
+            upto = np.concatenate([[0], np.cumsum(begins)])
+            words = upto[stops] - upto[starts]
+            first = np.searchsorted(doc, np.arange(j - i))           # each text's first line
+            raw = np.arange(len(doc)) - first[doc]
+            some = np.flatnonzero(words > 0)
+            own = doc[some]
+            line = np.arange(len(some)) - np.searchsorted(own, np.arange(j - i))[own]
+            c1, c2 = X.segment_codes(data, starts[some], stops[some])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(c).slice(i, j - i).take(pa.array(own)) for c in DOC]
+                + [pa.array(line, pa.int32()), pa.array(raw[some], pa.int32()), pa.array(c1.view(np.int64)),
+                   pa.array(c2.astype(np.uint32).view(np.int32)), pa.array(words[some], pa.int32())],
+                names=[*DOC, "line", "raw", "c1", "c2", "words"])
+
+
 def line_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(_d, _h, line, raw, code, words): every line with a word, its place among those and among all lines."""
-    lines = F.transform(F.split(F.col(text), "\n"), lambda x, i: F.struct(i.alias("raw"), x.alias("s")))
-    lines = F.filter(lines, lambda x: x["s"].rlike("[^\\x20\\x09-\\x0D]"))
-    # two codes name a line: 96 bits
-    return docs.select(*[v.alias(k) for k, v in _keys(doc_id, text).items()], F.posexplode(lines).alias("line", "x")).select(
-        *DOC, "line", "x.raw", F.xxhash64("x.s").alias("c1"), F.hash("x.s").alias("c2"), F.size(words(F.col("x.s"))).alias("words"))
+    """(_d, _h, line, raw, c1, c2, words): every line with a word, its place among those and among all lines.
+    Two codes name a line: 96 bits."""
+    keyed = docs.select(*[v.alias(k) for k, v in _keys(doc_id, text).items()], F.col(text).cast("string").alias("text"))
+    return keyed.mapInArrow(_lines, "_d long, _h long, line int, raw int, c1 long, c2 int, words int")
 
 
 def repeated_lines(lines: DataFrame) -> DataFrame:
@@ -133,11 +165,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     rows = docs.drop("n_lines", "deleted_lines", "n_deleted").withColumns(_keys(doc_id, text))
     # texts are dealt out at every size; the hash side is the line numbers
     joined = rows.join(gone.hint("shuffle_hash"), DOC, "left")
-    parts = F.split(F.col(text), "\n")
+    n_lines = F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1
+    parts = F.split(F.col(text), "\n")            # of the texts that lose lines only
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("deleted"))
     # F.transform over the places left keeps the order and is linear in the lines
     kept = F.transform(F.array(parts), lambda p: F.array_join(F.transform(left, lambda i: F.get(p, i)), "\n"))[0]
     return joined.withColumns({
-        "n_lines": F.coalesce(F.size(parts), F.lit(0)).cast("long"), "deleted_lines": F.coalesce("deleted", F.array().cast("array<int>")),
+        "n_lines": F.coalesce(n_lines, F.lit(0)).cast("long"), "deleted_lines": F.coalesce("deleted", F.array().cast("array<int>")),
         text: F.when(F.col("deleted").isNull(), F.col(text)).otherwise(kept)}).withColumn(
         "n_deleted", F.size("deleted_lines").cast("long")).drop(*DOC, "deleted")

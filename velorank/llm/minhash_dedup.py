@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from velorank.llm import textcodes as X
 from velorank.llm.components import connected
-from velorank.session import materialize
+from velorank.operators.sizing import broadcast_bounded
+from velorank.session import materialize, remove_path
 
 SHINGLE = 5                        # words, unless the caller says otherwise
 NUM, DEN = 80, 100                 # link when DEN * |both| >= NUM * |either|
@@ -39,6 +40,7 @@ PIVOTS = 8                         # of a larger tree node
 DEEPEST = 12
 BLOCK_DOCS, BLOCK_BYTES = 500, 16 << 20
 BROADCAST_IDS = 2_000_000          # 16 MB of ids
+BROADCAST_PATHS = 1_000_000        # 8 MB of names of large tree nodes
 _RNG = np.random.default_rng(7)
 _MUL = _RNG.integers(0, 1 << 32, POSITIONS, dtype=np.uint32) | np.uint32(1)
 _ADD = _RNG.integers(0, 1 << 32, POSITIONS, dtype=np.uint32)
@@ -83,7 +85,8 @@ def sketches(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _fixed(sketch: np.ndarray) -> pa.Array:
-    return pa.array([bytes(r) for r in sketch], pa.binary())
+    at = np.arange(len(sketch) + 1, dtype=np.int32) * np.int32(POSITIONS)
+    return pa.Array.from_buffers(pa.binary(), len(sketch), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(sketch).tobytes())])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -278,46 +281,68 @@ def compare_blocks(batches):
 
 
 def candidates(reps: DataFrame) -> DataFrame:
-    """(a, b): nodes whose sketches agree, connected like all agreeing pairs that share a tree node that was compared."""
-    spark = reps.sparkSession
-    level = materialize(reps.select("node", "sketch").mapInArrow(plant, ENTRY), "paths")
+    """(a, b): nodes whose sketches agree, connected like all agreeing pairs that share a tree node that was compared.
+
+    The first entries are worked out again by each pass that needs them, deeper levels are written; a level's tables
+    go once the next one is there."""
+    level, tables = reps.select("node", "sketch").mapInArrow(plant, ENTRY), []
     found = []
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        tables.append(materialize(df, name))
+        return tables[-1]
+
     for depth in range(2, DEEPEST + 1):
-        counts = materialize(level.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "path-counts")
-        sized = level.join(counts, "path")
-        small = sized.where(F.col("n") <= SMALL).drop("n").repartition("path").sortWithinPartitions("path")
+        sizes = write(level.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SMALL).select("path"), "large-names")
+        some_large = sizes.limit(1).count() > 0
+        names = broadcast_bounded(sizes, BROADCAST_PATHS)
+        small = (level.join(names, "path", "left_anti") if some_large else level).repartition("path").sortWithinPartitions("path")
         found.append(materialize(small.mapInArrow(compare_small, LINK), "small-links"))
-        if not counts.where(F.col("n") > SMALL).limit(1).count():
+        if not some_large:
+            _drop(tables)
             break
-        large = materialize(sized.where(F.col("n") > SMALL).drop("n"), "large-paths")
+        large = write(level.join(names, "path", "left_semi"), "large-paths")
         one = large.groupBy("path", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("_i")).agg(F.min(F.struct("node", "sketch")).alias("p"))
-        pivots = materialize(one.groupBy("path").agg(F.array_sort(F.collect_list("p")).alias("p"))   # at most PIVOTS
-                             .select("path", F.col("p.node").alias("pivots"), F.col("p.sketch").alias("pivot_sketches")), "pivots")
-        told = materialize(large.join(pivots, "path").mapInArrow(compare_pivots, ENTRY + ", pivots array<long>, mask int"), "pivot-links")
+        pivots = write(one.groupBy("path").agg(F.array_sort(F.collect_list("p")).alias("p"))   # at most PIVOTS
+                       .select("path", F.col("p.node").alias("pivots"), F.col("p.sketch").alias("pivot_sketches")), "pivots")
+        told = write(large.join(pivots, "path").mapInArrow(compare_pivots, ENTRY + ", pivots array<long>, mask int"), "pivot-links")
         first = F.get("pivots", F.length(F.bin(F.col("mask").bitwiseAND(-F.col("mask")))) - 1)
-        found.append(told.where("mask <> 0").select(F.col("node").alias("a"), first.alias("b")).where("a <> b"))
+        bound = told.where("mask <> 0").select(F.col("node").alias("a"), first.alias("b")).where("a <> b")
+        found.append(materialize(bound.distinct(), "bound-links"))
         joined = told.groupBy("path").agg(F.first("pivots").alias("pivots"), F.collect_set(F.nullif("mask", F.lit(0))).alias("masks"),   # at most 2**PIVOTS
                                             F.count_if(F.col("mask") == 0).alias("loose"))
-        joined = materialize(joined.mapInArrow(join_pivots, "path long, pure boolean, few boolean, a array<long>, b array<long>"), "joined-pivots")
-        found.append(joined.select(F.inline(F.arrays_zip("a", "b"))))
+        joined = write(joined.mapInArrow(join_pivots, "path long, pure boolean, few boolean, a array<long>, b array<long>"), "joined-pivots")
+        found.append(materialize(joined.select(F.inline(F.arrays_zip("a", "b"))), "joined-links"))
         few = joined.where("few").select("path")
         loose = told.where("mask = 0").join(few, "path").groupBy("path").agg(F.collect_list(F.struct("node", "sketch")).alias("l"))   # at most SMALL
-        loose = materialize(loose.select("path", F.col("l.node").alias("loose_nodes"), F.col("l.sketch").alias("loose_sketches")), "loose-rows")
+        loose = write(loose.select("path", F.col("l.node").alias("loose_nodes"), F.col("l.sketch").alias("loose_sketches")), "loose-rows")
         found.append(materialize(told.select("path", "node", "sketch", "mask").join(loose, "path").mapInArrow(compare_loose, LINK).where("a <> b").distinct(), "loose-links"))
         mixed = joined.where("not pure and not few").select("path")
         rest = told.select("path", "node", "sketch").join(mixed, "path")
         if mixed.limit(1).count() == 0:
+            _drop(tables)
             break
         if depth < DEEPEST:
             level = materialize(rest.mapInArrow(branch, ENTRY), "paths")
+            _drop(tables)
+            tables.append(level)
         else:
             found.append(materialize(_block_links(rest), "block-links"))
+            _drop(tables)
     out = found[0]
     for f in found[1:]:
         out = out.union(f)
     return out.distinct()
 
 
+def _drop(tables: list[DataFrame]) -> None:
+    """Remove written tables that nothing reads any more."""
+    for t in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            remove_path(t.sparkSession, folder)
+    tables.clear()
+
+
 def _block_links(rest: DataFrame) -> DataFrame:
     """All pairs of blocks of each path's documents."""
     rest = materialize(rest, "deep-paths")
