@@ -465,7 +465,7 @@ ORACLES["grid_search_families"] = with_ctes(("repos", REPOS_SQL), ("cfg", _famil
     "SELECT model_name, config_id, true AS r2_floor FROM cfg WHERE (SELECT count(*) FROM repos) > 0"
 ORACLES["results_table"] = with_ctes(("repos", REPOS_SQL)) + """
 SELECT model_name, true AS r2_floor, true AS same_after_reload, true AS winner_in_metadata
-FROM (VALUES ('LinearRegression'), ('Ridge')) t(model_name) WHERE (SELECT count(*) FROM repos) > 0"""
+FROM (VALUES ('LinearRegression'), ('Ridge'), ('RandomForest'), ('ExtraTrees'), ('GradientBoosting'), ('HistGradientBoosting')) t(model_name) WHERE (SELECT count(*) FROM repos) > 0"""
 ORACLES["ranked_predictions"] = with_ctes(("repos", REPOS_SQL)) + \
     "SELECT pos, full_name, true AS in_range, true AS rank_in_range FROM repos"
 

@@ -824,18 +824,18 @@ def q_ranked_scores(spark, sf_dir):
     return ranked.select("rank", "pos", "full_name", F.round("predicted_stars", 2).alias("predicted_stars"))
 
 
-def _grid_trials(spark, sf_dir):
-    from velorank.plans.training import grid_configs, grid_search
+def _grid_trials(spark, sf_dir, jobs):
+    from velorank.plans.training import grid_search
     ds, train, test = _train_test(spark, sf_dir)
-    jobs = grid_configs(["LinearRegression", "Ridge"])
-    return ds, train, test, grid_search(train, ds.feature_columns, jobs, "fold", 5, parallelism=4)
+    return ds, train, test, grid_search(train, ds.feature_columns, jobs, "fold", 5)
 
 
 @query("grid_search")
 def q_grid_search(spark, sf_dir):
     """M1 + M2 + M10: 5-fold CV mean R^2 of the linear families' grid
     (the reference's per-family run), one trial record per config."""
-    _, _, _, trials = _grid_trials(spark, sf_dir)
+    from velorank.plans.training import LINEAR, grid_configs
+    _, _, _, trials = _grid_trials(spark, sf_dir, grid_configs(LINEAR))
     return _checked_trials(trials)
 
 
@@ -846,20 +846,20 @@ def _checked_trials(trials):
 @query("grid_search_families")
 def q_grid_search_families(spark, sf_dir):
     """One config of each of the six families through the same search."""
-    from velorank.plans.training import CHECKED_CONFIGS, grid_search
-    ds, train, _ = _train_test(spark, sf_dir)
-    return _checked_trials(grid_search(train, ds.feature_columns, CHECKED_CONFIGS, "fold", 5, parallelism=4))
+    from velorank.plans.training import CHECKED_CONFIGS
+    return _checked_trials(_grid_trials(spark, sf_dir, CHECKED_CONFIGS)[3])
 
 
 @query("results_table")
 def q_results_table(spark, sf_dir):
-    """M11 + S6 + S8 + S9: trial records appended and scanned back, winners
-    refit on train and scored on test, the overall winner saved and loaded
-    back, results and metadata written."""
-    from velorank.plans.training import load_model, save_model, select_best
+    """M11 + S6 + S8 + S9: trial records of all six families appended and scanned
+    back, winners refit on train and scored on test, the overall winner saved and
+    loaded back, results and metadata written."""
+    from velorank.plans.training import CHECKED_CONFIGS, LINEAR, grid_configs, load_model, save_model, select_best
     from velorank.session import scratch_path
     from velorank.sources.files import read_metadata, scan_trials, write_metadata, write_results, write_trials
-    ds, train, test, trials = _grid_trials(spark, sf_dir)
+    jobs = grid_configs(LINEAR) + [c for c in CHECKED_CONFIGS if c["model_name"] not in LINEAR]
+    ds, train, test, trials = _grid_trials(spark, sf_dir, jobs)
     trials_path = scratch_path(spark, "trials")
     write_trials(trials, trials_path)
     results, winner, model = select_best(scan_trials(spark, trials_path), train, test, ds.feature_columns)
@@ -888,9 +888,8 @@ DEPLOYMENT_TIME = "2002-01-01T00:00:00+00:00"
 @query("ranked_predictions")
 def q_ranked_predictions(spark, sf_dir):
     """M12 + O1: the whole table scored by the selected model and ranked."""
-    from velorank.plans.training import grid_configs, grid_search, score_table, select_best
-    ds, train, test = _train_test(spark, sf_dir)
-    trials = grid_search(train, ds.feature_columns, grid_configs(["Ridge"]), "fold", 5, parallelism=4)
+    from velorank.plans.training import CHECKED_CONFIGS, score_table, select_best
+    ds, train, test, trials = _grid_trials(spark, sf_dir, CHECKED_CONFIGS)
     _, _, model = select_best(trials, train, test, ds.feature_columns)
     feats = features_df(spark, sf_dir)
     meta = ds.meta()
