@@ -360,3 +360,11 @@ def test_wrapper_is_a_union_free_expression():
     a, b = (html_extract.fold(html_extract.parse(p)[0]) for p in ("<h1>t</h1><ul><li>a</li></ul>", "<h1>t</h1><ul><li>a</li><li>b</li><li>c</li></ul><hr>"))
     w = html_extract.merge(*[[{"k": k, "opt": False, "n": 1 if s else 0, "same": None} for k, s in x] for x in (a, b)])
     assert ("+", ("li", "#1", "/li")) in [x["k"] for x in w] and [x["k"] for x in w if x["opt"]] == ["hr"]
+
+
+def test_lm_counts_in_one_pass_equal_two(spark, documents):
+    docs = documents.select("doc_id", "text").limit(60)
+    once = lm_score.score_documents(docs, learns=lm_score.learned()).collect()
+    twice = lm_score.score_documents(docs, lm_score.training_rows(docs)).collect()
+    told = lambda rows: {r["doc_id"]: (r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in rows}
+    assert told(once) == told(twice) and len(once) == docs.count()

@@ -28,7 +28,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 
 from velorank.llm import textcodes as X
 from velorank.llm.common import remainder
@@ -62,31 +63,47 @@ def _gram_codes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return code[real[DEPTH:]]
 
 
-def _counted(rows: DataFrame, text: str, kinds: tuple[int, ...]) -> DataFrame:
+def _counted(rows: DataFrame, text: str, learns: Column, asks: Column) -> DataFrame:
+    """(kind, code, n, m): byte grams of the texts that the model learns from (n) and is asked for (m), in one pass;
+    words of the learned texts."""
+    schema = "kind int, code long, n long, m long"
+
     def run(batches):
-        counters = {k: X.Counter() for k in kinds}
+        counters = {(kind, l, a): X.Counter() for kind, l, a in [(GRAMS, 1, 1), (GRAMS, 1, 0), (GRAMS, 0, 1), (WORDS, 1, 0)]}
 
-        def out(kind, got):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(got[0]), kind, np.int32)), pa.array(got[0].view(np.int64)), pa.array(got[1].astype(np.int64))],
-                ["kind", "code", "n"])
+        def out(key, got):
+            kind, l, a = key
+            n = got[1].astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), pa.array(got[0].view(np.int64)), pa.array(n * l), pa.array(n * a)],
+                                              ["kind", "code", "n", "m"])
 
         for b in batches:
-            for _, _, data, offsets in X.chunks(b.column(0)):
-                for kind, c in counters.items():
-                    c.add(_gram_codes(data, offsets) if kind == GRAMS else X.word_codes(data, offsets)[0])
-                    if c.full() and (got := c.drain()):
-                        yield out(kind, got)
-        for kind, c in counters.items():
+            for l, a in ((1, 1), (1, 0), (0, 1)):
+                own = b.filter(pc.and_(pc.equal(b.column(1), bool(l)), pc.equal(b.column(2), bool(a))))
+                for _, _, data, offsets in X.chunks(own.column(0)):
+                    counters[GRAMS, l, a].add(_gram_codes(data, offsets))
+                    if l:
+                        counters[WORDS, 1, 0].add(X.word_codes(data, offsets)[0])
+                    for key, c in counters.items():
+                        if c.full() and (got := c.drain()):
+                            yield out(key, got)
+        for key, c in counters.items():
             if got := c.drain():
-                yield out(kind, got)
+                yield out(key, got)
 
-    return rows.select(text).mapInArrow(run, "kind int, code long, n long").groupBy("kind", "code").agg(F.sum("n").alias("n"))
+    told = lambda c: F.coalesce(c, F.lit(False))
+    return rows.select(F.col(text).alias("t"), told(learns).alias("l"), told(asks).alias("a")).mapInArrow(run, schema)
 
 
-def count_corpus(train: DataFrame, text: str = "text") -> DataFrame:
-    """(kind, code, n): counts of all byte grams and all words of the training texts, written."""
-    return materialize(_counted(train, text, (GRAMS, WORDS)), "lm-counts")
+def count_corpus(docs: DataFrame, text: str = "text", train: DataFrame | None = None, learns: Column | None = None) -> DataFrame:
+    """(kind, code, n, m): counts of all byte grams and words of the training texts (n), and of the grams of
+    ``docs`` (m), written.  The training texts are ``train``, or the ``docs`` where ``learns`` holds, read once."""
+    yes, no = F.lit(True), F.lit(False)
+    if train is None:
+        parts = _counted(docs, text, yes if learns is None else learns, yes)
+    else:
+        parts = _counted(train, text, yes, no).unionByName(_counted(docs, text, no, yes))
+    return materialize(parts.groupBy("kind", "code").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "lm-counts")
 
 
 @dataclass
@@ -151,8 +168,10 @@ def _log10_of(code: np.ndarray, levels: list[dict[int, Level]]) -> np.ndarray:
     return out
 
 
-def gram_logs(trained: DataFrame, asked: DataFrame) -> DataFrame:
-    """(code, n, log10) of every gram of ``asked`` (code, n) under the tree of all grams of ``trained`` (code, n), written."""
+def gram_logs(grams: DataFrame) -> DataFrame:
+    """(code, n, log10) of every gram asked for (m > 0) under the tree of all learned ones (n > 0) of the written
+    ``grams`` (code, n, m), written; the result's n is m."""
+    trained = grams.where("n > 0")
     groups = max(64, trained.count() // GROUP)
     group = F.pmod(F.xxhash64(F.shiftrightunsigned("code", 8).bitwiseAND((1 << 8 * TOP) - 1)), F.lit(groups)).alias("group")
 
@@ -181,8 +200,7 @@ def gram_logs(trained: DataFrame, asked: DataFrame) -> DataFrame:
         levels = [{**_subtree(code[seen], n[seen].astype(np.float64), bit), **shared.value[bit]} for bit in range(8)]
         return pa.table({"code": pa.array(code[want]), "n": pa.array(m[want]), "log10": pa.array(_log10_of(code[want], levels))})
 
-    both = trained.select(group, "code", "n", F.lit(0).cast("long").alias("m")).unionByName(
-        asked.select(group, "code", F.lit(0).cast("long").alias("n"), F.col("n").alias("m")))
+    both = grams.select(group, "code", "n", "m")
     return materialize(both.groupBy("group").applyInArrow(logs, "code long, n long, log10 double"), "lm-gram-logs")
 
 
@@ -396,16 +414,17 @@ def _looked_up(codes: np.ndarray, at: np.ndarray, known: np.ndarray, logs: np.nd
             pa.ListArray.from_arrays(start, pa.array(rare[new].view(np.int64))), pa.ListArray.from_arrays(start, pa.array(times)))
 
 
-def score_documents(docs: DataFrame, train: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
+def score_documents(docs: DataFrame, train: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text",
+                    learns: Column | None = None) -> DataFrame:
+    """One row per document of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
+    The model learns from ``train``, or from the ``docs`` where ``learns`` holds (all texts are then counted once)."""
     spark = docs.sparkSession
-    counts = count_corpus(train, text)
-    asked = _counted(docs, text, (GRAMS,)).select("code", "n")
-    grams = gram_logs(counts.where(F.col("kind") == GRAMS).select("code", "n"), asked)
+    counts = count_corpus(docs, text, train, learns)
+    grams = gram_logs(counts.where(F.col("kind") == GRAMS).select("code", "n", "m"))
     frequent = _frequent(grams)
-    words = counts.where(F.col("kind") == WORDS).select("code", "n")
+    words = counts.where((F.col("kind") == WORDS) & (F.col("n") > 0)).select("code", "n")
     told = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    ends = train.count()
+    ends = (train if train is not None else docs if learns is None else docs.where(learns)).count()
     tokens, distinct = (told["n"] or 0) + ends, told["v"] + (ends > 0)
     common = words.where(F.col("n") >= max(tokens * COMMON_SHARE, 1)).toArrow()   # at most 1 / COMMON_SHARE rows
     codes = common.column("code").to_numpy().view(np.uint64)
@@ -451,5 +470,9 @@ def score_documents(docs: DataFrame, train: DataFrame, doc_id: str = "doc_id", t
         (-score / (math.log10(2) * (F.col("n_bytes") + 1))).alias("bits_per_byte"))
 
 
+def learned(doc_id: str = "doc_id", mod: int = 10, held: int = 0) -> Column:
+    return F.coalesce(remainder(F.col(doc_id), mod) != held, F.lit(False))
+
+
 def training_rows(docs: DataFrame, mod: int = 10, held: int = 0, doc_id: str = "doc_id") -> DataFrame:
-    return docs.where(remainder(F.col(doc_id), mod) != held)
+    return docs.where(learned(doc_id, mod, held))

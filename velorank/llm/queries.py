@@ -37,7 +37,7 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from velorank.llm import lm_score as M
     from velorank.llm.common import remainder
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = M.score_documents(docs, M.training_rows(docs))
+    scored = M.score_documents(docs, learns=M.learned())
     return scored.withColumn("held_out", F.coalesce(remainder(F.col("doc_id"), 10) == 0, F.lit(False)))
 
 
