@@ -37,6 +37,7 @@ from velorank.session import materialize
 
 DEPTH = 6                          # at most 7: a context and a byte are one 64-bit code
 TOP = 2                            # last context bytes that keep a subtree together
+HELD_CODES = 5 << 18               # counted codes a task holds at once
 TABLE = 1 << 21                    # grams that every task holds
 GROUP = 1 << 16                    # grams weighted together, unless one subtree has more
 MIN_SHARE = 2.0 ** -16             # of tree_counts only
@@ -84,8 +85,9 @@ def _counted(rows: DataFrame, text: str, learns: Column, asks: Column) -> DataFr
                     counters[GRAMS, l, a].add(_gram_codes(data, offsets))
                     if l:
                         counters[WORDS, 1, 0].add(X.word_codes(data, offsets)[0])
-                    for key, c in counters.items():
-                        if c.full() and (got := c.drain()):
+                    if sum(c.size for c in counters.values()) > HELD_CODES:
+                        key, c = max(counters.items(), key=lambda x: x[1].size)
+                        if got := c.drain():
                             yield out(key, got)
         for key, c in counters.items():
             if got := c.drain():
