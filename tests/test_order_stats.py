@@ -1,4 +1,4 @@
-"""Order statistics by counting, against sorted lists."""
+"""Order statistics by bracketing, against sorted lists."""
 
 import random
 
@@ -27,3 +27,15 @@ def test_kth_values(spark, span):
 def test_rank_beyond_the_rows_raises(spark):
     with pytest.raises(ValueError):
         kth_values(spark.createDataFrame([(1,), (2,)], "v long"), F.col("v"), {None: [3]})
+
+
+def test_many_rows_of_few_values(spark, monkeypatch):
+    from velorank.operators import order_stats
+    monkeypatch.setattr(order_stats, "READ", 3)
+    values = [5] * 4000 + [9] * 4000 + [6, 7, 7, 8] + list(range(100, 2100))
+    df = spark.createDataFrame([(v,) for v in values], "v long").repartition(7)
+    ranks = [1, 3999, 4000, 4001, 4002, 4004, 4005, 8004, 8005, 9000, len(values)]
+    got = kth_values(df, F.col("v"), {None: ranks})
+    values.sort()
+    assert {r: v for (_, r), (v, _) in got.items()} == {r: values[r - 1] for r in ranks}
+    assert all(below == sum(x < v for x in values) for v, below in got.values())

@@ -78,11 +78,11 @@ def assign_folds(train: DataFrame, key_col: str = "full_name", seed: int = 0, k:
 
     The k - 1 cut points come from exact order statistics; the fold is then
     a comparison with literals: no sort, no join, no row multiplied."""
-    keys = materialize(train.select(key_col, tiebreak), "fold-keys")
+    u, t = hash_order(F.col(key_col), seed), F.col(tiebreak)
+    keys = materialize(train.select(u.alias("_u"), t.alias("_t")), "fold-keys")     # hashed once
     n = keys.count()
     ends = [r for r in _fold_ends(n, k)[:-1] if 0 < r < n]
-    u, t = hash_order(F.col(key_col), seed), F.col(tiebreak)
-    cuts = cut_points(keys, u, t, {None: sorted(set(ends))}) if ends else {}
+    cuts = cut_points(keys, F.col("_u"), F.col("_t"), {None: sorted(set(ends))}) if ends else {}
     fold = sum((after(u, t, cuts[None, r]).cast("int") for r in ends), F.lit(0))
     return train.withColumn(fold_col, fold.cast("int"))
 
@@ -104,19 +104,24 @@ def stratified_cuts(df: DataFrame, target: str, n: int, q: int, key_col: str, ti
     buckets in (target, tiebreak) order, the split at each bucket's quota in
     hash order; both cuts are exact order statistics of narrow columns."""
     y, t, u = F.coalesce(F.col(target).cast("long"), F.lit(-1)), F.col(tiebreak), hash_order(F.col(key_col), seed)
+    narrow = materialize(df.select(y.alias("_y"), t.alias("_t"), u.alias("_u")), "split-keys")     # hashed once
     counts = qcut_counts(n, q)
     ends, at = [], 0
     for b in sorted(counts):
         at += counts[b]
         ends.append(at)
     inner = ends[:-1]
-    cuts = cut_points(df, y, t, {None: inner}) if inner else {}
-    place = sum((after(y, t, cuts[None, r]).cast("int") for r in inner), F.lit(0))
+    cuts = cut_points(narrow, F.col("_y"), F.col("_t"), {None: inner}) if inner else {}
     order = sorted(counts)
-    bucket = F.element_at(F.array(*[F.lit(b) for b in order or [0]]), place + 1).cast("int")
+
+    def bucket_of(y: Column, t: Column) -> Column:
+        place = sum((after(y, t, cuts[None, r]).cast("int") for r in inner), F.lit(0))
+        return F.element_at(F.array(*[F.lit(b) for b in order or [0]]), place + 1).cast("int")
+
+    bucket = bucket_of(y, t)
     quotas = train_quotas(counts, test_size) if n else {}
     wanted = {b: [m] for b, m in quotas.items() if m}
-    last = cut_points(df, u, t, wanted, bucket) if wanted else {}
+    last = cut_points(narrow, F.col("_u"), F.col("_t"), wanted, bucket_of(F.col("_y"), F.col("_t"))) if wanted else {}
     train = F.lit(False)
     for b, ranks in wanted.items():
         train = train | ((bucket == b) & ~after(u, t, last[b, ranks[0]]))

@@ -439,21 +439,19 @@ def q_global_rank(spark, sf_dir):
     return ranked
 
 
-def _strata(spark, sf_dir, cols=("pos", "full_name", "stargazers_count")):
-    from velorank.operators.rank import global_rank, qcut_bucket
-    ranked, n = global_rank(repos(spark, sf_dir).select(*cols), ["stargazers_count", "pos"], "_r")
-    return ranked.withColumn("bucket", qcut_bucket(F.col("_r"), n, 5)).drop("_r")
+def _split(spark, sf_dir):
+    """Strata and split by the cut points that the dataset build uses."""
+    from velorank.operators.split import stratified_cuts
+    from velorank.session import materialize
+    r = materialize(repos(spark, sf_dir).select("pos", "full_name", "stargazers_count"), "split-rows")
+    bucket, part = stratified_cuts(r, "stargazers_count", r.count(), 5, "full_name", "pos", 0.2, SEED)
+    return r.select("*", bucket.alias("bucket"), part.alias("split"))
 
 
 @query("rank_buckets")
 def q_rank_buckets(spark, sf_dir):
     """Equal-frequency strata of the rank (qcut, not ntile)."""
-    return _strata(spark, sf_dir).select("pos", "bucket")
-
-
-def _split(spark, sf_dir):
-    from velorank.operators.split import stratified_split
-    return stratified_split(_strata(spark, sf_dir), "bucket", "full_name", 0.2, SEED)
+    return _split(spark, sf_dir).select("pos", "bucket")
 
 
 @query("stratified_split")
