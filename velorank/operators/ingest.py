@@ -13,6 +13,7 @@ from pyspark.sql.window import Window as W
 
 from velorank.functions.features import epoch_seconds, non_empty_or
 from velorank.operators.rank import null_safe_join
+from velorank.session import materialize
 from velorank.sources.schema import PAGE_SCHEMA
 
 # Fixed value: nodes per API page.
@@ -98,6 +99,45 @@ def pages_quarantine(pages: DataFrame, query_col: str = "query", page_col: str =
     return whole.unionByName(lacking.where(F.col("reason").isNotNull()))
 
 
+def page_chain(pages: DataFrame, query_col: str = "query", page_col: str = "page_no", body_col: str = "body") -> DataFrame:
+    """S3: (query, page, fault) of every break in the captured page chains; a whole chain gives no row.
+
+    ``repeated``: the page was captured more than once.  ``no successor``: it says that there is a next
+    page, which is not there (the last page of a truncated chain, or the page before a gap).  ``no
+    predecessor``: a page above 0 whose predecessor is not there.  ``after the end``: its predecessor says
+    that it is the last.  ``no cursor``: it has a next page but no cursor to it.  ``same cursor``: its
+    cursor is its predecessor's, so following it would loop.
+
+    A page that can't be read has no next page and no cursor; a null page number is left out; of a
+    repeated page, a capture with a next page counts before one without, then the smallest cursor hash.
+
+    Every page is sent to its own place and to its neighbours' and one hash aggregate over fixed-width
+    values meets them: no window, so a query with a third of all pages is spread over all tasks."""
+    info = F.from_json(body_col, "data struct<search: struct<pageInfo: struct<hasNextPage: boolean, endCursor: string>>>")["data"]["search"]["pageInfo"]
+    page = F.col(page_col).cast("long")
+    narrow = pages.where(page.isNotNull()).select(
+        F.col(query_col), page.alias("_page"), F.coalesce(info["hasNextPage"], F.lit(False)).alias("_next"),
+        F.when(info["endCursor"].isNotNull(), F.xxhash64(info["endCursor"])).alias("_cursor"))
+    places = F.array(*[F.struct(F.lit(d).alias("_from"), (F.col("_page") - d).alias("_at")) for d in (-1, 0, 1)])
+    spread = narrow.select(query_col, "_next", "_cursor", F.inline(places))
+    own, before = F.col("_from") == 0, F.col("_from") == -1
+    met = spread.groupBy(query_col, "_at").agg(
+        F.count(F.when(own, 1)).alias("_n"), F.count(F.when(before, 1)).alias("_before"), F.count(F.when(F.col("_from") == 1, 1)).alias("_after"),
+        F.max(F.when(own, F.col("_next"))).alias("_own_next"), F.min(F.when(own, F.col("_cursor"))).alias("_own_cursor"),
+        F.max(F.when(before, F.col("_next"))).alias("_before_next"), F.min(F.when(before, F.col("_cursor"))).alias("_before_cursor"))
+    c = F.col
+    faults = {
+        "repeated": c("_n") > 1,
+        "no successor": c("_own_next") & (c("_after") == 0),
+        "no predecessor": (c("_at") > 0) & (c("_before") == 0),
+        "after the end": (c("_before") > 0) & ~c("_before_next"),
+        "no cursor": c("_own_next") & c("_own_cursor").isNull(),
+        "same cursor": c("_own_next") & (c("_own_cursor") == c("_before_cursor")),
+    }
+    listed = F.filter(F.array(*[F.when(when, F.lit(name)) for name, when in faults.items()]), lambda x: x.isNotNull())
+    return met.where(c("_n") > 0).select(query_col, c("_at").alias(page_col), F.explode(listed).alias("fault"))
+
+
 def pages_to_rows(pages: DataFrame, max_repos: int | None = None, query_col: str = "query",
                   page_col: str = "page_no", body_col: str = "body", strict: bool = True) -> DataFrame:
     """S3: captured search pages (JSON text) -> one flat row per non-null
@@ -108,8 +148,10 @@ def pages_to_rows(pages: DataFrame, max_repos: int | None = None, query_col: str
     here and ``pages_quarantine`` lists it.
 
     Which nodes are wanted is found from per-page counts of non-null nodes
-    and a running sum over a query's pages; only wanted nodes are exploded,
-    so nested nodes never travel through a shuffle."""
+    and a running sum over a query's pages; only wanted nodes are exploded.
+    With ``max_repos`` the parsed pages are written once (under the shared
+    checkpoint folder) and the counts read from there, so no body is parsed
+    twice and a page that fails does so here."""
     read = read_pages(pages, body_col)
     if strict:
         bad = F.col("page_problem")
@@ -121,7 +163,9 @@ def pages_to_rows(pages: DataFrame, max_repos: int | None = None, query_col: str
                       lambda x: x["node"].isNotNull() if strict else x["node"].isNotNull() & node_problem(x["node"]).isNull())
     read = read.select(query_col, page_col, usable.alias("nodes"))
     if max_repos:
-        counts = read.select(query_col, page_col, F.size("nodes").cast("long").alias("n"))
+        read = materialize(read.withColumn("_n", F.size("nodes").cast("long")), "parsed-pages")
+        counts = read.select(query_col, page_col, F.col("_n").alias("n"))
+        read = read.drop("_n")
         before = W.partitionBy(query_col).orderBy(page_col).rowsBetween(W.unboundedPreceding, -1)
         counts = counts.withColumn("_left", F.lit(max_repos) - F.coalesce(F.sum("n").over(before), F.lit(0))) \
             .where(F.col("_left") > 0).drop("n")

@@ -117,6 +117,14 @@ JOIN bands b ON r.stargazers_count >= b.lo AND (b.hi IS NULL OR r.stargazers_cou
 ORACLES["band_join"] = with_ctes(("repos", REPOS_SQL), ("bands", BANDS_SQL), ("banded", BANDED_SQL)) + \
     "SELECT pos, stargazers_count, band, lo, hi, label FROM banded"
 
+ORACLES["band_intervals"] = with_ctes(("repos", REPOS_SQL), ("b", """
+SELECT c_custkey AS band, cast(floor(abs(c_acctbal) * 7) AS BIGINT) AS lo,
+       CASE WHEN c_custkey % 500 <> 0 THEN cast(floor(abs(c_acctbal) * 7) AS BIGINT) + (c_custkey % 20) * (c_custkey % 20) END AS hi
+FROM customer""")) + """
+SELECT b.band, b.lo, cast(b.hi AS BIGINT) AS hi, count(r.pos) AS n, cast(coalesce(sum(r.stargazers_count), 0) AS BIGINT) AS stars
+FROM b LEFT JOIN repos r ON r.stargazers_count >= b.lo AND r.stargazers_count <= coalesce(b.hi, 9223372036854775807)
+GROUP BY b.band, b.lo, b.hi"""
+
 ORACLES["band_filter"] = with_ctes(("repos", REPOS_SQL)) + \
     "SELECT pos, stargazers_count FROM repos WHERE stargazers_count BETWEEN 1600 AND 3199"
 
@@ -346,6 +354,28 @@ SELECT pos, owner, row_number() OVER (PARTITION BY owner ORDER BY stargazers_cou
 ORACLES["trials_latest"] = with_ctes(("repos", REPOS_SQL), ("t", TRIALS_SQL)) + \
     f"SELECT model_name, config_id, {r6('cv_r2')} AS cv_r2 FROM t"
 
+ORACLES["page_chain"] = with_ctes(("repos", REPOS_SQL), ("bands", BANDS_SQL), ("c", """
+SELECT b.lo, b.hi, count(*) AS n FROM repos r
+JOIN bands b ON r.stargazers_count >= b.lo AND (b.hi IS NULL OR r.stargazers_count <= b.hi) GROUP BY b.lo, b.hi"""),
+    ("every", """
+SELECT CASE WHEN hi IS NULL THEN concat('stars:>=', cast(lo AS VARCHAR))
+            ELSE concat('stars:', cast(lo AS VARCHAR), '..', cast(hi AS VARCHAR)) END AS query,
+       (n + 39) // 40 - 1 AS last_page, unnest(range((n + 39) // 40)) AS page_no FROM c"""),
+    ("p", """
+SELECT query, page_no, page_no < last_page AND page_no % 11 <> 7 AS has_next, page_no % 10 = 2 AS twice,
+       CASE WHEN page_no % 11 <> 7 AND page_no % 8 >= 6 THEN 'stuck' ELSE cast(page_no AS VARCHAR) END AS cursor
+FROM every WHERE page_no % 9 <> 4"""),
+    ("j", """
+SELECT p.*, prev.page_no IS NOT NULL AS has_prev, prev.has_next AS prev_next, prev.cursor AS prev_cursor,
+       nxt.page_no IS NOT NULL AS has_nxt
+FROM p LEFT JOIN p prev ON prev.query = p.query AND prev.page_no = p.page_no - 1
+       LEFT JOIN p nxt ON nxt.query = p.query AND nxt.page_no = p.page_no + 1""")) + """
+SELECT query, page_no, 'repeated' AS fault FROM j WHERE twice
+UNION ALL SELECT query, page_no, 'no successor' FROM j WHERE has_next AND NOT has_nxt
+UNION ALL SELECT query, page_no, 'no predecessor' FROM j WHERE page_no > 0 AND NOT has_prev
+UNION ALL SELECT query, page_no, 'after the end' FROM j WHERE has_prev AND NOT prev_next
+UNION ALL SELECT query, page_no, 'same cursor' FROM j WHERE has_next AND cursor = prev_cursor"""
+
 ORACLES["pages_quarantine"] = with_ctes(("repos", REPOS_SQL), ("bands", BANDS_SQL), ("c", """
 SELECT b.lo, b.hi, count(*) AS n FROM repos r
 JOIN bands b ON r.stargazers_count >= b.lo AND (b.hi IS NULL OR r.stargazers_count <= b.hi) GROUP BY b.lo, b.hi"""),

@@ -213,6 +213,23 @@ def q_band_join(spark, sf_dir):
     return assign_band(repos(spark, sf_dir).select("pos", "stargazers_count")).where(F.col("band").isNotNull())
 
 
+@query("band_intervals")
+def q_band_intervals(spark, sf_dir):
+    """J1 for bands held as a table: one uneven band per customer, overlapping, some open, some of one
+    value; entities and stars in each, empty bands kept."""
+    from velorank.operators.interval import interval_join
+    from velorank.session import read_table
+    key = F.col("c_custkey")
+    lo = F.floor(F.abs(F.col("c_acctbal")) * 7).cast("long")
+    bands = read_table(spark, sf_dir, "customer").select(
+        key.alias("band"), lo.alias("lo"),
+        F.when(key % 500 != 0, lo + (key % 20) * (key % 20)).cast("long").alias("hi"))
+    hits = interval_join(repos(spark, sf_dir).select("stargazers_count"), bands, "stargazers_count")
+    inside = hits.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum("stargazers_count").alias("stars"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    return bands.join(inside, "band", "left").select("band", "lo", "hi", zero("n"), zero("stars"))
+
+
 @query("band_filter")
 def q_band_filter(spark, sf_dir):
     """entities of one band (1600..3199), predicate pushed to the scan."""
@@ -264,11 +281,11 @@ def _shard_schema():
 def q_dedupe_first(spark, sf_dir):
     """W1 + S2: shards written per band, read back in (path, line) order,
     first record per name wins (not the freshest)."""
-    from velorank.operators.dedupe import keep_first
+    from velorank.operators.dedupe import keep_first_line
     from velorank.sources.files import scan_shards
     path = _write_dup_shards(spark, sf_dir, "dedupe-shards")
     df = scan_shards(spark, path, _shard_schema())
-    first = keep_first(df.select("full_name", "pos", "stargazers_count", "forks_count",
+    first = keep_first_line(df.select("full_name", "pos", "stargazers_count", "forks_count",
                                  "_src_path", "_src_block", "_src_row"), "full_name")
     return first.select("pos", "full_name", "stargazers_count", "forks_count")
 
@@ -289,7 +306,7 @@ def q_scan_shards(spark, sf_dir):
 def q_merge_shards(spark, sf_dir):
     """§2.8: union-all of two shard sets with different optional keys
     (one carries contributor_count), then first-wins dedupe."""
-    from velorank.operators.dedupe import keep_first, union_shards
+    from velorank.operators.dedupe import keep_first_line, union_shards
     from velorank.session import read_table, scratch_path
     from velorank.sources.files import scan_shards, write_shards
     from velorank.sources.fixtures import repos_with_duplicates
@@ -307,7 +324,7 @@ def q_merge_shards(spark, sf_dir):
     sa = scan_shards(spark, f"{base}/a", _shard_schema())
     sb = scan_shards(spark, f"{base}/b", schema_b)
     merged = union_shards([sb.drop("_synthetic"), sa.drop("_synthetic")])
-    first = keep_first(merged.select("full_name", "pos", "stargazers_count", "contributor_count",
+    first = keep_first_line(merged.select("full_name", "pos", "stargazers_count", "contributor_count",
                                      "_src_path", "_src_block", "_src_row"), "full_name")
     return first.select("pos", "full_name", "stargazers_count", "contributor_count")
 
@@ -346,6 +363,19 @@ def q_pages_to_rows(spark, sf_dir):
     return rows.drop("page_no", "node_idx")
 
 
+@query("page_chain")
+def q_page_chain(spark, sf_dir):
+    """S3: captured pages with some left out, captured twice, cut off or stuck at a cursor: every fault of the chain."""
+    from velorank.operators.ingest import page_chain
+    from velorank.sources.derived import search_pages
+    page = F.col("page_no")
+    pages = search_pages(repos(spark, sf_dir)).where(page % 9 != 4)
+    stuck = F.regexp_replace("body", "cursor:[0-9]+", "cursor:stuck")
+    pages = pages.withColumn("body", F.when(page % 11 == 7, F.regexp_replace("body", '"hasNextPage":true', '"hasNextPage":false'))
+                             .when(page % 8 >= 6, stuck).otherwise(F.col("body")))
+    return page_chain(pages.unionByName(pages.where(page % 10 == 2)))
+
+
 @query("pages_quarantine")
 def q_pages_quarantine(spark, sf_dir):
     """F4 for S3: truncated, failed and empty pages are listed with their reason."""
