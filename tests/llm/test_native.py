@@ -78,6 +78,22 @@ def test_bad_host_takes_its_documents(spark):
     assert got[1] and not got[0] and not got[1000] and got[5000]
 
 
+def test_host_is_judged_against_the_corpus(spark):
+    """Among the driver's hosts, a middling and a hot one (a third of all rows) that fail four documents in five go; one of five
+    documents at that rate is not sure enough, and no host of the table itself is condemned."""
+    good = " ".join(f"word{i}" for i in range(60))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source")
+    hosts = {r[0] for r in docs.select("source").distinct().collect()}
+    made = [(host, i, i % 5 < 4) for host, n in (("hot", docs.count() // 2), ("worse", 100), ("few", 5)) for i in range(n)]
+    more = spark.createDataFrame([(10**6 + i, "short" if short else good, host) for i, (host, _, short) in enumerate(made)], docs.schema)
+    def bad(rows):
+        got = host_quality.judge_documents(rows).groupBy("host").agg(F.max("host_bad").alias("bad")).collect()
+        return {r["host"] for r in got if r["bad"]}
+    assert bad(docs) == set() and len(hosts) > 5
+    assert bad(docs.unionByName(more.where("source <> 'hot'"))) == {"worse"}
+    assert "hot" in (gone := bad(docs.unionByName(more))) and not gone & (hosts | {"few"})
+
+
 def brute_fill(budget, caps, weights):
     """Water filling in fractions, by repeated shares."""
     from fractions import Fraction as Q

@@ -2,7 +2,8 @@
 
 Every document is measured by built-in expressions and checked against document rules; the
 failures of each rule are summed by host, every host's failure rate is shrunk towards the corpus
-by an empirical beta prior, and a host whose shrunk rate is too high takes its documents with it.
+by an empirical beta prior, and a host takes its documents with it if its rate of some rule is surely (``SURE`` deviations of its
+posterior) above what ``HOST_ODDS`` times the corpus's odds come to.
 
 A document is kept unless it fails a rule itself or its host's verdict is bad.  Texts that are
 null or blank have no words and fail the first rule.  A null host is a host of its own for the
@@ -22,7 +23,9 @@ SYMBOLS = "#*$%&|<>"
 MAX_SYMBOLS_PER_100_WORDS = 10
 MAX_DUP_LINE_PERCENT = 30
 MEAN_WORD = (2, 15)                # characters
-MAX_HOST_RATE = 0.5                # shrunk share of a host's documents that may fail one rule
+HOST_ODDS = 10                     # a bad host's odds of failing one rule, in odds of the corpus
+HOST_RATE = (0.2, 0.5)             # the limit that follows from them lies between these
+SURE = 2                           # standard deviations of the posterior that a bad host lies above its limit
 BLANKS = " \t\n\x0b\x0c\r"
 
 RULES = ["fail_short", "fail_repeats", "fail_symbols", "fail_dup_lines", "fail_word_length"]
@@ -84,15 +87,26 @@ def host_verdicts(measured: DataFrame, host: str) -> DataFrame:
         (F.sum(r) / F.sum("_n")).alias(f"{r}_m"), F.var_pop(F.col(r) / F.col("_n")).alias(f"{r}_v"))])
     p = prior.first()                          # one row: the corpus's mean and variance of every rule
 
-    def rate(r: str) -> Column:
+    def mean_and_strength(r: str) -> tuple[float, float]:
         mean, var = p[f"{r}_m"] or 0.0, p[f"{r}_v"] or 0.0
-        strength = min(1e6, max(1.0, mean * (1 - mean) / var - 1 if var > 0 else 1e6))
+        return mean, min(1e6, max(1.0, mean * (1 - mean) / var - 1 if var > 0 else 1e6))
+
+    def rate(r: str) -> Column:
+        mean, strength = mean_and_strength(r)
         return (F.col(r) + F.lit(mean * strength)) / (F.col("_n") + F.lit(strength))
 
+    def bad(r: str) -> Column:
+        mean, strength = mean_and_strength(r)
+        limit = min(HOST_RATE[1], max(HOST_RATE[0], HOST_ODDS * mean / (1 + (HOST_ODDS - 1) * mean)))
+        own = F.col(r.replace("fail", "rate"))
+        return own - SURE * F.sqrt(own * (1 - own) / (F.col("host_docs") + F.lit(strength) + 1)) > limit
+
     rated = hosts.select(host, F.col("_n").alias("host_docs"), *[rate(r).alias(r.replace("fail", "rate")) for r in RULES])
-    worst = F.greatest(*[F.col(r.replace("fail", "rate")) for r in RULES])
-    return rated.withColumn("host_rate", worst).withColumn(
-        "host_bad", F.col(host).isNotNull() & (worst > MAX_HOST_RATE))
+    any_bad = F.lit(False)
+    for r in RULES:
+        any_bad = any_bad | bad(r)
+    return rated.withColumn("host_rate", F.greatest(*[F.col(r.replace("fail", "rate")) for r in RULES])).withColumn(
+        "host_bad", F.col(host).isNotNull() & any_bad)
 
 
 def judge_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:

@@ -125,7 +125,9 @@ select doc_id, domain, lang, source, n_tokens, epoch, leaf_budget::bigint as lea
 def _host_quality() -> str:
     from velorank.llm import host_quality as Q
     rules = Q.RULES
-    rate = lambda r: f"({r} + {r}_m * {r}_k) / (n + {r}_k)"
+    rate = lambda r: f"({r} + {r}_m * {r}_k) / (n + {r}_k) as {r}_p"
+    limit = lambda r: f"least({Q.HOST_RATE[1]}, greatest({Q.HOST_RATE[0]}, {Q.HOST_ODDS} * {r}_m / (1 + {Q.HOST_ODDS - 1} * {r}_m)))"
+    bad = lambda r: f"{r}_p - {Q.SURE} * sqrt({r}_p * (1 - {r}_p) / (n + {r}_k + 1)) > {limit(r)}"
     return f"""
 with docs as (select row_number() over () as id, doc_id, source, coalesce(text, '') as text from documents),
 word as (
@@ -157,7 +159,8 @@ f as (
 h as (select source, count(*) as n, {', '.join(f'sum({r}::int)::double as {r}' for r in rules)} from f group by source),
 p as (select {', '.join(f'sum({r}) / sum(n) as {r}_m, var_pop({r} / n) as {r}_v' for r in rules)} from h),
 k as (select *, {', '.join(f'least(1e6, greatest(1, case when {r}_v > 0 then {r}_m * (1 - {r}_m) / {r}_v - 1 else 1e6 end)) as {r}_k' for r in rules)} from p),
-v as (select source, source is not null and greatest({', '.join(rate(r) for r in rules)}) > {Q.MAX_HOST_RATE} as bad from h, k)
+q as (select *, {', '.join(rate(r) for r in rules)} from h, k),
+v as (select source, source is not null and ({' or '.join(bad(r) for r in rules)}) as bad from q)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_short or fail_repeats as base_failed,
        not ({' or '.join(rules)} or bad) as kept
 from f join v on f.source is not distinct from v.source"""
