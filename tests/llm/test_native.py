@@ -45,6 +45,10 @@ def test_url_cases(spark):
     assert got[12]["verdict"] == got[14]["verdict"] == "block" and got[12]["pattern_rule"] == "bets"
     assert got[13]["rule"] == "com/" and got[13]["extra"] == "keep"
     assert url_filter.judge_urls(df.limit(0).drop("_best")).count() == 0
+    clash = df.selectExpr("page_id", "url", "_best", "'j' as _judged", "'h' as Host", "1 as `__best`")
+    again = {r["page_id"]: r for r in url_filter.judge_urls(clash).collect()}
+    assert all(again[i]["rule"] == got[i]["rule"] and again[i]["verdict"] == got[i]["verdict"] and again[i]["host"] == got[i]["host"] for i in got)
+    assert {(r["_best"], r["_judged"], r["__best"]) for r in again.values()} == {("keep", "j", 1)}
 
 
 def test_pattern_tokens_stand_in_every_match():

@@ -70,6 +70,12 @@ def test_more_than_64_languages(spark):
     assert len(got) == 130 and all(r["lang"] == r["lang_pred"] for r in got)
 
 
+def test_language_clashing_columns(spark, documents):
+    df = spark.createDataFrame([(1, "the house", "a", True, "b")], "doc_id long, text string, _letter string, __letter boolean, lang_pred string")
+    got = language_id.classify(df, language_id.fit(documents)).first()
+    assert (got["_letter"], got["__letter"]) == ("a", True) and got["lang_pred"] != "b"
+
+
 # ---- line dedup ----
 def brute_lines(docs, least):
     """Lines of maximal repeated runs that have an earlier copy, pair by pair."""
@@ -133,6 +139,15 @@ def variant(rnd, w, changes):
     return " ".join(w)
 
 
+def test_line_dedup_clashing_columns(spark):
+    run = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, run, "p", 5, "q", "r"), (2, f"x\n{run}", "s", 6, "t", "u")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, deleted string, _d int, _H string, _deleted string")
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(df).collect()}
+    assert (got[1]["text"], got[2]["text"], got[2]["n_deleted"]) == (run, "x", 1)
+    assert [tuple(got[d][c] for c in ("deleted", "_d", "_H", "_deleted")) for d in (1, 2)] == [r[2:] for r in rows]
+
+
 @pytest.fixture(scope="module")
 def copies():
     rnd = random.Random(5)

@@ -11,7 +11,8 @@ language with more training n-grams).  The share is the score.
 
 Texts that are null or hold no letter are ``und`` with score 0.  A text whose n-grams no language
 knows gets the commonest language and score 0.  With nothing to learn from, every text is ``und``.
-Existing columns with the names of the new ones are replaced; other columns pass through.
+Existing columns with the names of the new ones are replaced; other columns pass through, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from velorank.llm import textcodes as X
-from velorank.llm.common import remainder
+from velorank.llm.common import private, remainder
 from velorank.session import materialize
 
 GRAM = 5                            # bytes in an n-gram
@@ -144,7 +145,7 @@ def _scores(model: LanguageModel, column: pa.Array) -> tuple[np.ndarray, np.ndar
 def classify(df: DataFrame, model: LanguageModel, text: str = "text", lang_out: str = "lang_pred", score_out: str = "lang_score") -> DataFrame:
     """``df`` with the predicted language and score."""
     src = df.drop(lang_out, score_out)
-    flagged = src.withColumn("_letter", F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False)))
+    flagged = src.withColumn(private(src, "_letter")[0], F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False)))
     schema = T.StructType([*src.schema.fields, T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())])
     shared = df.sparkSession.sparkContext.broadcast(model)
     width = len(src.columns)

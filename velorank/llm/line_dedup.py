@@ -13,7 +13,8 @@ Every run whose interval has an earlier occurrence (smaller doc_id, then place i
 overlap) is deleted: the first copy of a passage stays, later ones go, inside one text as well.
 
 Null or blank texts are returned as they are.  Null ids come after all others.  Rows with the same
-id and text are one document and get the same result.  Other columns pass through.
+id and text are one document and get the same result.  Columns named like the new ones are replaced;
+all others pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from velorank.llm import textcodes as X
+from velorank.llm.common import private
 from velorank.operators.rank import global_rank
 from velorank.session import materialize
 
@@ -161,16 +163,17 @@ def deleted_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the text without later copies, ``n_lines``, ``deleted_lines`` (numbers from 0) and ``n_deleted``."""
-    gone = materialize(deleted_lines(docs, doc_id, text), "deleted-lines")
-    rows = docs.drop("n_lines", "deleted_lines", "n_deleted").withColumns(_keys(doc_id, text))
+    d, h, deleted = private(docs, *DOC, "_deleted")
+    gone = materialize(deleted_lines(docs, doc_id, text), "deleted-lines").toDF(d, h, deleted)
+    rows = docs.drop("n_lines", "deleted_lines", "n_deleted").withColumns(dict(zip((d, h), _keys(doc_id, text).values(), strict=True)))
     # texts are dealt out at every size; the hash side is the line numbers
-    joined = rows.join(gone.hint("shuffle_hash"), DOC, "left")
+    joined = rows.join(gone.hint("shuffle_hash"), [d, h], "left")
     n_lines = F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1
     parts = F.split(F.col(text), "\n")            # of the texts that lose lines only
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("deleted"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(deleted))
     # F.transform over the places left keeps the order and is linear in the lines
     kept = F.transform(F.array(parts), lambda p: F.array_join(F.transform(left, lambda i: F.get(p, i)), "\n"))[0]
     return joined.withColumns({
-        "n_lines": F.coalesce(n_lines, F.lit(0)).cast("long"), "deleted_lines": F.coalesce("deleted", F.array().cast("array<int>")),
-        text: F.when(F.col("deleted").isNull(), F.col(text)).otherwise(kept)}).withColumn(
-        "n_deleted", F.size("deleted_lines").cast("long")).drop(*DOC, "deleted")
+        "n_lines": F.coalesce(n_lines, F.lit(0)).cast("long"), "deleted_lines": F.coalesce(deleted, F.array().cast("array<int>")),
+        text: F.when(F.col(deleted).isNull(), F.col(text)).otherwise(kept)}).withColumn(
+        "n_deleted", F.size("deleted_lines").cast("long")).drop(d, h, deleted)

@@ -7,7 +7,8 @@ only those candidates run their regular expression.  The best matching rule deci
 before patterns, the longest first; among patterns, a later one in the list wins.
 
 A URL that is null or has no ``://`` has an empty host and path; no rule fits it and the default
-verdict holds.  Repeated URLs are judged alike.  An empty table gives an empty result.
+verdict holds.  Repeated URLs are judged alike.  An empty table gives an empty result.  Columns named like
+the new ones are replaced; all others pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from velorank.llm.common import ascii_lower
+from velorank.llm.common import ascii_lower, private
 
 #: (host, path, verdict): fits the host and its subdomains when the URL's path starts with the path.
 HOST_RULES = [
@@ -63,6 +64,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def judge_urls(df: DataFrame, url: str = "url", host_rules=HOST_RULES, pattern_rules=PATTERN_RULES) -> DataFrame:
     """``df`` with host, path, rule (the winning host rule), pattern_rule and verdict."""
+    judged, told_by = private(df, "_judged", "_best")
     spark, n_rules = df.sparkSession, len(host_rules) + len(pattern_rules)
     small = F.broadcast if n_rules <= MAX_BROADCAST_RULES else (lambda x: x)
     rules = rule_table(spark, host_rules, pattern_rules)
@@ -80,11 +82,11 @@ def judge_urls(df: DataFrame, url: str = "url", host_rules=HOST_RULES, pattern_r
     matched = (told.join(small(index), "token").where(F.expr("regexp_like(_subject, pattern)"))
                .groupBy("_url").agg(F.max("rank").alias("rank")))
     best = matched.join(small(rules.select("rank", "label", "is_host", "verdict")), "rank").select(
-        F.col("_url").alias("_judged"), F.struct("label", "is_host", "verdict").alias("_best"))
+        F.col("_url").alias(judged), F.struct("label", "is_host", "verdict").alias(told_by))
     host, path = host_and_path(F.col(url))
-    joined = df.join(best, df[url] == best["_judged"], "left")
+    joined = df.join(best, F.col(url) == F.col(judged), "left")
     return joined.withColumns({
         "host": host, "path": path,
-        "rule": F.when(F.col("_best.is_host"), F.col("_best.label")),
-        "pattern_rule": F.when(~F.col("_best.is_host"), F.col("_best.label")),
-        "verdict": F.coalesce("_best.verdict", F.lit(DEFAULT))}).drop("_judged", "_best")
+        "rule": F.when(F.col(f"{told_by}.is_host"), F.col(f"{told_by}.label")),
+        "pattern_rule": F.when(~F.col(f"{told_by}.is_host"), F.col(f"{told_by}.label")),
+        "verdict": F.coalesce(f"{told_by}.verdict", F.lit(DEFAULT))}).drop(judged, told_by)
