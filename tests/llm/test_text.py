@@ -178,6 +178,30 @@ def test_minhash_large_nodes_and_clusters(spark, copies, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("changes", [18, 28])
+def test_minhash_recall_in_deep_trees(spark, monkeypatch, changes):
+    """One template group whose documents are half or a third alike: its tree nodes stay large and mixed for many
+    levels.  Each document has one partner just above the limit."""
+    monkeypatch.setattr(minhash_dedup, "SMALL", 2)
+    rnd = random.Random(9)
+    template = [f"t{i}" for i in range(100)]
+
+    def fresh(w, changes):
+        w = list(w)
+        for i in rnd.sample(range(len(w)), changes):
+            w[i] = f"v{rnd.randrange(10**9)}"
+        return w
+
+    docs = []
+    for i in range(400):
+        one = fresh(template, changes)
+        docs += [(2 * i, " ".join(one)), (2 * i + 1, " ".join(fresh(one, 10)))]     # 90 of 110 words: 0.818
+    got = {r["doc_id"]: r["component_id"] for r in minhash_dedup.near_duplicates(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(4), size=1).collect()}
+    found = sum(got[2 * i] == got[2 * i + 1] == 2 * i for i in range(400))
+    assert found >= 392 and all(got[d] in (d, d - d % 2) for d, _ in docs)
+
+
 def test_minhash_cases(spark):
     df = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (7, "a b c"), (7, "x y z"), (8, "q r"), (9, None)], "doc_id long, text string")
     got = sorted((str(r["doc_id"]), str(r["component_id"])) for r in minhash_dedup.near_duplicates(df).collect())

@@ -33,13 +33,13 @@ SHINGLE = 5                        # words, unless the caller says otherwise
 NUM, DEN = 80, 100                 # link when DEN * |both| >= NUM * |either|
 POSITIONS = 64                     # bytes of a sketch
 AGREE = 38                         # of 64 positions make a candidate: 4 standard deviations under a similarity of 0.8
-TREES = 12                         # 99.9 % of pairs at 0.8 share a small tree node; more above
+TREES = 12                         # of pairs at 0.8, 99.9 % share a tree node four levels down, 99.0 % eight down; more above 0.8
 SECOND = 0.25                      # chance of a second chosen position: 1.25 = 1 / 0.8 children on average
 SMALL = 1024
 PIVOTS = 8                         # of a larger tree node
-DEEPEST = 12
+DEEPEST = 8                        # levels; recall sinks with each, so what is still large and mixed there is compared whole
 BLOCK_DOCS, BLOCK_BYTES = 500, 16 << 20
-BROADCAST_IDS = 2_000_000          # 16 MB of ids
+BROADCAST_IDS = 200_000            # at most about 100 bytes each: 20 MB
 BROADCAST_PATHS = 1_000_000        # 8 MB of names of large tree nodes
 _RNG = np.random.default_rng(7)
 _MUL = _RNG.integers(0, 1 << 32, POSITIONS, dtype=np.uint32) | np.uint32(1)
