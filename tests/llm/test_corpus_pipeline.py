@@ -48,3 +48,26 @@ def test_stages_keep_columns_and_take_empty_tables(spark, tmp_path):
     for _, stage in P.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_repeated_rows_null_ids_and_clashing_columns(spark, tmp_path):
+    rnd = random.Random(4)
+    text = lambda n: " ".join(rnd.choice(WORDS) + rnd.choice(["", "s", "ed", "er", "ly"]) for _ in range(n))
+    base, other, lone, again = text(80), text(80), text(80), text(80)
+    docs = [(None, base), (None, base + " more"), (None, base), (None, other), (4, other), (5, lone), (5, lone), (5, again), (6, again)]
+    docs += [(100 + i, text(80)) for i in range(12)]                # to learn from
+    extra = {c: f"x{i}" for i, c in enumerate(["_row", "_kept", "_picked", "_lang", "_score", "_d", "deleted", "N_deleted", "_letter"])}
+    df = spark.createDataFrame([(d, t, "en", "s", len(t), *extra.values()) for d, t in docs],
+                               "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in extra))
+    seen = {}
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, df, str(tmp_path))
+        assert out.columns == df.columns
+        rows = out.collect()
+        assert all(tuple(r[c] for c in extra) == tuple(extra.values()) for r in rows), name
+        seen[name] = sorted((str(r["doc_id"]), r["text"]) for r in rows)
+    assert len(seen["language_id"]) == len(docs)
+    left = seen["minhash_dedup"]
+    assert [d for d, _ in left].count("None") == 1 and ("4", other) in left
+    assert left.count(("5", lone)) == 1 and left.count(("5", again)) == 1 and ("6", again) not in left and len(left) == 4 + 12
+    assert set(seen["source_mixing"]) < {(str(d), t) for d, t in docs}

@@ -7,7 +7,8 @@ posterior) above what ``HOST_ODDS`` times the corpus's odds come to.
 
 A document is kept unless it fails a rule itself or its host's verdict is bad.  Texts that are
 null or blank have no words and fail the first rule.  A null host is a host of its own for the
-counts but never judged bad.  An empty table gives an empty result.
+counts but never judged bad.  An empty table gives an empty result.  Repeated rows count each; a host
+exactly at its limit is kept.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ documents of the next epoch in seeded order as long as they fit.
 
 Tokens are words.  A null level value counts as ''.  Null or blank texts hold no token; they are
 selected by whole epochs only with their leaf and cost nothing.  Budgets are integers and exact:
-floors first, left-over tokens by largest remainder, then name.
+floors first, left-over tokens by largest remainder, then name.  Repeated rows and null ids are
+documents like others.  Only the id, the levels and the text are read; other columns don't matter.
 """
 
 from __future__ import annotations

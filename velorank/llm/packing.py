@@ -6,7 +6,8 @@ the driver, where dynamic programming finds the bounds with the least padding in
 bucket, sequences in a seeded order form batches of as many as the token budget holds.
 
 Tokens are words unless a token-count column is given.  Documents without tokens give no sequence.
-An empty table gives no buckets.  Null ids are packed like others.
+An empty table gives no buckets.  Null ids and repeated rows are packed like others.  Only the id and
+the text (or the token count) are read; other columns don't matter.
 """
 
 from __future__ import annotations
