@@ -88,6 +88,15 @@ def test_shard_names_and_corrupt_lines(spark, tmp_path):
     assert {r["reason"] for r in bad.collect()} == {"unreadable line", "missing created_at"}
 
 
+def test_stray_files_are_no_shards(spark, tmp_path):
+    (tmp_path / "notes.json").write_text("{broken\n")
+    (tmp_path / "repos.jsonl").write_text('{"full_name": "merged", "stargazers_count": 1}\n')
+    with pytest.raises(FileNotFoundError):
+        files.scan_shards(spark, str(tmp_path))
+    (tmp_path / "repos_50_99.jsonl").write_text('{"full_name": "a", "stargazers_count": 1}\n')
+    assert [r["full_name"] for r in files.scan_shards(spark, str(tmp_path)).collect()] == ["a"]
+
+
 def test_first_record_wins_for_any_batch_size(spark, tmp_path):
     import os
 
