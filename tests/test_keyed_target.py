@@ -117,3 +117,27 @@ def test_page_chain_reports_each_fault(spark):
     assert sorted((str(r["query"]), r["page_no"], r["fault"]) for r in got) == sorted([
         ("gap", 0, "no successor"), ("gap", 2, "no predecessor"), ("cut", 1, "no successor"), ("twice", 0, "repeated"),
         ("over", 1, "after the end"), ("loop", 1, "same cursor"), ("mute", 0, "no cursor"), ("None", 1, "no predecessor")])
+
+
+def test_interval_totals_equal_the_grouped_join_with_few_pairs(spark, monkeypatch):
+    from velorank.operators import interval
+    rng = random.Random(6)
+    big = 2 ** 63 - 1
+    values = [rng.randrange(-500, 500) for _ in range(300)] + [None, 0, 0, -big - 1, big]
+    bands = [(i, lo, lo + rng.choice([0, 1, 70, 300, -3])) for i, lo in enumerate(rng.randrange(-600, 600) for _ in range(200))]
+    bands += [(i, rng.randrange(-600, 0), None) for i in range(200, 400)] + [(400, None, 5), (401, -big - 1, big), (401, 0, 0), (None, 3, 9), (402, big, None)]
+    points = spark.createDataFrame([(v, 1 + i % 7) for i, v in enumerate(values)], "value long, weight long")
+    table = spark.createDataFrame(bands, "band int, lo long, hi long")
+    pairs = []
+    joined = interval.interval_join
+    monkeypatch.setattr(interval, "interval_join", lambda *a: pairs.append(joined(*a).count()) or joined(*a))
+    out = interval.interval_totals(points, table, "value", ["weight"])
+    assert out.columns == ["band", "lo", "hi", "n", "weight"]
+    inside = lambda lo, hi: [1 + i % 7 for i, v in enumerate(values) if v is not None and lo <= v <= (big if hi is None else hi)]
+    want = sorted(str((b, lo, hi, len(inside(lo, hi)), sum(inside(lo, hi)))) for b, lo, hi in bands if lo is not None and (hi is None or lo <= hi))
+    assert sorted(str(tuple(r)) for r in out.collect()) == want
+    # every value meets one piece, not every band that holds it
+    assert pairs == [len({v for v in values if v is not None})]
+    for p, b in ((points.limit(0), table), (points, table.limit(0))):
+        got = interval.interval_totals(p, b, "value", ["weight"]).collect()
+        assert [r["n"] for r in got] == [0] * len(want if b is table else [])
