@@ -85,7 +85,8 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
     Group starts come from one aggregate over the written ranking and are
     joined back null-safely."""
     ranked, _ = global_rank(df, [*group, *_sort_cols(order)], "_vr_g", num_partitions)
-    starts = ranked.groupBy(*group).agg(F.min("_vr_g").alias("_vr_start"))
+    # written, so that the planner knows its size: few groups are broadcast, and no task gets a whole group's rows
+    starts = materialize(ranked.groupBy(*group).agg(F.min("_vr_g").alias("_vr_start")), "group-starts")
     out = null_safe_join(ranked, starts, list(group))
     return out.withColumn(rank_col, F.col("_vr_g") - F.col("_vr_start") + F.lit(1)).drop("_vr_g", "_vr_start")
 

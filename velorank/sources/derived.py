@@ -15,6 +15,7 @@ from velorank.functions.arith import idiv
 from velorank.operators.bands import assign_band, search_text
 from velorank.operators.ingest import PAGE_SIZE
 from velorank.operators.rank import null_safe_join, rank_within
+from velorank.session import materialize
 from velorank.sources.schema import MODELS as MODEL_NAMES
 
 
@@ -74,7 +75,8 @@ def search_pages(repos: DataFrame) -> DataFrame:
     with_band = assign_band(repos).where(F.col("band").isNotNull())
     with_band = with_band.withColumn("query", search_text(F.col("lo"), F.col("hi"))).drop("lo", "hi", "label")
     ranked = rank_within(with_band, ["query"], [F.desc("stargazers_count"), F.asc("pos")], "r")
-    sizes = ranked.groupBy("query").agg(F.count(F.lit(1)).alias("repository_count"))
+    # written, so that the planner knows its size: a row per band query is broadcast
+    sizes = materialize(ranked.groupBy("query").agg(F.count(F.lit(1)).alias("repository_count")), "query-sizes")
     nodes = ranked.select(
         "query", (idiv((F.col("r") - 1), PAGE_SIZE)).cast("int").alias("page_no"),
         F.col("r"),
