@@ -104,3 +104,24 @@ def test_one_row_and_constant_features(spark):
     for name in ("RandomForest", "ExtraTrees", "GradientBoosting", "HistGradientBoosting"):
         cfg = {"model_name": name, "n_estimators": 2, "max_iter": 2}
         assert E.fit(df, ["a", "b"], "y", cfg).transform(df).first()["prediction"] == pytest.approx(2.0)
+
+
+def test_packed_histograms_and_column_routing_equal_plain_counting():
+    rng = np.random.default_rng(8)
+    n, sizes = 500, np.array([2, 7, 2, 1, *[2] * 9, 256])
+    bins = np.column_stack([rng.integers(0, s, n) for s in sizes]).astype(np.uint8)
+    layout, columns = S.Layout(sizes), np.ascontiguousarray(bins.T)
+    assert len(layout.packed) == 4 < len(sizes)          # eleven features of two bins are two columns
+    assert (layout.unpack(layout.pack(columns)) == columns).all()
+    slot, w, g = rng.integers(0, 3, n), rng.integers(1, 4, n).astype(float), rng.normal(size=n)
+    for weight in (w, np.ones(n)):
+        got = S.histograms(layout.pack(columns), slot, weight, g, 3, layout)
+        for f, size in enumerate(sizes):
+            for s, b in np.ndindex(3, int(size)):
+                at = (slot == s) & (bins[:, f] == b)
+                assert got[s, layout.start[f] + b] == pytest.approx([weight[at].sum(), (weight * g)[at].sum()])
+    tree = {"feature": np.array([13, 1, -1, -1, 0, -1, -1]), "cut": np.array([100.0, 3, 0, 0, 0, 0, 0]),
+            "left": np.array([1, 2, -1, -1, 5, -1, -1]), "right": np.array([4, 3, -1, -1, 6, -1, -1])}
+    told = np.array([0.0, 0, 1.5, 2.5, 0, 2.5, 2.5])
+    assert (S.settle(tree, columns, told) == told[G.route(tree, bins)]).all()
+    assert (S.draw(5, np.arange(9)) < 1).all() and (S._modulo(np.array([0, S.PRIME, 2 * S.PRIME, 2 ** 62])) == np.array([0, 0, 0, 2 ** 62 % S.PRIME])).all()
