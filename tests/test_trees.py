@@ -125,3 +125,15 @@ def test_packed_histograms_and_column_routing_equal_plain_counting():
     told = np.array([0.0, 0, 1.5, 2.5, 0, 2.5, 2.5])
     assert (S.settle(tree, columns, told) == told[G.route(tree, bins)]).all()
     assert (S.draw(5, np.arange(9)) < 1).all() and (S._modulo(np.array([0, S.PRIME, 2 * S.PRIME, 2 ** 62])) == np.array([0, 0, 0, 2 ** 62 % S.PRIME])).all()
+
+
+def test_held_out_scores_read_few_nodes_at_once(data, monkeypatch):
+    _, design, _, _ = data
+    configs = [{"model_name": "RandomForest", "n_estimators": 3, "max_depth": d, "min_samples_leaf": 2} for d in (2, None)]
+    want = E.forest_cv(design, configs)
+    seen = []
+    monkeypatch.setattr(E, "NODES_AT_ONCE", 300)
+    pack = G.pack_nodes
+    monkeypatch.setattr(G, "pack_nodes", lambda rows: seen.append((len(rows), rows["tree"].nunique())) or pack(rows))
+    assert E.forest_cv(design, configs) == pytest.approx(want, abs=1e-12)
+    assert len(seen) > 1 and all(n <= 300 or trees == 1 for n, trees in seen)
