@@ -141,3 +141,22 @@ def test_interval_totals_equal_the_grouped_join_with_few_pairs(spark, monkeypatc
     for p, b in ((points.limit(0), table), (points, table.limit(0))):
         got = interval.interval_totals(p, b, "value", ["weight"]).collect()
         assert [r["n"] for r in got] == [0] * len(want if b is table else [])
+
+
+def test_compressed_shards_are_ingested_and_few_columns_read(spark):
+    from velorank.sources.files import scan_shards, write_shards
+    df = spark.createDataFrame([(i, f"k{i % 7}", i, f"repos_{i % 2}.jsonl") for i in range(40)], "pos long, full_name string, stargazers_count long, shard string")
+    path, target = scratch_path(spark, "packed"), scratch_path(spark, "keyed")
+    write_shards(df, path, "shard", "pos", num_partitions=2, compression="snappy")
+    schema = df.drop("shard").schema
+    scanned = scan_shards(spark, path, schema)
+    assert scanned.count() == 40 and all(f.endswith(".snappy") for f in scanned.inputFiles())
+    assert inc.incremental_ingest(spark, path, target, scratch_path(spark, "ck"), schema) == 7
+    got = inc.read_ingested(spark, target, columns=["full_name", "pos"])
+    assert sorted(map(tuple, got.collect())) == [(f"k{k}", k if k % 2 == 0 else k + 7) for k in range(7)] and "Exchange" not in _plan(got)
+
+
+def test_few_groups_start_without_a_shuffle_of_the_ranked_rows(spark):
+    from velorank.operators.rank import rank_within
+    df = spark.range(500).selectExpr("id", "id % 3 as g")
+    assert "SortMergeJoin" not in _plan(rank_within(df, ["g"], ["id"])) and "hashpartitioning" not in _plan(rank_within(df, ["g"], ["id"]))
