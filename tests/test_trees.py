@@ -137,3 +137,51 @@ def test_held_out_scores_read_few_nodes_at_once(data, monkeypatch):
     monkeypatch.setattr(G, "pack_nodes", lambda rows: seen.append((len(rows), rows["tree"].nunique())) or pack(rows))
     assert E.forest_cv(design, configs) == pytest.approx(want, abs=1e-12)
     assert len(seen) > 1 and all(n <= 300 or trees == 1 for n, trees in seen)
+
+
+def test_small_nodes_by_rows_equal_histograms(monkeypatch):
+    rng = np.random.default_rng(5)
+    sizes, n = np.array([1, 2, 2, 40, 255]), 900
+    bins = np.array([rng.integers(0, s, n) for s in sizes], np.uint8)
+    layout, w = S.Layout(sizes), rng.integers(1, 4, n).astype(float)
+    packed, y = layout.pack(bins), np.round(bins[3] * 0.3 + 5 * bins[1] + rng.normal(size=n))
+    slot, rows = rng.integers(0, 60, n), np.arange(n)
+    want = S.best_splits(S.histograms(packed, slot, w, y, 60, layout), layout, 3)
+    got = S.best_of_few(packed, rows, slot, w, y, 60, layout, 3)
+    for k in ("feature", "cut"):
+        assert (got[k] == want[k])[want["gain"] > 0].all()
+    assert got["gain"] == pytest.approx(want["gain"])
+    trees = []
+    for few in (0, 1 << 30):
+        monkeypatch.setattr(S, "FEW_ROWS", few)
+        trees.append(S.small_tree(None, y, w, S.Rules(3), 0, 1, layout, -1, packed))
+    assert all((trees[0][k] == trees[1][k]).all() for k in ("feature", "cut", "left", "right", "key", "depth"))
+
+
+def test_random_trees_on_bins_and_raw_values_equal_raw_values_alone():
+    rng = np.random.default_rng(6)
+    x = np.array([rng.integers(0, 3, 500) * 7.0, rng.normal(size=500), rng.integers(0, 2, 500) - 1.0])
+    y, values = np.round(x[0] + 3 * x[1] + x[2]), [np.array([0.0, 7.0, 14.0]), None, np.array([-1.0, 0.0])]
+    mixed = S.Mixed(values)
+    codes = mixed.layout.pack(np.array([np.searchsorted(values[j], x[j]) for j in mixed.exact], np.uint8))
+    one = S.small_tree(None, y, np.ones(500), S.Rules(2), 0, 1, None, 9, codes, x[mixed.wide], mixed)
+    raw = S.small_tree(x.T, y, np.ones(500), S.Rules(2), 0, 1, None, 9)
+    assert all((one[k] == raw[k]).all() for k in ("feature", "cut", "left", "right", "n"))
+    places, wide = S.mixed_places(mixed)
+    told = S.leaves({**one, "cut": mixed.code_cuts(one["feature"], one["cut"])}, 500, codes, places, x[mixed.wide], wide)
+    assert (told == G.route(raw, x.T)).all()
+
+
+def test_a_pass_reads_blocks_in_as_many_tasks_as_cores(data, monkeypatch):
+    from velorank.trees import binning as B
+    df, _, x, y = data
+    monkeypatch.setattr(B, "BLOCK", 7)                 # many blocks a part
+    design = bin_rows(df, NAMES, F.col("y"), "pos", F.col("fold"))
+    rows = design.rows.select("n").collect()
+    assert sum(r["n"] for r in rows) == len(y) and max(r["n"] for r in rows) <= 7
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    assert G._columns(design, G.NO_STATE, [G.Tree(S.Rules())], False).rdd.getNumPartitions() <= cores
+    told = E.fold_sums(design)
+    for f in range(3):
+        own = y[np.arange(len(y)) % 3 == f]
+        assert told[f] == pytest.approx((len(own), own.sum(), ((own - own.mean()) ** 2).sum()))
