@@ -185,3 +185,9 @@ def test_a_pass_reads_blocks_in_as_many_tasks_as_cores(data, monkeypatch):
     for f in range(3):
         own = y[np.arange(len(y)) % 3 == f]
         assert told[f] == pytest.approx((len(own), own.sum(), ((own - own.mean()) ** 2).sum()))
+
+
+def test_a_row_without_label_is_an_error(spark):
+    df = spark.createDataFrame([(1, 2.0, 3.0), (2, None, 4.0)], "pos long, y double, a double")
+    with pytest.raises(Exception, match="without key, label or fold"):
+        E.fit(df, ["a"], "y", {"model_name": "GradientBoosting", "n_estimators": 1})
